@@ -79,13 +79,15 @@ def global_rank(df: DataFrame, col: str, ascending: bool = True, nulls_last: boo
         bounds = values.select(
             F.percentile_approx(value.cast("double"), fractions, accuracy).alias("b")
         ).scalar()
-        bounds = F.coalesce(bounds, F.array().cast("array<double>"))
+        # attached as a column first: a subquery may not sit inside a lambda's arguments
+        values = values.withColumn("_bounds", F.coalesce(bounds, F.array().cast("array<double>")))
         v = value.cast("double")
-        before = F.size(F.filter(bounds, (lambda b: b < v) if ascending else (lambda b: b > v)))
+        before = F.size(F.filter("_bounds", (lambda b: b < v) if ascending else (lambda b: b > v)))
     else:
+        values = values.withColumn("_bounds", F.array().cast("array<double>"))
         before = F.lit(0)
     null_bucket = F.lit(buckets if nulls_last else -1)
-    bucketed = values.withColumn("_bucket", F.when(value.isNull(), null_bucket).otherwise(before))
+    bucketed = values.withColumn("_bucket", F.when(value.isNull(), null_bucket).otherwise(before)).drop("_bounds")
 
     sizes = bucketed.groupBy("_bucket").agg(F.sum("_n").alias("_size"))
     offsets = sizes.withColumn(
