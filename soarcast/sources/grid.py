@@ -23,22 +23,24 @@ def read_raw(spark: SparkSession, path: str, years: Iterable[int] | None = None)
     return df
 
 
-def write_transformed(obs: DataFrame, path: str, replace: str = "all") -> None:
+def write_transformed(obs: DataFrame, path: str, replace: str = "all", max_records_per_file: int = 0) -> None:
     """Write observations partitioned by ``year, month``.
 
     ``replace="all"`` overwrites the zone; ``"partitions"`` overwrites only the
     (year, month) folders present in ``obs`` (incremental re-processing of a year).
-    A rebalance on (year, month) gathers each folder's rows into few tasks, so a
-    folder gets a few large files instead of one small file per input task; AQE
-    splits an oversized month into advisory-size tasks, so a month holding a third of
-    all rows does not end up in one task. Rows are sorted by cell and time inside
-    each file, which tightens Parquet min/max statistics for cell lookups.
+
+    The transform is a narrow projection, so the write is too: no shuffle. Each task
+    sorts its own rows by (year, month, cell, time) and writes one file per folder it
+    touches; raw inputs are time-ordered per year, so a task touches one or two
+    months. The cell/time order tightens Parquet min/max statistics for cell lookups.
+    ``max_records_per_file`` caps file size when input tasks are very large.
     """
     mode = {"all": "static", "partitions": "dynamic"}[replace]
-    out = obs.hint("rebalance", "year", "month").sortWithinPartitions("latitude", "longitude", "time")
+    out = obs.sortWithinPartitions("year", "month", "latitude", "longitude", "time")
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
+        .option("maxRecordsPerFile", int(max_records_per_file))
         .partitionBy("year", "month")
         .parquet(path)
     )
