@@ -11,14 +11,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from soarcast import oracle
-from soarcast.functions import transform
-from soarcast.operators import hourly_baseline
+from soarcast.functions import danger_flag, dewpoint_magnus, normalize_time, stable_round, transform, xc_flag
+from soarcast.functions.live import alert_level
+from soarcast.operators import distinct_count, diurnal_slice, flying_hours, global_rank, hourly_baseline, in_months
 from soarcast.plans import marts
 from soarcast.session import ensure_utc
 from soarcast.sources import fixtures
-from soarcast.sources.events import parse_events
+from soarcast.sources.events import parse_events, parse_payload
 from soarcast.streaming import views
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -47,6 +49,85 @@ def _vs_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.versus_baseline(scored_events(spark, sf_dir), baseline)
 
 
+def _obs_cols(*cols) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: observations(spark, sf_dir).select("obs_id", *cols)
+
+
+def _obs_rows(slice_fn) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: slice_fn(observations(spark, sf_dir)).select("obs_id")
+
+
+def _normalized_ns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows with ``time`` stored as epoch nanoseconds, read back as a timestamp."""
+    ensure_utc(spark)
+    raw = fixtures.grid_raw(spark, sf_dir)
+    as_ns = raw.select("obs_id", (F.unix_micros("time") * 1000).alias("time"))
+    return normalize_time(as_ns, "time")
+
+
+def _transform_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs = observations(spark, sf_dir)
+    return obs.withColumn("wind_dir", stable_round("wind_dir", 6))
+
+
+def _dewpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = fixtures.table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    return ev.select("event_id", dewpoint_magnus(F.lit(10.0) + eid % 20, (eid % 100).cast("double")).alias("dewpoint_c"))
+
+
+def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_payload(fixtures.station_payloads(spark, sf_dir), "payload", "location", "observed_at")
+
+
+def _distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs = observations(spark, sf_dir)
+    # one-row carrier for the two lazy scalar subqueries that scan the observations
+    return spark.range(1).select(
+        distinct_count(obs, "latitude", "longitude").alias("n_cells"),
+        distinct_count(obs, "year").alias("n_years"),
+    )
+
+
+def _rank_blh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs = observations(spark, sf_dir).select("obs_id", "blh")
+    return global_rank(obs, "blh", ascending=False, nulls_last=True, alias="blh_rank")
+
+
+def _operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    scored = scored_events
+    return {
+        "a2_normalize_time": _normalized_ns,
+        "b1_calendar": _obs_cols("year", "month", "day", "hour"),
+        "b2_celsius": _obs_cols("temp_c", "dewpoint_c"),
+        "b3_wind_speed": _obs_cols("wind_speed"),
+        "b4_wind_dir": _obs_cols(stable_round("wind_dir", 6).alias("wind_dir")),
+        "b5_cloud_base_fog": _obs_cols("cloud_base_m", "fog_condition"),
+        "b7_flying_category": _obs_cols("flying_category"),
+        "b8_thermal_strength": _obs_cols("thermal_strength"),
+        "b9_time_of_day": _obs_cols("hour", "time_of_day"),
+        "b10_season": _obs_cols("month", "season"),
+        "b11_transform": _transform_all,
+        "b12_danger_flag": _obs_cols(danger_flag().alias("dangerous")),
+        "b13_xc_flag": _obs_cols(xc_flag().alias("xc_suitable")),
+        "b15_flying_score": lambda spark, sf_dir: scored(spark, sf_dir).select(
+            "timestamp", "location", "wind_speed", "cloud_base_m", "cloud_cover", "flying_score", "flyable"),
+        "b17_alert": lambda spark, sf_dir: scored(spark, sf_dir).select(
+            "timestamp", "location", "wind_speed", "wind_gust", "cloud_base_m", alert_level().alias("alert")),
+        "b22_dewpoint_magnus": _dewpoint,
+        "b23_parse_payload": _payloads,
+        "b24_parse_events": lambda spark, sf_dir: parse_events(fixtures.event_messages(spark, sf_dir)),
+        "c1_season_months": lambda spark, sf_dir: in_months(observations(spark, sf_dir)).select("obs_id", "month"),
+        "c2_midday_hours": _obs_rows(flying_hours),
+        "c3_daylight_hours": _obs_rows(lambda o: flying_hours(o, hours=(6, 21))),
+        "c4_flyable_daylight": _obs_rows(lambda o: flying_hours(o, hours=(6, 21), flyable_only=True)),
+        "c5_diurnal_slice": _obs_rows(diurnal_slice),
+        "e9_distinct_counts": _distinct_counts,
+        "f2_global_rank": _rank_blh,
+        "a11_encode_events": lambda spark, sf_dir: fixtures.event_messages(spark, sf_dir),
+    }
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: Q3 hourly conditions over the sf0.001 tables."""
     return marts.hourly_conditions(observations(spark, SMOKE_DIR))
@@ -71,6 +152,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "s3_alerts": _live(views.point_alerts),
         "s4_vs_baseline": _vs_baseline,
         "d1_cell_day_join": _mart(marts.cell_day_outlook),
+        **_operator_queries(),
     }
 
 

@@ -368,3 +368,84 @@ QUERIES = {
     "s4_vs_baseline": S4,
     "d1_cell_day_join": D1,
 }
+
+
+# --- operator-level checks -------------------------------------------------------
+
+def _obs_select(cols: str, where: str = "") -> str:
+    return _with(*GRID) + f"SELECT {cols} FROM obs" + (f" WHERE {where}" if where else "")
+
+
+MAGNUS_ALPHA = "(17.27e0 * t) / (237.7e0 + t) + ln(h / 100e0)"
+MAGNUS = f"CASE WHEN h > 0 THEN {R(f'(237.7e0 * ({MAGNUS_ALPHA})) / (17.27e0 - ({MAGNUS_ALPHA}))', 2)} END"
+
+PAYLOAD_FIELDS = """
+payload_fields AS (
+  SELECT
+    strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,
+    ['Vrsac', 'Fruska_Gora', 'Rtanj', 'Zlatibor', 'Kopaonik'][user_id % 5 + 1] AS location,
+    [45.1167e0, 45.1333e0, 43.7667e0, 43.7333e0, 43.2833e0][user_id % 5 + 1] AS lat,
+    [21.3e0, 19.7e0, 21.9e0, 19.7167e0, 20.8e0][user_id % 5 + 1] AS lon,
+    10e0 + event_id % 20 AS t,
+    1000e0 + event_id % 30 AS pressure,
+    CAST(event_id % 100 AS DOUBLE) AS h,
+    value % 16 AS wind_speed,
+    CASE WHEN event_id % 3 <> 0 THEN CAST((event_id * 37) % 360 AS DOUBLE) END AS deg,
+    CASE WHEN event_id % 4 <> 0 THEN (value % 16) * 1.5e0 END AS gust,
+    CAST(event_id % 101 AS DOUBLE) AS clouds_all,
+    CASE WHEN event_id % 5 <> 0 THEN 10000e0 - (event_id % 10) * 500e0 END AS vis,
+    CASE WHEN event_id % 7 <> 0 THEN event_type END AS weather_desc
+  FROM events
+)"""
+
+B23 = _with(PAYLOAD_FIELDS) + f"""
+SELECT timestamp, location, lat, lon, temp_c, dewpoint_c, pressure, humidity, wind_speed, wind_dir, wind_gust,
+  cloud_cover, visibility, weather_desc, (temp_c - dewpoint_c) / 8 * 1000 AS cloud_base_m
+FROM (
+  SELECT timestamp, location, lat, lon, t AS temp_c, {MAGNUS} AS dewpoint_c, pressure, h AS humidity,
+    wind_speed, COALESCE(deg, 0e0) AS wind_dir, COALESCE(gust, 0e0) AS wind_gust,
+    clouds_all / 100e0 AS cloud_cover, COALESCE(vis, 0e0) AS visibility, weather_desc
+  FROM payload_fields
+)"""
+
+B22 = f"""
+SELECT event_id, {MAGNUS} AS dewpoint_c
+FROM (SELECT event_id, 10e0 + event_id % 20 AS t, CAST(event_id % 100 AS DOUBLE) AS h FROM events)"""
+
+OPERATOR_QUERIES = {
+    "a2_normalize_time": _with(GRID_RAW) + "SELECT obs_id, time FROM grid_raw",
+    "b1_calendar": _obs_select("obs_id, year, month, day, hour"),
+    "b2_celsius": _obs_select("obs_id, temp_c, dewpoint_c"),
+    "b3_wind_speed": _obs_select("obs_id, wind_speed"),
+    "b4_wind_dir": _obs_select(f"obs_id, {R('wind_dir', 6)} AS wind_dir"),
+    "b5_cloud_base_fog": _obs_select("obs_id, cloud_base_m, fog_condition"),
+    "b7_flying_category": _obs_select("obs_id, flying_category"),
+    "b8_thermal_strength": _obs_select("obs_id, thermal_strength"),
+    "b9_time_of_day": _obs_select("obs_id, hour, time_of_day"),
+    "b10_season": _obs_select("obs_id, month, season"),
+    "b11_transform": _obs_select(
+        f"obs_id, time, latitude, longitude, cape, blh, sp, tcc, year, month, day, hour, temp_c, dewpoint_c, "
+        f"wind_speed, {R('wind_dir', 6)} AS wind_dir, cloud_base_m, fog_condition, flying_category, "
+        f"thermal_strength, time_of_day, season"),
+    "b12_danger_flag": _obs_select(f"obs_id, CASE WHEN {DANGER} THEN 1 ELSE 0 END AS dangerous"),
+    "b13_xc_flag": _obs_select(f"obs_id, CASE WHEN {XC} THEN 1 ELSE 0 END AS xc_suitable"),
+    "b15_flying_score": _with(EVENTS) + (
+        "SELECT timestamp, location, wind_speed, cloud_base_m, cloud_cover, flying_score, flyable FROM scored"),
+    "b17_alert": _with(EVENTS) + f"SELECT timestamp, location, wind_speed, wind_gust, cloud_base_m, {ALERT} AS alert "
+                                 "FROM scored",
+    "b22_dewpoint_magnus": B22,
+    "b23_parse_payload": B23,
+    "b24_parse_events": _with(EVENTS) + "SELECT * EXCLUDE (flying_score, flyable) FROM scored",
+    "c1_season_months": _obs_select("obs_id, month", "month BETWEEN 4 AND 9"),
+    "c2_midday_hours": _obs_select("obs_id", "month BETWEEN 4 AND 9 AND hour BETWEEN 8 AND 18"),
+    "c3_daylight_hours": _obs_select("obs_id", "month BETWEEN 4 AND 9 AND hour BETWEEN 6 AND 21"),
+    "c4_flyable_daylight": _obs_select(
+        "obs_id", "month BETWEEN 4 AND 9 AND hour BETWEEN 6 AND 21 AND flying_category <> 'not_flyable'"),
+    "c5_diurnal_slice": _obs_select(
+        "obs_id", "month BETWEEN 5 AND 8 AND (hour BETWEEN 6 AND 9 OR hour BETWEEN 12 AND 16)"),
+    "e9_distinct_counts": _with(*GRID) + f"SELECT {N_CELLS} AS n_cells, {N_YEARS} AS n_years",
+    "f2_global_rank": _obs_select(
+        "obs_id, blh, CAST(rank() OVER (ORDER BY blh DESC NULLS LAST) AS INTEGER) AS blh_rank"),
+}
+
+QUERIES.update(OPERATOR_QUERIES)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numeric import dewpoint_magnus, stable_round
+from ..functions.numeric import dewpoint_magnus
 from ..functions.derive import cloud_base
 from ..functions.timecols import iso_text
 from ..schemas import EVENT_SCHEMA, STATION_PAYLOAD_SCHEMA
@@ -80,7 +80,7 @@ def parse_payload(df: DataFrame, json_col: str, location_col: str, observed_at_c
         F.col("p.coord.lat").alias("lat"),
         F.col("p.coord.lon").alias("lon"),
         temp.alias("temp_c"),
-        stable_round(dew, 2).alias("dewpoint_c"),
+        dew.alias("dewpoint_c"),
         F.col("p.main.pressure").alias("pressure"),
         humidity.alias("humidity"),
         F.col("p.wind.speed").alias("wind_speed"),
