@@ -1,0 +1,43 @@
+"""The batch pipeline: raw zone -> transformed zone -> marts -> (optional) database."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Mapping
+
+from pyspark.sql import SparkSession
+
+from ..functions.derive import transform
+from ..sources.grid import read_raw, read_transformed, write_transformed
+from ..sources.marts import EXPORTED_MARTS, export_marts, write_mart
+from .marts import MARTS
+
+
+def run_batch(
+    spark: SparkSession,
+    raw_path: str,
+    zone_path: str,
+    mart_root: str,
+    years: Iterable[int] | None = None,
+    marts: Iterable[str] | None = None,
+    export: Mapping | None = None,
+) -> dict[str, str]:
+    """Transform, then build every mart from the written zone, then export.
+
+    ``years`` re-processes only those raw ``year=`` folders and replaces only the
+    matching (year, month) folders of the zone; the marts are always rebuilt from the
+    whole zone. Each mart is one job that reads only the columns and months it needs.
+    ``export`` = ``{"url": ..., "properties": {...}}`` copies the exported marts to a
+    database. Returns mart name -> folder.
+    """
+    raw = read_raw(spark, raw_path, years)
+    write_transformed(transform(raw), zone_path, replace="all" if years is None else "partitions")
+
+    obs = read_transformed(spark, zone_path)
+    written = {}
+    for name in marts or MARTS:
+        written[name] = write_mart(MARTS[name](obs), mart_root, name)
+
+    if export:
+        mapping = {k: v for k, v in EXPORTED_MARTS.items() if k in written}
+        export_marts(spark, mart_root, export["url"], export.get("properties", {}), mapping)
+    return written

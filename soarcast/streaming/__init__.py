@@ -8,5 +8,7 @@ from .views import (
     versus_baseline,
     wind_trend,
 )
+from .runner import SINK_NAMES, LiveQueries, start_live
+from .sinks import fan_out, jdbc_batch_writer, parquet_batch_writer
 
 __all__ = [name for name in dir() if not name.startswith("_")]
