@@ -9,6 +9,10 @@ Runs the production path on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) wit
   s1..s4: event messages (JSON lines, one file per topic partition) -> parse -> live
           views in batch mode (a backfill), written as Parquet
 
+Before timing, the same code runs once untimed over the smallest scale factor
+(``$BENCH_WARMUP_DIR``, default /root/testdata/sf0.001; set it empty to skip), so JIT
+and code generation are warm and the numbers reflect steady-state throughput.
+
 Prints ONE JSON line: {"metric": ..., "value": total_sec, "unit": "sec", "queries": {...}, "sf": ...}.
 Scratch output goes under the session's checkpoint folder (a fresh sub-folder per run).
 """
@@ -48,28 +52,14 @@ MART_KEYS = [
 ]
 
 
-def main() -> None:
-    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(
-        f"local[{cpus}]",
-        app_name="soarcast-bench",
-        shuffle_partitions=max(cpus, 1),
-        extra={
-            "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-            "spark.ui.showConsoleProgress": "false",
-        },
-    )
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(os.environ.get("BENCH_CHECKPOINT_DIR", "/tmp/checkpoints"))
-    work = f"{checkpoint_root(spark)}/bench-{uuid.uuid4().hex[:8]}"
+def run_pipeline(spark, sf_dir: str, work: str, cpus: int) -> dict[str, float]:
     paths = (f"{work}/{p}" for p in ("raw", "transformed", "marts", "live", "messages"))
     raw_path, zone_path, mart_root, live_root, msg_path = paths
 
     # setup (untimed): the raw zone as the ingest step leaves it, one folder per year
     raw = fixtures.grid_raw(spark, sf_dir).drop("obs_id")
     raw.withColumn("year", F.year("time")).write.mode("overwrite").partitionBy("year").parquet(raw_path)
-    spark.read.parquet(raw_path).count()  # warm the JVM and the file listing cache
+    spark.read.parquet(raw_path).count()  # warm the file listing cache
     # setup (untimed): event messages as they sit in a topic with one file per partition
     fixtures.event_messages(spark, sf_dir).select("value").repartition(cpus).write.mode("overwrite").text(msg_path)
 
@@ -88,9 +78,9 @@ def main() -> None:
     messages = spark.read.text(msg_path)
     baseline = hourly_baseline(read_mart(spark, mart_root, "q3_hourly_conditions"))
     live = {
-        "s1": lambda s: views.location_windows(s),
-        "s2": lambda s: views.wind_trend(s),
-        "s3": lambda s: views.point_alerts(s),
+        "s1": views.location_windows,
+        "s2": views.wind_trend,
+        "s3": views.point_alerts,
         "s4": lambda s: views.versus_baseline(s, baseline),
     }
     for key, build in live.items():
@@ -98,6 +88,29 @@ def main() -> None:
         scored = views.score_events(parse_events(messages))
         build(scored).write.mode("overwrite").parquet(f"{live_root}/{key}")
         timings[key] = time.perf_counter() - t0
+    return timings
+
+
+def main() -> None:
+    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+    cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    spark = build_session(
+        f"local[{cpus}]",
+        app_name="soarcast-bench",
+        shuffle_partitions=max(cpus, 1),
+        extra={
+            "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+            "spark.ui.showConsoleProgress": "false",
+        },
+    )
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(os.environ.get("BENCH_CHECKPOINT_DIR", "/tmp/checkpoints"))
+    run_id = uuid.uuid4().hex[:8]
+    root = checkpoint_root(spark)
+    warmup_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if warmup_dir:
+        run_pipeline(spark, warmup_dir, f"{root}/bench-{run_id}-warmup", cpus)
+    timings = run_pipeline(spark, sf_dir, f"{root}/bench-{run_id}", cpus)
 
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     total = sum(timings.values())
