@@ -32,7 +32,7 @@ from .live import (
     with_alert,
     with_flying_score,
 )
-from .numeric import count_where, dewpoint_magnus, percent_where, ratio, safe_corr, stable_round
+from .numeric import count_where, dewpoint_magnus, percent_of_rows, percent_where, ratio, safe_corr, stable_round
 from .timecols import normalize_time
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -36,9 +36,14 @@ def count_where(cond: Column) -> Column:
     return F.count_if(cond)
 
 
+def percent_of_rows(count: Column) -> Column:
+    """``count * 100.0 / count(*)`` inside an aggregation, as double."""
+    return ratio(count * F.lit(100.0), F.count(F.lit(1)))
+
+
 def percent_where(cond: Column) -> Column:
     """``100 * (rows where cond) / (all rows)`` as double."""
-    return ratio(F.count_if(cond) * F.lit(100.0), F.count(F.lit(1)))
+    return percent_of_rows(F.count_if(cond))
 
 
 def safe_corr(a: Column | str, b: Column | str) -> Column:

@@ -12,6 +12,7 @@ from .marts import (
     danger_by_season,
     hourly_conditions,
     morning_to_afternoon,
+    preview,
     top_stable_cells,
     top_unstable_cells,
     xc_months,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.derive import danger_flag, sky_bucket, xc_flag
-from ..functions.numeric import count_where, percent_where, safe_corr, stable_round
+from ..functions.numeric import count_where, percent_of_rows, percent_where, safe_corr, stable_round
 from ..operators.aggregates import distinct_count, per_unit
 from ..operators.filters import (
     afternoon_condition,
@@ -139,7 +139,7 @@ def cape_cloudbase_correlation(obs: DataFrame) -> DataFrame:
 def danger_by_season(obs: DataFrame) -> DataFrame:
     """Q6: share of dangerous hours by season and time of day, ranked within season."""
     out = obs.groupBy("season", "time_of_day").agg(
-        stable_round(ratio_pct(F.sum(danger_flag())), 1).alias("dangerous_pct"),
+        stable_round(percent_of_rows(F.sum(danger_flag())), 1).alias("dangerous_pct"),
         stable_round(F.avg("wind_speed"), 2).alias("avg_wind"),
         stable_round(F.avg("cape"), 1).alias("avg_cape"),
         F.count(F.lit(1)).alias("total_hours"),
@@ -148,11 +148,6 @@ def danger_by_season(obs: DataFrame) -> DataFrame:
     return out.orderBy("season", "time_of_day")
 
 
-def ratio_pct(flag_sum):
-    """``flag_sum * 100.0 / count(*)`` inside an aggregation."""
-    return F.try_divide(flag_sum * F.lit(100.0), F.count(F.lit(1)))
-
-
 def xc_months(obs: DataFrame) -> DataFrame:
     """Q7: cross-country-suitable hours per cell and year by month, ranked, with the
     change from the previous month."""
@@ -263,3 +258,8 @@ MARTS = {
     "q9_blh_development": blh_through_day,
     "q10_climate_trend": climate_trend,
 }
+
+
+def preview(mart: DataFrame, n: int = 20) -> DataFrame:
+    """The first ``n`` rows of a mart in its own order (what a console preview shows)."""
+    return mart.limit(n)
