@@ -38,6 +38,12 @@ def _flyable():
     return F.col("flying_category") != R.FLYING_FALLBACK
 
 
+def _sorted_small(df: DataFrame, *cols) -> DataFrame:
+    """Total order of a calendar-sized frame (<= a few hundred rows) without a range
+    shuffle and its sampling job: one partition, sorted locally."""
+    return df.coalesce(1).sortWithinPartitions(*cols)
+
+
 def category_hours_by_month(obs: DataFrame) -> DataFrame:
     """Q1: hours per grid cell in each flight category by month, with running totals."""
     n_cells = distinct_count(obs, "latitude", "longitude")
@@ -145,7 +151,7 @@ def danger_by_season(obs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_hours"),
     )
     out = small_rank(out, "dangerous_pct", ascending=False, partition_by=("season",), alias="danger_rank")
-    return out.orderBy("season", "time_of_day")
+    return _sorted_small(out, "season", "time_of_day")
 
 
 def xc_months(obs: DataFrame) -> DataFrame:
@@ -227,7 +233,7 @@ def blh_through_day(obs: DataFrame) -> DataFrame:
     )
     out = small_rank(out, "avg_blh", ascending=False, partition_by=("season",), alias="blh_rank")
     out = centred_mean(out, "avg_blh", "hour", 0, "blh_rolling_avg", partition_by=("season",))
-    return out.orderBy("season", "hour")
+    return _sorted_small(out, "season", "hour")
 
 
 def climate_trend(obs: DataFrame) -> DataFrame:

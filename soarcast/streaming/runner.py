@@ -27,6 +27,9 @@ from ..sources.events import parse_events, read_events, split_valid
 from .sinks import BatchWriter, fan_out
 from .views import location_windows, point_alerts, score_events, versus_baseline, wind_trend
 
+_STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Sink names of the reference deployment.
 SINK_NAMES = ("weather_stream", "location_comparison", "wind_trend", "weather_alerts", "historical_comparison",
               "rejected_events")
@@ -85,14 +88,20 @@ def start_live(
     checkpoint_dir: str | None = None,
     trigger: dict | None = None,
     max_files_per_trigger: int | None = None,
+    state_store: str = "rocksdb",
 ) -> LiveQueries:
     """Start the live queries over ``source`` (Kafka options or a JSON-lines folder).
 
     ``baseline`` is ``operators.hourly_baseline(q3 mart)``; ``sinks`` maps names from
     ``SINK_NAMES`` to writers; ``trigger`` is passed to ``DataStreamWriter.trigger``
     (default every 2 minutes; ``{"availableNow": True}`` for a catch-up run).
+    ``state_store="rocksdb"`` selects the RocksDB state store unless the session
+    already names one; the provider of an existing checkpoint cannot change.
     """
     root = (checkpoint_dir or f"{checkpoint_root(spark)}/live").rstrip("/")
+    if state_store == "rocksdb" and not spark.conf.get(_STATE_PROVIDER_KEY, None):
+        # window state lives off-heap and is checkpointed incrementally
+        spark.conf.set(_STATE_PROVIDER_KEY, _ROCKSDB_PROVIDER)
     trigger = trigger or {"processingTime": "2 minutes"}
     events = parse_events(read_events(spark, source, max_files_per_trigger))
     valid, _ = split_valid(events)

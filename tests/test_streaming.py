@@ -93,6 +93,8 @@ def test_live_queries_equal_batch_views(spark, scratch):
     progress = live.queries["windows"].recentProgress
     dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in progress for op in p["stateOperators"])
     assert dropped == 1
+    metrics = [k for p in progress for op in p["stateOperators"] for k in op.get("customMetrics", {})]
+    assert any(k.startswith("rocksdb") for k in metrics)  # window state kept in RocksDB
 
 
 def test_parquet_sink_is_idempotent_per_batch(spark, scratch):
