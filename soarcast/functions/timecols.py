@@ -19,7 +19,7 @@ def normalize_time(df: DataFrame, col: str = "time") -> DataFrame:
     """Make ``col`` a ``timestamp`` whatever its stored type.
 
     * bigint  -> epoch nanoseconds (how decoded grids land in Parquet)
-    * double  -> epoch seconds
+    * int, double -> epoch seconds
     * timestamp_ntz -> wall clock read in the session time zone
     * string  -> ISO text; malformed text gives NULL instead of failing the query
     * timestamp -> unchanged
@@ -28,8 +28,10 @@ def normalize_time(df: DataFrame, col: str = "time") -> DataFrame:
     c = F.col(col)
     if isinstance(dtype, TimestampType):
         return df
-    if isinstance(dtype, (LongType, IntegerType)):
+    if isinstance(dtype, LongType):
         expr = F.timestamp_micros(F.expr(f"`{col}` div 1000"))
+    elif isinstance(dtype, IntegerType):
+        expr = F.timestamp_seconds(c)
     elif isinstance(dtype, (DoubleType, FloatType)):
         expr = F.timestamp_micros((c * 1_000_000).cast("long"))
     elif isinstance(dtype, TimestampNTZType):

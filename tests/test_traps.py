@@ -164,3 +164,25 @@ def test_q2_all_one_row_cells(spark):
     )
     rows = marts.cell_stability(transform(raw)).collect()
     assert {r.stability_rank for r in rows} == {1} and all(r.stability_score is None for r in rows)
+
+
+def test_s4_event_hour_missing_from_baseline(spark):
+    from soarcast.operators import hourly_baseline
+    from soarcast.streaming import versus_baseline
+
+    mart = spark.createDataFrame([(10, 5.0, 800.0)], "hour int, avg_wind double, avg_cloud_base double")
+    events = spark.createDataFrame(
+        [("2024-01-01T10:15:00", "Vrsac", 45.1, 21.3, 9.5, 700.0, 12.0, dt.datetime(2024, 1, 1, 10, 15)),
+         ("2024-01-01T11:15:00", "Vrsac", 45.1, 21.3, 9.5, 700.0, 12.0, dt.datetime(2024, 1, 1, 11, 15))],
+        "timestamp string, location string, lat double, lon double, wind_speed double, cloud_base_m double, "
+        "temp_c double, event_time timestamp",
+    )
+    rows = {r.hour: r for r in versus_baseline(events, hourly_baseline(mart)).collect()}
+    assert (rows[10].wind_vs_historical, rows[10].cloud_base_vs_historical, rows[10].conditions_vs_avg) == (
+        4.5, -100.0, "WORSE_THAN_AVG")
+    assert rows[11].hist_wind is None and rows[11].conditions_vs_avg == "AVERAGE"
+
+
+def test_int_seconds_time(spark):
+    df = spark.createDataFrame([(1_593_597_600,)], "t int")
+    assert normalize_time(df, "t").first().t == dt.datetime(2020, 7, 1, 10, 0)
