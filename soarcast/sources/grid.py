@@ -23,20 +23,27 @@ def read_raw(spark: SparkSession, path: str, years: Iterable[int] | None = None)
     return df
 
 
-def write_transformed(obs: DataFrame, path: str, replace: str = "all", max_records_per_file: int = 0) -> None:
+def write_transformed(obs: DataFrame, path: str, replace: str = "all", max_records_per_file: int = 0,
+                      rebalance: bool = True) -> None:
     """Write observations partitioned by ``year, month``.
 
     ``replace="all"`` overwrites the zone; ``"partitions"`` overwrites only the
     (year, month) folders present in ``obs`` (incremental re-processing of a year).
 
-    The transform is a narrow projection, so the write is too: no shuffle. Each task
-    sorts its own rows by (year, month, cell, time) and writes one file per folder it
-    touches; raw inputs are time-ordered per year, so a task touches one or two
-    months. The cell/time order tightens Parquet min/max statistics for cell lookups.
-    ``max_records_per_file`` caps file size when input tasks are very large.
+    File layout does not depend on how the input is split: a rebalance on
+    (year, month) sends each folder's rows to few tasks, AQE sizes those tasks to the
+    advisory partition size (so files are large) and splits an oversized month into
+    several tasks (so a month holding a third of all rows is not one task). Without
+    it every input task would write a file into every folder it touches, which for
+    an input mixing years and months means tasks x folders tiny files. Rows are sorted
+    by cell and time inside each file, which tightens Parquet min/max statistics.
+
+    ``rebalance=False`` skips that shuffle; use it only when every input task already
+    holds one contiguous time range (e.g. one large time-ordered file per year).
     """
     mode = {"all": "static", "partitions": "dynamic"}[replace]
-    out = obs.sortWithinPartitions("year", "month", "latitude", "longitude", "time")
+    out = obs.hint("rebalance", "year", "month") if rebalance else obs
+    out = out.sortWithinPartitions("year", "month", "latitude", "longitude", "time")
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
