@@ -79,10 +79,16 @@ def flatten_cube(cube: DataFrame, dims: Sequence[str], variables: Sequence[str],
 
 
 def replace_year(rows: DataFrame, path: str, year: int) -> None:
-    """Replace one ``year=`` folder of the raw zone; other years are left untouched."""
+    """Replace one ``year=`` folder of the raw zone; other years are left untouched.
+
+    The rows are rebalanced so the folder gets advisory-size files, and sorted by time
+    so each later transform task reads a contiguous time range.
+    """
     (
         rows.drop("year")
         .withColumn("year", F.lit(int(year)))
+        .hint("rebalance")
+        .sortWithinPartitions("time")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year")
