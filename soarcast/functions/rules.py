@@ -26,7 +26,6 @@ class CategoryRule:
 # --- Fixed values: these must equal the reference's thresholds. -----------------
 
 KELVIN_OFFSET = 273.15
-CLOUD_BASE_M_PER_DEGREE = 1000.0 / 8  # written as x / 8 * 1000 in the formula
 
 # First matching rule wins; otherwise FLYING_FALLBACK.
 FLYING_RULES = (

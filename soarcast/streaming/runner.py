@@ -37,12 +37,12 @@ SINK_NAMES = ("weather_stream", "location_comparison", "wind_trend", "weather_al
 
 @dataclass
 class LiveQueries:
+    spark: SparkSession
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
 
     def await_any(self, timeout: float | None = None) -> bool:
         """Block until any query stops; a failed query re-raises its error here."""
-        spark = next(iter(self.queries.values())).sparkSession
-        return spark.streams.awaitAnyTermination(timeout)
+        return self.spark.streams.awaitAnyTermination(timeout)
 
     def process_all_available(self) -> None:
         for q in self.queries.values():
@@ -114,7 +114,7 @@ def start_live(
     if any(n in sinks for n in ("weather_alerts", "historical_comparison", "rejected_events")):
         plans["points"] = (events, _point_writer(baseline, sinks))
 
-    live = LiveQueries()
+    live = LiveQueries(spark)
     for name, (frame, writer) in plans.items():
         if writer is None:
             continue

@@ -125,3 +125,21 @@ def test_watermark_drops_out_of_order_rows(spark, scratch):
     assert 0 < got.count() < batch.count()
     keys = ["location", "window_start"]
     assert got.select(*keys).distinct().count() == got.count()
+
+
+def test_a_failing_sink_surfaces_in_await_any(spark, scratch):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    source = os.path.join(scratch, "in")
+    _write_files(source, [_messages_in_time_order(spark)[:50]], start_mtime=1_700_000_000)
+
+    def broken(batch_df, batch_id):
+        raise RuntimeError("sink down")
+
+    live = start_live(spark, source, None, {"wind_trend": broken}, checkpoint_dir=os.path.join(scratch, "ckpt"),
+                      trigger={"availableNow": True})
+    with pytest.raises(StreamingQueryException):
+        live.await_any(120)
+    live.stop()
+    spark.streams.resetTerminated()
