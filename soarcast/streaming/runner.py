@@ -114,6 +114,8 @@ def start_live(
     if any(n in sinks for n in ("weather_alerts", "historical_comparison", "rejected_events")):
         plans["points"] = (events, _point_writer(baseline, sinks))
 
+    # forget queries that ended earlier in this session, so await_any waits on these
+    spark.streams.resetTerminated()
     live = LiveQueries(spark)
     for name, (frame, writer) in plans.items():
         if writer is None:
