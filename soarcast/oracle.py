@@ -448,4 +448,13 @@ OPERATOR_QUERIES = {
         "obs_id, blh, CAST(rank() OVER (ORDER BY blh DESC NULLS LAST) AS INTEGER) AS blh_rank"),
 }
 
+# Spark's to_json leaves out NULL fields; dewpoint_c and humidity are NULL in this input.
+A11 = _with(EVENTS) + """
+SELECT location AS key,
+  to_json(struct_pack(timestamp, location, lat, lon, temp_c, pressure, wind_speed, wind_dir, wind_gust,
+                      cloud_cover, visibility, weather_desc, cloud_base_m))::VARCHAR AS value
+FROM events_typed"""
+
+OPERATOR_QUERIES["a11_encode_events"] = A11
+
 QUERIES.update(OPERATOR_QUERIES)

@@ -33,10 +33,8 @@ def test_matches_oracle(spark, duck, key):
     assert _canon(df.columns, rows) == _canon(d_cols, res.fetchall())
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"a11_encode_events"}
-    assert set(E.oracle_sql()) <= set(E.queries())
+def test_every_query_has_an_oracle():
+    assert set(E.oracle_sql()) == set(E.queries())
 
 
 def test_entry_runs(spark):
