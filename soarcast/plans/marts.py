@@ -38,6 +38,20 @@ def _flyable():
     return F.col("flying_category") != R.FLYING_FALLBACK
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    """Write a small intermediate to the cluster's shared checkpoint folder and read it
+    back, so several later passes read it instead of recomputing it from the zone.
+
+    Without a checkpoint folder the frame is returned as is (the passes recompute it).
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None):
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+        return df.checkpoint(eager=True)
+    return df
+
+
 def _sorted_small(df: DataFrame, *cols) -> DataFrame:
     """Total order of a calendar-sized frame (<= a few hundred rows) without a range
     shuffle and its sampling job: one partition, sorted locally."""
@@ -52,7 +66,7 @@ def category_hours_by_month(obs: DataFrame) -> DataFrame:
     )
     out = running_total(out, "student_hours", "month", 1, "cumulative_student")
     out = running_total(out, "expert_hours", "month", 1, "cumulative_expert")
-    return out.orderBy("month")
+    return _sorted_small(out, "month")
 
 
 def cell_stability(obs: DataFrame, buckets: int | None = None) -> DataFrame:
@@ -70,6 +84,9 @@ def cell_stability(obs: DataFrame, buckets: int | None = None) -> DataFrame:
         stable_round(F.avg("cloud_base_m"), 2).alias("avg_cloud_base"),
         F.count(F.lit(1)).alias("total_hours"),
     )
+    # one row per grid cell; the rank reads it twice (quantiles, then ranks), so it is
+    # checkpointed once instead of scanning the zone twice
+    cells = _materialize(cells)
     w_wind, w_cape, w_base = R.STABILITY_WEIGHTS
     cells = cells.withColumn(
         "stability_score",
@@ -103,7 +120,7 @@ def hourly_conditions(obs: DataFrame) -> DataFrame:
     )
     out = centred_mean(out, "avg_cape", "hour", 2, "cape_rolling_avg")
     out = centred_mean(out, "avg_blh", "hour", 2, "blh_rolling_avg")
-    return out.orderBy("hour")
+    return _sorted_small(out, "hour")
 
 
 def category_by_hour(obs: DataFrame) -> DataFrame:
@@ -125,7 +142,7 @@ def category_by_hour(obs: DataFrame) -> DataFrame:
     )
     out = small_rank(out, "expert_days", ascending=False, alias="expert_rank")
     out = change_from_previous(out, "avg_cape", "hour", 1, "cape_change")
-    return out.orderBy("hour")
+    return _sorted_small(out, "hour")
 
 
 def cape_cloudbase_correlation(obs: DataFrame) -> DataFrame:
@@ -139,7 +156,7 @@ def cape_cloudbase_correlation(obs: DataFrame) -> DataFrame:
         stable_round(F.avg("blh"), 0).alias("avg_blh"),
     )
     out = small_rank(out, "cape_cloudbase_corr", ascending=False, alias="correlation_rank")
-    return out.orderBy("month")
+    return _sorted_small(out, "month")
 
 
 def danger_by_season(obs: DataFrame) -> DataFrame:
@@ -168,7 +185,7 @@ def xc_months(obs: DataFrame) -> DataFrame:
     )
     out = small_rank(out, "xc_days", ascending=False, alias="xc_rank")
     out = change_from_previous(out, "xc_days", "month", 1, "xc_days_change")
-    return out.orderBy("month")
+    return _sorted_small(out, "month")
 
 
 def cell_day_outlook(obs: DataFrame) -> DataFrame:
@@ -219,7 +236,7 @@ def morning_to_afternoon(obs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_days"),
     )
     out = small_rank(out, "flyable_pct", ascending=False, alias="rank")
-    return out.orderBy(F.col("flyable_pct").desc_nulls_last())
+    return _sorted_small(out, F.col("flyable_pct").desc_nulls_last())
 
 
 def blh_through_day(obs: DataFrame) -> DataFrame:
@@ -248,7 +265,7 @@ def climate_trend(obs: DataFrame) -> DataFrame:
     out = change_from_previous(out, "avg_temp", "year", 2, "temp_trend")
     out = change_from_previous(out, "avg_cape", "year", 2, "cape_trend")
     out = change_from_previous(out, "flyable_pct", "year", 1, "flyable_trend")
-    return out.orderBy("year")
+    return _sorted_small(out, "year")
 
 
 # Mart name -> builder; names match the reference's curated folders.
