@@ -8,6 +8,7 @@ from .marts import (
     category_hours_by_month,
     cell_day_outlook,
     cell_stability,
+    grid_counts,
     climate_trend,
     danger_by_season,
     hourly_conditions,

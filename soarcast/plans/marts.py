@@ -58,9 +58,30 @@ def _sorted_small(df: DataFrame, *cols) -> DataFrame:
     return df.coalesce(1).sortWithinPartitions(*cols)
 
 
-def category_hours_by_month(obs: DataFrame) -> DataFrame:
-    """Q1: hours per grid cell in each flight category by month, with running totals."""
-    n_cells = distinct_count(obs, "latitude", "longitude")
+def grid_counts(obs: DataFrame) -> DataFrame:
+    """One row: ``n_cells`` (distinct latitude/longitude) and ``n_years`` (distinct years),
+    NULL combinations included, as ``distinct().count()`` counts them."""
+    return obs.agg(
+        F.count_distinct(F.struct("latitude", "longitude")).alias("n_cells"),
+        F.count_distinct(F.struct("year")).alias("n_years"),
+    )
+
+
+def _cells(obs: DataFrame, n_cells):
+    return distinct_count(obs, "latitude", "longitude") if n_cells is None else F.lit(n_cells)
+
+
+def _years(obs: DataFrame, n_years):
+    return distinct_count(obs, "year") if n_years is None else F.lit(n_years)
+
+
+def category_hours_by_month(obs: DataFrame, n_cells: int | None = None) -> DataFrame:
+    """Q1: hours per grid cell in each flight category by month, with running totals.
+
+    ``n_cells`` may be passed in when several marts share it (see ``run_batch``);
+    otherwise it is a lazy scalar subquery over ``obs``.
+    """
+    n_cells = _cells(obs, n_cells)
     out = obs.groupBy("month").agg(
         *[stable_round(per_unit(count_where(_category(c)), n_cells), 1).alias(f"{c}_hours") for c in CATEGORIES]
     )
@@ -123,14 +144,13 @@ def hourly_conditions(obs: DataFrame) -> DataFrame:
     return _sorted_small(out, "hour")
 
 
-def category_by_hour(obs: DataFrame) -> DataFrame:
+def category_by_hour(obs: DataFrame, n_cells: int | None = None, n_years: int | None = None) -> DataFrame:
     """Q4: flyable hours per cell and year by hour of day and category (daylight hours
     of the season), mean conditions, the rank of expert hours and the CAPE change.
 
     The cell and year denominators come from *all* observations, not the slice.
     """
-    n_cells = distinct_count(obs, "latitude", "longitude")
-    n_years = distinct_count(obs, "year")
+    n_cells, n_years = _cells(obs, n_cells), _years(obs, n_years)
     sliced = flying_hours(obs, R.FLYING_SEASON_MONTHS, R.DAYLIGHT_HOURS, flyable_only=True)
     out = sliced.groupBy("hour").agg(
         *[stable_round(per_unit(count_where(_category(c)), n_cells, n_years), 1).alias(f"{c}_days")
@@ -171,11 +191,10 @@ def danger_by_season(obs: DataFrame) -> DataFrame:
     return _sorted_small(out, "season", "time_of_day")
 
 
-def xc_months(obs: DataFrame) -> DataFrame:
+def xc_months(obs: DataFrame, n_cells: int | None = None, n_years: int | None = None) -> DataFrame:
     """Q7: cross-country-suitable hours per cell and year by month, ranked, with the
     change from the previous month."""
-    n_cells = distinct_count(obs, "latitude", "longitude")
-    n_years = distinct_count(obs, "year")
+    n_cells, n_years = _cells(obs, n_cells), _years(obs, n_years)
     out = obs.groupBy("month").agg(
         stable_round(per_unit(F.sum(xc_flag()), n_cells, n_years), 1).alias("xc_days"),
         stable_round(F.avg("cape"), 1).alias("avg_cape"),
@@ -268,6 +287,13 @@ def climate_trend(obs: DataFrame) -> DataFrame:
     return _sorted_small(out, "year")
 
 
+# Marts that divide by the grid counts (cells, and years for Q4/Q7).
+GRID_COUNT_MARTS = {
+    "q1_flying_hours_by_month": ("n_cells",),
+    "q4_hourly_by_category": ("n_cells", "n_years"),
+    "q7_xc_best_months": ("n_cells", "n_years"),
+}
+
 # Mart name -> builder; names match the reference's curated folders.
 MARTS = {
     "q1_flying_hours_by_month": category_hours_by_month,

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from ..functions.derive import transform
 from ..sources.grid import read_raw, read_transformed, write_transformed
 from ..sources.marts import EXPORTED_MARTS, export_marts, write_mart
-from .marts import MARTS
+from .marts import GRID_COUNT_MARTS, MARTS, grid_counts
 
 
 def run_batch(
@@ -25,7 +25,8 @@ def run_batch(
 
     ``years`` re-processes only those raw ``year=`` folders and replaces only the
     matching (year, month) folders of the zone; the marts are always rebuilt from the
-    whole zone. Each mart is one job that reads only the columns and months it needs.
+    whole zone. Each mart is one job that reads only the columns and months it needs;
+    the grid counts that Q1, Q4 and Q7 divide by are computed once and shared.
     ``export`` = ``{"url": ..., "properties": {...}}`` copies the exported marts to a
     database. Returns mart name -> folder.
     """
@@ -33,9 +34,16 @@ def run_batch(
     write_transformed(transform(raw), zone_path, replace="all" if years is None else "partitions")
 
     obs = read_transformed(spark, zone_path)
+    names = list(marts or MARTS)
+    counts = {}
+    if any(n in GRID_COUNT_MARTS for n in names):
+        # Q1, Q4 and Q7 share the grid counts: one scan of two columns instead of one per mart
+        row = grid_counts(obs).first()
+        counts = {"n_cells": row["n_cells"], "n_years": row["n_years"]}
     written = {}
-    for name in marts or MARTS:
-        written[name] = write_mart(MARTS[name](obs), mart_root, name)
+    for name in names:
+        extra = {k: counts[k] for k in GRID_COUNT_MARTS.get(name, ())}
+        written[name] = write_mart(MARTS[name](obs, **extra), mart_root, name)
 
     if export:
         mapping = {k: v for k, v in EXPORTED_MARTS.items() if k in written}
