@@ -57,7 +57,9 @@ def _vs_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _obs_cols(*cols) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: observations(spark, sf_dir).select("obs_id", *cols)
+    """Row id plus ``cols``; a callable entry builds its Column only once a session exists."""
+    return lambda spark, sf_dir: observations(spark, sf_dir).select(
+        "obs_id", *[c() if callable(c) else c for c in cols])
 
 
 def _obs_rows(slice_fn) -> Callable[[SparkSession, str], DataFrame]:
@@ -108,15 +110,15 @@ def _operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "b1_calendar": _obs_cols("year", "month", "day", "hour"),
         "b2_celsius": _obs_cols("temp_c", "dewpoint_c"),
         "b3_wind_speed": _obs_cols("wind_speed"),
-        "b4_wind_dir": _obs_cols(stable_round("wind_dir", 6).alias("wind_dir")),
+        "b4_wind_dir": _obs_cols(lambda: stable_round("wind_dir", 6).alias("wind_dir")),
         "b5_cloud_base_fog": _obs_cols("cloud_base_m", "fog_condition"),
         "b7_flying_category": _obs_cols("flying_category"),
         "b8_thermal_strength": _obs_cols("thermal_strength"),
         "b9_time_of_day": _obs_cols("hour", "time_of_day"),
         "b10_season": _obs_cols("month", "season"),
         "b11_transform": _transform_all,
-        "b12_danger_flag": _obs_cols(danger_flag().alias("dangerous")),
-        "b13_xc_flag": _obs_cols(xc_flag().alias("xc_suitable")),
+        "b12_danger_flag": _obs_cols(lambda: danger_flag().alias("dangerous")),
+        "b13_xc_flag": _obs_cols(lambda: xc_flag().alias("xc_suitable")),
         "b15_flying_score": lambda spark, sf_dir: scored(spark, sf_dir).select(
             "timestamp", "location", "wind_speed", "cloud_base_m", "cloud_cover", "flying_score", "flyable"),
         "b17_alert": lambda spark, sf_dir: scored(spark, sf_dir).select(

@@ -18,6 +18,6 @@ from .marts import (
     top_unstable_cells,
     xc_months,
 )
-from .pipeline import run_batch
+from .batch import run_batch
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -42,3 +42,15 @@ def test_entry_runs(spark):
     assert df.count() > 0
     assert df.columns == ["hour", "avg_cape", "avg_blh", "avg_wind", "avg_cloud_base", "flyable_pct",
                           "cape_rolling_avg", "blh_rolling_avg"]
+
+
+def test_registry_needs_no_session():
+    """The driver may list queries before it creates a session."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import __spark_entry__ as E; q = E.queries(); o = E.oracle_sql(); "
+            "assert set(q) == set(o) and len(q) == 43")
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
