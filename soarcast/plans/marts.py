@@ -38,7 +38,11 @@ def _flyable():
     return F.col("flying_category") != R.FLYING_FALLBACK
 
 
-def _materialize(df: DataFrame) -> DataFrame:
+# Distinct values per rank bucket the per-cell rank aims at (one task sorts at most this many).
+RANK_VALUES_PER_BUCKET = 100_000
+
+
+def _materialize(df: DataFrame) -> tuple[DataFrame, bool]:
     """Write a small intermediate to the cluster's shared checkpoint folder and read it
     back, so several later passes read it instead of recomputing it from the zone.
 
@@ -48,8 +52,15 @@ def _materialize(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None):
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
-        return df.checkpoint(eager=True)
-    return df
+        return df.checkpoint(eager=True), True
+    return df, False
+
+
+def _rank_buckets(cells: DataFrame) -> int:
+    """Bucket count for ranking a materialized frame: about RANK_VALUES_PER_BUCKET rows per
+    bucket, at most the shuffle partition count (counting a checkpoint is cheap)."""
+    limit = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(limit, -(-cells.count() // RANK_VALUES_PER_BUCKET)))
 
 
 def _sorted_small(df: DataFrame, *cols) -> DataFrame:
@@ -107,7 +118,9 @@ def cell_stability(obs: DataFrame, buckets: int | None = None) -> DataFrame:
     )
     # one row per grid cell; the rank reads it twice (quantiles, then ranks), so it is
     # checkpointed once instead of scanning the zone twice
-    cells = _materialize(cells)
+    cells, materialized = _materialize(cells)
+    if buckets is None and materialized:
+        buckets = _rank_buckets(cells)
     w_wind, w_cape, w_base = R.STABILITY_WEIGHTS
     cells = cells.withColumn(
         "stability_score",
