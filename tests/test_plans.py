@@ -57,3 +57,15 @@ def test_cell_rank_is_not_a_single_partition_window(spark):
     # the per-value window is partitioned by bucket
     assert "_bucket" in plan
     assert "windowspecdefinition(_bucket" in plan
+
+
+def test_no_global_sort_shuffle_in_marts_or_views(spark):
+    """Calendar-sized results are ordered by a local sort in one partition; no query plans a
+    range-partitioned sort (with its sampling job) before or after its windows."""
+    obs = E.observations(spark, SF_SMALL)
+    scored = E.scored_events(spark, SF_SMALL)
+    frames = [fn(obs) for fn in marts.MARTS.values()]
+    frames += [views.location_windows(scored), views.wind_trend(scored), views.point_alerts(scored),
+               views.versus_baseline(scored, hourly_baseline(marts.hourly_conditions(obs)))]
+    for df in frames:
+        assert "rangepartitioning" not in _plan(df)
