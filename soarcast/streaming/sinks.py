@@ -16,12 +16,13 @@ from .views import flatten_window
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def jdbc_batch_writer(table: str, url: str, properties: Mapping[str, str], tag_batch: bool = True) -> BatchWriter:
-    """Append each micro-batch to a database table.
+def jdbc_batch_writer(table: str, url: str, properties: Mapping[str, str], tag_batch: bool = False) -> BatchWriter:
+    """Append each micro-batch to a database table (same columns as the view, with
+    ``window`` flattened to ``window_start``/``window_end``).
 
     A database append is at-least-once: a batch retried after a failure is written
-    again. With ``tag_batch`` every row carries its ``batch_id``, so readers (or a
-    unique key on the table) can drop the repeated rows.
+    again. ``tag_batch=True`` adds a ``batch_id`` column to every row, so readers (or
+    a unique key on the table) can drop repeated rows; it needs that column in the table.
     """
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
