@@ -58,7 +58,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
 
     lv = sub.add_parser("live")
     lv.add_argument("--marts-root", required=True, help="folder holding the q3 mart (baseline)")
-    lv.add_argument("--sink-root", required=True, help="Parquet sink folder (one table per sink)")
+    lv.add_argument("--sink-root", help="Parquet sink folder (one table per sink)")
+    lv.add_argument("--jdbc-url", help="database for the five live tables (instead of Parquet)")
+    lv.add_argument("--jdbc-properties")
     lv.add_argument("--source", required=True, help="JSON-lines folder, or a JSON object of Kafka options")
     lv.add_argument("--checkpoint-dir")
     lv.add_argument("--trigger", default="2 minutes", help="processing-time interval, or 'available-now'")
@@ -93,11 +95,19 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif args.command == "live":
         from .operators import hourly_baseline
         from .sources import read_mart
-        from .streaming import SINK_NAMES, parquet_batch_writer, start_live
+        from .streaming import SINK_NAMES, jdbc_batch_writer, parquet_batch_writer, start_live
 
+        if not (args.sink_root or args.jdbc_url):
+            p.error("live needs --sink-root or --jdbc-url")
         source = json.loads(args.source) if args.source.lstrip().startswith("{") else args.source
         baseline = hourly_baseline(read_mart(spark, args.marts_root, "q3_hourly_conditions"))
-        sinks = {name: parquet_batch_writer(args.sink_root, name) for name in SINK_NAMES}
+        sinks = {}
+        if args.sink_root:
+            sinks = {name: parquet_batch_writer(args.sink_root, name) for name in SINK_NAMES}
+        if args.jdbc_url:
+            jdbc = _jdbc(args)
+            for name in SINK_NAMES[:-1]:  # the five reference tables; rejected rows stay on storage
+                sinks[name] = jdbc_batch_writer(name, jdbc["url"], jdbc["properties"])
         trigger = {"availableNow": True} if args.trigger == "available-now" else {"processingTime": args.trigger}
         live = start_live(spark, source, baseline, sinks, checkpoint_dir=args.checkpoint_dir, trigger=trigger)
         if args.trigger == "available-now":
