@@ -66,6 +66,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     lv.add_argument("--trigger", default="2 minutes", help="processing-time interval, or 'available-now'")
 
     args = p.parse_args(argv)
+    if args.command == "live" and not (args.sink_root or args.jdbc_url):
+        p.error("live needs --sink-root or --jdbc-url")
     own_session = spark is None
     spark = spark or _spark(args)
 
@@ -97,8 +99,6 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from .sources import read_mart
         from .streaming import SINK_NAMES, jdbc_batch_writer, parquet_batch_writer, start_live
 
-        if not (args.sink_root or args.jdbc_url):
-            p.error("live needs --sink-root or --jdbc-url")
         source = json.loads(args.source) if args.source.lstrip().startswith("{") else args.source
         baseline = hourly_baseline(read_mart(spark, args.marts_root, "q3_hourly_conditions"))
         sinks = {}
