@@ -161,7 +161,8 @@ def category_by_hour(obs: DataFrame, n_cells: int | None = None, n_years: int |
     """Q4: flyable hours per cell and year by hour of day and category (daylight hours
     of the season), mean conditions, the rank of expert hours and the CAPE change.
 
-    The cell and year denominators come from *all* observations, not the slice.
+    The cell and year denominators come from *all* observations, not the slice. The
+    ``*_days`` columns keep the reference's names; their unit is hours per cell and year.
     """
     n_cells, n_years = _cells(obs, n_cells), _years(obs, n_years)
     sliced = flying_hours(obs, R.FLYING_SEASON_MONTHS, R.DAYLIGHT_HOURS, flyable_only=True)
@@ -206,7 +207,7 @@ def danger_by_season(obs: DataFrame) -> DataFrame:
 
 def xc_months(obs: DataFrame, n_cells: int | None = None, n_years: int | None = None) -> DataFrame:
     """Q7: cross-country-suitable hours per cell and year by month, ranked, with the
-    change from the previous month."""
+    change from the previous month (``xc_days`` keeps the reference's name; unit: hours)."""
     n_cells, n_years = _cells(obs, n_cells), _years(obs, n_years)
     out = obs.groupBy("month").agg(
         stable_round(per_unit(F.sum(xc_flag()), n_cells, n_years), 1).alias("xc_days"),
