@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Settings every job needs: UTC calendar parts, adaptive execution (partition
-# coalescing, skew-join splitting, runtime broadcast) and no web UI.
+# coalescing, skew-join splitting, runtime broadcast), no web UI.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files of intermediate frames (e.g. Q2's per-cell table) are removed once
+    # the frame is garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
