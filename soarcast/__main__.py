@@ -100,7 +100,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from .streaming import SINK_NAMES, jdbc_batch_writer, parquet_batch_writer, start_live
 
         source = json.loads(args.source) if args.source.lstrip().startswith("{") else args.source
-        baseline = hourly_baseline(read_mart(spark, args.marts_root, "q3_hourly_conditions"))
+        def baseline():  # re-read every micro-batch: follows the nightly mart rewrite
+            return hourly_baseline(read_mart(spark, args.marts_root, "q3_hourly_conditions"))
+
         sinks = {}
         if args.sink_root:
             sinks = {name: parquet_batch_writer(args.sink_root, name) for name in SINK_NAMES}
