@@ -69,3 +69,25 @@ def test_no_global_sort_shuffle_in_marts_or_views(spark):
                views.versus_baseline(scored, hourly_baseline(marts.hourly_conditions(obs)))]
     for df in frames:
         assert "rangepartitioning" not in _plan(df)
+
+
+def test_zone_file_count_is_bounded_for_mixed_input(spark, scratch):
+    """Input tasks that each mix every year and month must not write one file per
+    task and folder (the small-file explosion a shuffle-free write would cause)."""
+    import glob
+
+    raw = fixtures.grid_raw(spark, SF_SMALL).drop("obs_id").repartition(16)  # every task mixes months
+    write_transformed(transform(raw), f"{scratch}/zone")
+    folders = glob.glob(f"{scratch}/zone/year=*/month=*")
+    files = glob.glob(f"{scratch}/zone/year=*/month=*/*.parquet")
+    assert len(files) <= 2 * len(folders)
+    write_transformed(transform(raw), f"{scratch}/zone_plain", rebalance=False)
+    plain = glob.glob(f"{scratch}/zone_plain/year=*/month=*/*.parquet")
+    assert len(plain) > 4 * len(folders)  # what the rebalance prevents
+
+
+def test_cell_rank_reads_the_checkpoint_not_the_zone(spark, scratch):
+    write_transformed(transform(fixtures.grid_raw(spark, SF_SMALL)), f"{scratch}/zone")
+    obs = read_transformed(spark, f"{scratch}/zone")
+    q2 = marts.cell_stability(obs)  # checkpoints the per-cell table eagerly
+    assert "FileScan" not in _plan(q2)
