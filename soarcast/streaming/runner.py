@@ -102,6 +102,8 @@ def start_live(
     ``state_store="rocksdb"`` selects the RocksDB state store unless the session
     already names one; the provider of an existing checkpoint cannot change.
     """
+    if "historical_comparison" in sinks and baseline is None:
+        raise ValueError("the historical_comparison sink needs a baseline (see operators.hourly_baseline)")
     root = (checkpoint_dir or f"{checkpoint_root(spark)}/live").rstrip("/")
     if state_store == "rocksdb" and not spark.conf.get(_STATE_PROVIDER_KEY, None):
         # window state lives off-heap and is checkpointed incrementally

@@ -143,3 +143,11 @@ def test_a_failing_sink_surfaces_in_await_any(spark, scratch):
         live.await_any(120)
     live.stop()
     spark.streams.resetTerminated()
+
+
+def test_comparison_sink_requires_a_baseline(spark, scratch):
+    import pytest
+
+    with pytest.raises(ValueError):
+        start_live(spark, scratch, None, {"historical_comparison": parquet_batch_writer(scratch, "x")},
+                   checkpoint_dir=os.path.join(scratch, "ckpt"))
