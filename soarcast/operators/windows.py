@@ -13,6 +13,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ..functions.numeric import stable_round
 
@@ -69,6 +70,8 @@ def global_rank(df: DataFrame, col: str, ascending: bool = True, nulls_last: boo
 
     ``col`` must be numeric. Ties share a rank and leave gaps, as ``rank()``.
     """
+    if not isinstance(df.schema[col].dataType, NumericType):
+        raise TypeError(f"global_rank needs a numeric column; {col} is {df.schema[col].dataType.simpleString()}")
     spark = df.sparkSession
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))

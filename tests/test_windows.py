@@ -48,3 +48,9 @@ def test_global_rank_keeps_rows_and_columns(spark):
     df = _frame(spark, 500, 50, 0.0, 0.0, seed=7)
     out = global_rank(df, "v")
     assert out.count() == 500 and out.columns == ["id", "v", "rank"]
+
+
+def test_global_rank_rejects_non_numeric(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "s string")
+    with pytest.raises(TypeError):
+        global_rank(df, "s")
