@@ -91,6 +91,7 @@ def start_live(
     trigger: dict | None = None,
     max_files_per_trigger: int | None = None,
     state_store: str = "rocksdb",
+    state_partitions: int | None = None,
 ) -> LiveQueries:
     """Start the live queries over ``source`` (Kafka options or a JSON-lines folder).
 
@@ -101,6 +102,9 @@ def start_live(
     (default every 2 minutes; ``{"availableNow": True}`` for a catch-up run).
     ``state_store="rocksdb"`` selects the RocksDB state store unless the session
     already names one; the provider of an existing checkpoint cannot change.
+    ``state_partitions`` sets the number of state partitions of the windowed queries
+    at their first start (kept in the checkpoint afterwards); the session's
+    ``spark.sql.shuffle.partitions`` is used when it is not given.
     """
     if "historical_comparison" in sinks and baseline is None:
         raise ValueError("the historical_comparison sink needs a baseline (see operators.hourly_baseline)")
@@ -123,15 +127,22 @@ def start_live(
     # forget queries that ended earlier in this session, so await_any waits on these
     spark.streams.resetTerminated()
     live = LiveQueries(spark)
-    for name, (frame, writer) in plans.items():
-        if writer is None:
-            continue
-        live.queries[name] = (
-            frame.writeStream.queryName(f"live_{name}")
-            .outputMode("append")
-            .option("checkpointLocation", f"{root}/{name}")
-            .foreachBatch(writer)
-            .trigger(**trigger)
-            .start()
-        )
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for name, (frame, writer) in plans.items():
+            if writer is None:
+                continue
+            if state_partitions and name in ("windows", "wind_trend"):
+                spark.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+            live.queries[name] = (
+                frame.writeStream.queryName(f"live_{name}")
+                .outputMode("append")
+                .option("checkpointLocation", f"{root}/{name}")
+                .foreachBatch(writer)
+                .trigger(**trigger)
+                .start()
+            )
+            spark.conf.set("spark.sql.shuffle.partitions", saved)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
     return live

@@ -151,3 +151,17 @@ def test_comparison_sink_requires_a_baseline(spark, scratch):
     with pytest.raises(ValueError):
         start_live(spark, scratch, None, {"historical_comparison": parquet_batch_writer(scratch, "x")},
                    checkpoint_dir=os.path.join(scratch, "ckpt"))
+
+
+def test_state_partitions_are_set_per_query(spark, scratch):
+    source = os.path.join(scratch, "in")
+    _write_files(source, [_messages_in_time_order(spark)[:100]], start_mtime=1_700_000_000)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    live = start_live(spark, source, None, {"wind_trend": parquet_batch_writer(scratch, "wt")},
+                      checkpoint_dir=os.path.join(scratch, "ckpt"), trigger={"availableNow": True},
+                      state_partitions=3)
+    for q in live.queries.values():
+        q.awaitTermination(120)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    ops = [op for p in live.queries["wind_trend"].recentProgress for op in p["stateOperators"]]
+    assert ops and all(op["numShufflePartitions"] == 3 for op in ops)
