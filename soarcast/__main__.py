@@ -64,6 +64,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     lv.add_argument("--source", required=True, help="JSON-lines folder, or a JSON object of Kafka options")
     lv.add_argument("--checkpoint-dir")
     lv.add_argument("--trigger", default="2 minutes", help="processing-time interval, or 'available-now'")
+    lv.add_argument("--state-partitions", type=int, help="state partitions of the windowed queries (first start)")
 
     args = p.parse_args(argv)
     if args.command == "live" and not (args.sink_root or args.jdbc_url):
@@ -111,7 +112,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             for name in SINK_NAMES[:-1]:  # the five reference tables; rejected rows stay on storage
                 sinks[name] = jdbc_batch_writer(name, jdbc["url"], jdbc["properties"])
         trigger = {"availableNow": True} if args.trigger == "available-now" else {"processingTime": args.trigger}
-        live = start_live(spark, source, baseline, sinks, checkpoint_dir=args.checkpoint_dir, trigger=trigger)
+        live = start_live(spark, source, baseline, sinks, checkpoint_dir=args.checkpoint_dir, trigger=trigger,
+                          state_partitions=args.state_partitions)
         if args.trigger == "available-now":
             for q in live.queries.values():
                 q.awaitTermination()

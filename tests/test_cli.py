@@ -22,5 +22,5 @@ def test_cli_transform_marts_and_live(spark, scratch):
 
     assert main(["live", "--marts-root", f"{scratch}/marts", "--sink-root", f"{scratch}/live",
                  "--source", f"{scratch}/msgs", "--checkpoint-dir", f"{scratch}/ckpt",
-                 "--trigger", "available-now"], spark) == 0
+                 "--trigger", "available-now", "--state-partitions", "4"], spark) == 0
     assert spark.read.parquet(f"{scratch}/live/historical_comparison").count() == 1000
