@@ -2,6 +2,7 @@
 ``spark-submit --py-files soarcast.zip submit.py <command> ...``.
 
 Commands
+  ingest     decoded grid cubes -> one year of the raw zone
   transform  raw zone -> transformed zone
   marts      transformed zone -> curated marts (all, or the ones named)
   batch      transform + marts (+ export with --jdbc-url)
@@ -15,6 +16,7 @@ import argparse
 import json
 import sys
 
+from .schemas import RAW_VARIABLES
 from .session import build_session
 
 
@@ -33,6 +35,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p = argparse.ArgumentParser(prog="soarcast")
     sub = p.add_subparsers(dest="command", required=True)
 
+    ig = sub.add_parser("ingest", help="decoded cubes (Parquet, one array per dimension/variable) -> raw year")
+    ig.add_argument("--cubes", required=True)
+    ig.add_argument("--raw", required=True)
+    ig.add_argument("--year", type=int, required=True)
+    ig.add_argument("--dims", nargs="+", default=["time", "latitude", "longitude"])
+    ig.add_argument("--variables", nargs="+", default=list(RAW_VARIABLES))
+
     t = sub.add_parser("transform")
     t.add_argument("--raw", required=True)
     t.add_argument("--zone", required=True)
@@ -72,7 +81,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     own_session = spark is None
     spark = spark or _spark(args)
 
-    if args.command == "transform":
+    if args.command == "ingest":
+        from .sources import flatten_cube, replace_year
+
+        cubes = spark.read.parquet(args.cubes)
+        variables = [v for v in args.variables if v in cubes.columns]
+        replace_year(flatten_cube(cubes, args.dims, variables), args.raw, args.year)
+    elif args.command == "transform":
         from .functions import transform
         from .sources import read_raw, write_transformed
 

@@ -24,3 +24,25 @@ def test_cli_transform_marts_and_live(spark, scratch):
                  "--source", f"{scratch}/msgs", "--checkpoint-dir", f"{scratch}/ckpt",
                  "--trigger", "available-now", "--state-partitions", "4"], spark) == 0
     assert spark.read.parquet(f"{scratch}/live/historical_comparison").count() == 1000
+
+
+def test_cli_ingest_replaces_one_year(spark, scratch):
+    import datetime as dt
+
+    times = [dt.datetime(2021, 7, 1, h) for h in (10, 11)]
+    lats, lons = [45.0, 44.75], [20.0, 20.25, 20.5]
+
+    def grid(base):
+        return [[[base + t + a * 0.1 + o * 0.01 for o in range(3)] for a in range(2)] for t in range(2)]
+
+    cols = {"t2m": 290.0, "d2m": 280.0, "u10": 2.0, "v10": 1.0, "cape": 400.0, "blh": 1200.0, "sp": 95000.0,
+            "tcc": 0.1}
+    schema = ("time array<timestamp>, latitude array<double>, longitude array<double>, "
+              + ", ".join(f"{c} array<array<array<double>>>" for c in cols))
+    cube = spark.createDataFrame([(times, lats, lons, *[grid(v) for v in cols.values()])], schema)
+    cube.write.parquet(f"{scratch}/cubes")
+    assert main(["ingest", "--cubes", f"{scratch}/cubes", "--raw", f"{scratch}/raw", "--year", "2021"], spark) == 0
+    raw = spark.read.parquet(f"{scratch}/raw")
+    assert raw.count() == 12 and raw.select("year").distinct().first()[0] == 2021
+    assert main(["transform", "--raw", f"{scratch}/raw", "--zone", f"{scratch}/zone"], spark) == 0
+    assert spark.read.parquet(f"{scratch}/zone").count() == 12
