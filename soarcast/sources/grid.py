@@ -65,6 +65,8 @@ def flatten_cube(cube: DataFrame, dims: Sequence[str], variables: Sequence[str],
     inner, e.g. time, latitude, longitude) and, per variable, a nested array of the
     same shape. Each cube is exploded in its own task, dimension by dimension; the
     result has the dimension values, the variables, and ``keys`` copied from the cube.
+    One cube row is one task's work, so feed time slices (e.g. one row per time step or
+    day), not a whole year in one row; the slices then spread over the cluster.
     """
     df = cube.select(*keys, *[F.col(d).alias(f"_dim_{d}") for d in dims], *variables)
     for d in dims:
