@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    DateType,
     DoubleType,
     FloatType,
     IntegerType,
@@ -20,7 +21,7 @@ def normalize_time(df: DataFrame, col: str = "time") -> DataFrame:
 
     * bigint  -> epoch nanoseconds (how decoded grids land in Parquet)
     * int, double -> epoch seconds
-    * timestamp_ntz -> wall clock read in the session time zone
+    * timestamp_ntz -> wall clock read in the session time zone; date -> its midnight
     * string  -> ISO text; malformed text gives NULL instead of failing the query
     * timestamp -> unchanged
     """
@@ -34,7 +35,7 @@ def normalize_time(df: DataFrame, col: str = "time") -> DataFrame:
         expr = F.timestamp_seconds(c)
     elif isinstance(dtype, (DoubleType, FloatType)):
         expr = F.timestamp_micros((c * 1_000_000).cast("long"))
-    elif isinstance(dtype, TimestampNTZType):
+    elif isinstance(dtype, (TimestampNTZType, DateType)):
         expr = c.cast("timestamp")
     elif isinstance(dtype, StringType):
         expr = F.try_to_timestamp(c)

@@ -186,3 +186,8 @@ def test_s4_event_hour_missing_from_baseline(spark):
 def test_int_seconds_time(spark):
     df = spark.createDataFrame([(1_593_597_600,)], "t int")
     assert normalize_time(df, "t").first().t == dt.datetime(2020, 7, 1, 10, 0)
+
+
+def test_date_time_column(spark):
+    df = spark.createDataFrame([(dt.date(2020, 7, 1),)], "t date")
+    assert normalize_time(df, "t").first().t == dt.datetime(2020, 7, 1, 0, 0)
