@@ -80,13 +80,14 @@ def global_rank(df: DataFrame, col: str, ascending: bool = True, nulls_last: boo
     value = F.col(col)
     # bucketing runs on an ascending key: the value, or its negation for DESC
     key = value.cast("double") if ascending else -value.cast("double")
+    is_nan = F.isnan(value.cast("double"))
     values = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
 
     fractions = [i / buckets for i in range(1, buckets)]
     if fractions:
         step = max(1, math.isqrt(len(fractions)))
         bounds = (
-            values.select(F.percentile_approx(key, fractions, accuracy).alias("b"))
+            values.select(F.percentile_approx(F.when(~is_nan, key), fractions, accuracy).alias("b"))
             .select(F.struct(
                 F.coalesce("b", F.array().cast("array<double>")).alias("fine"),
                 F.coalesce(F.filter("b", lambda x, i: (i + 1) % step == 0),
@@ -102,11 +103,15 @@ def global_rank(df: DataFrame, col: str, ascending: bool = True, nulls_last: boo
     else:
         values = values.withColumn("_bounds", F.lit(None))
         before = F.lit(0)
-    null_bucket = F.lit(buckets if nulls_last else -1)
+    # NaN sorts above every number (last ascending, first descending); NULLs go to an end
+    nan_bucket = F.lit(buckets if ascending else -1)
+    null_bucket = F.lit(buckets + 1 if nulls_last else -2)
     # one shuffle by bucket feeds both the bucket sizes and the per-bucket running sum,
     # so the bucket search runs once per distinct value
     bucketed = (
-        values.withColumn("_bucket", F.when(value.isNull(), null_bucket).otherwise(before))
+        values.withColumn(
+            "_bucket", F.when(value.isNull(), null_bucket).when(is_nan, nan_bucket).otherwise(before)
+        )
         .drop("_bounds")
         .repartition("_bucket")
     )

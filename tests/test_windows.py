@@ -16,6 +16,8 @@ def _frame(spark, n, n_distinct, null_share, hot_share, seed):
         r = rnd.random()
         if r < null_share:
             v = None
+        elif r < null_share + 0.02:
+            v = float("nan")
         elif r < null_share + hot_share:
             v = 42.0  # one value holding a large share of the rows
         else:
