@@ -172,9 +172,11 @@ q2 AS (
 )"""
 
 Q2 = _with(*GRID, Q2_CELLS) + "SELECT * FROM q2"
-Q2_TOP_STABLE = _with(*GRID, Q2_CELLS) + "SELECT * FROM q2 ORDER BY stability_rank, latitude, longitude LIMIT 10"
+Q2_TOP_STABLE = _with(*GRID, Q2_CELLS) + (
+    "SELECT * FROM q2 ORDER BY stability_rank NULLS LAST, latitude NULLS LAST, longitude NULLS LAST LIMIT 10"
+)
 Q2_TOP_UNSTABLE = _with(*GRID, Q2_CELLS) + (
-    "SELECT * FROM q2 ORDER BY stability_score DESC NULLS LAST, latitude, longitude LIMIT 10"
+    "SELECT * FROM q2 ORDER BY stability_score DESC NULLS LAST, latitude NULLS LAST, longitude NULLS LAST LIMIT 10"
 )
 
 Q3 = _with(*GRID, Q3_BODY) + "SELECT * FROM q3"

@@ -133,13 +133,18 @@ def cell_stability(obs: DataFrame, buckets: int | None = None) -> DataFrame:
 
 
 def top_stable_cells(stability: DataFrame, n: int = 10) -> DataFrame:
-    """Q2 report: the ``n`` most stable cells (rank, then position breaks ties)."""
-    return stability.orderBy("stability_rank", "latitude", "longitude").limit(n)
+    """Q2 report: the ``n`` most stable cells (rank, then position breaks ties; cells
+    without a position come last)."""
+    return stability.orderBy(F.col("stability_rank").asc_nulls_last(), *_position()).limit(n)
 
 
 def top_unstable_cells(stability: DataFrame, n: int = 10) -> DataFrame:
     """Q2 report: the ``n`` least stable cells (highest score first, NULL scores last)."""
-    return stability.orderBy(F.col("stability_score").desc_nulls_last(), "latitude", "longitude").limit(n)
+    return stability.orderBy(F.col("stability_score").desc_nulls_last(), *_position()).limit(n)
+
+
+def _position():
+    return F.col("latitude").asc_nulls_last(), F.col("longitude").asc_nulls_last()
 
 
 def hourly_conditions(obs: DataFrame) -> DataFrame:

@@ -29,12 +29,16 @@ EDGES = {
 }
 
 
-def _random_raw(seed: int, n: int = 2500):
+def _random_raw(seed: int, n: int = 2500, nan_share: float = 0.0):
     rnd = random.Random(seed)
     base = dt.datetime(2019, 1, 1)
 
     def maybe(v, p=0.03):
-        return None if rnd.random() < p else v
+        if rnd.random() < p:
+            return None
+        if isinstance(v, float) and rnd.random() < nan_share:
+            return float("nan")
+        return v
 
     rows = []
     for i in range(n):
@@ -70,14 +74,19 @@ def _arrow(rows):
     return pa.table({n: pa.array(c, type=t) for n, c, t in zip(names, cols, types)})
 
 
+def _same_nan(v):
+    return "NaN" if isinstance(v, float) and v != v else v  # NaN != NaN would fail equal rows
+
+
 def _canon(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
-    return sorted((tuple(r[i] for i in order) for r in rows), key=lambda t: tuple((x is None, str(x)) for x in t))
+    return sorted((tuple(_same_nan(r[i]) for i in order) for r in rows),
+                  key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_grid_queries_on_random_raw(spark, seed, monkeypatch):
-    rows = _random_raw(seed)
+@pytest.mark.parametrize("seed,nan_share", [(1, 0.0), (2, 0.0), (5, 0.02)])
+def test_grid_queries_on_random_raw(spark, seed, nan_share, monkeypatch):
+    rows = _random_raw(seed, nan_share=nan_share)
     raw = spark.createDataFrame(rows, SCHEMA)
     monkeypatch.setattr(E, "observations", lambda s, d: transform(raw))
     con = duckdb.connect()
