@@ -68,7 +68,8 @@ def global_rank(df: DataFrame, col: str, ascending: bool = True, nulls_last: boo
     5. The rank is joined back to the rows on the value (NULL-safe). A hot value is
        one row on the small side, so AQE's skew-join split covers the big side.
 
-    ``col`` must be numeric. Ties share a rank and leave gaps, as ``rank()``.
+    ``col`` must be numeric. Ties share a rank and leave gaps, as ``rank()``. NULLs go
+    first or last as asked, and NaN sorts above every number, as in Spark's ordering.
     """
     if not isinstance(df.schema[col].dataType, NumericType):
         raise TypeError(f"global_rank needs a numeric column; {col} is {df.schema[col].dataType.simpleString()}")
