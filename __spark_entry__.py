@@ -30,6 +30,15 @@ from soarcast.sources import fixtures
 from soarcast.sources.events import parse_events, parse_payload
 from soarcast.streaming import views
 
+try:
+    # the training-data subpackage and its pipeline can be taken out as a whole
+    import corpus_pipeline
+    from soarcast.llm import registry as llm
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "soarcast.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -162,8 +171,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "s4_vs_baseline": _vs_baseline,
         "d1_cell_day_join": _mart(marts.cell_day_outlook),
         **_operator_queries(),
+        **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracle.QUERIES)
+    sql = dict(oracle.QUERIES)
+    if llm:
+        sql |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
