@@ -8,6 +8,7 @@ folder under the machine's temp folder is set, on a local master only.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -28,10 +29,24 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Put this package's folder on the Python workers' path, as the driver found it.
+
+    On a cluster the package is installed or sent with ``--py-files`` and this changes nothing;
+    where a driver only put a folder on ``sys.path``, its local workers need it as well.
+    """
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, home])
+
+
 class Scratch:
     """A fresh folder of one run in the shared folder; its tables are named by the caller."""
 
     def __init__(self, spark: SparkSession, name: str):
+        let_workers_import(spark)
         self.spark = spark
         self.run = uuid.uuid4().hex[:12]
         self.root = f"{shared_root(spark)}/llm-{name}-{self.run}"
