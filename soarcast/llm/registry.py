@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, ngram_join, packing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_pack_sequences": packing.op3,
         "op6_exact_dedup": exact_dedup.op6,
+        "op8_ngram_jaccard_join": ngram_join.op8,
         "op10_mix_sources": mixing.op10,
     }
 
