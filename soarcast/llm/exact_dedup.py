@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from .scratch import Scratch, free_names
 from .skew import attach
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -97,17 +97,16 @@ def deduplicate(docs: DataFrame, index: DigestIndex, scratch: Scratch) -> DataFr
 
 def keep_first(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    on = free_names(docs.columns, "_digest", "_row_key", "_points")
     keys = decisions.filter("kept").select(
-        F.col("digest").alias("_digest"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_row_key"),
-        F.col("n_points").alias("_points"))
+        F.col("digest").alias(on[0]), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(on[1]), F.col("n_points").alias(on[2]))
     marked = docs.withColumns({
-        "_digest": F.unhex(F.sha2(normalised().cast("binary"), 256)),
-        "_row_key": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-        "_points": F.length(F.coalesce("text", F.lit(""))).cast("bigint"),
+        on[0]: F.unhex(F.sha2(normalised().cast("binary"), 256)),
+        on[1]: F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+        on[2]: F.length(F.coalesce("text", F.lit(""))).cast("bigint"),
     })
-    join_on = ["_digest", "_row_key", "_points"]
     # repeated rows share all three, so this needs no further shuffle after the join
-    return marked.join(keys, join_on, "left_semi").dropDuplicates(join_on).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return marked.join(keys, on, "left_semi").dropDuplicates(on).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def new_index(spark: SparkSession, scratch: Scratch, id_type: str = "bigint") -> DigestIndex:

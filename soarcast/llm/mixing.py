@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from .scratch import Scratch, free_names
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -162,6 +162,35 @@ def mix(docs: DataFrame, scratch: Scratch, seed: str = SEED) -> DataFrame:
                          (F.col("copies") * F.col("size") + more).alias("taken"))
 
 
+def take(docs: DataFrame, scratch: Scratch, seed: str = SEED) -> DataFrame:
+    """The mix itself: the rows of ``docs``, once for every whole time they are taken, and cut
+    to the words of a run that begins or ends within them. Documents of which nothing is taken
+    leave. Columns stay as they are, except that ``n_chars`` follows a cut text."""
+    columns = docs.columns
+    key, text_key, copies_name, cuts_name, part_name = free_names(columns, "_id", "_text_hash", "_copies", "_cuts", "_part")
+    identity = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
+    decided = mix(docs.select(identity.alias("doc_id"), "source", "text"), scratch, seed).filter("taken > 0")
+    whole = F.filter("cut", lambda r: (r["first"] == 0) & (r["last"] == F.col("size")))
+    cut = F.filter("cut", lambda r: ~((r["first"] == 0) & (r["last"] == F.col("size"))))
+    # rows that repeat with id and text alike are taken together
+    decided = decided.groupBy(F.col("doc_id.id").alias(key), F.col("doc_id.text").alias(text_key)).agg(
+        F.sum(F.col("copies") + F.size(whole)).cast("int").alias(copies_name), F.flatten(F.collect_list(cut)).alias(cuts_name))
+    marked = docs.withColumn(text_key, F.xxhash64("text"))
+    joined = marked.join(decided, marked["doc_id"].eqNullSafe(decided[key]) & (marked[text_key] == decided[text_key]))
+    joined = joined.drop(marked[text_key])
+    joined = joined.dropDuplicates([key, text_key])
+    pieces = F.concat(F.array_repeat(F.lit(None).cast("struct<first:bigint,last:bigint>"), F.col(copies_name)), F.col(cuts_name))
+    parts = joined.withColumn(part_name, F.explode(pieces))
+    spaced = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    some = F.slice(spaced, (F.col(f"{part_name}.first") + 1).cast("int"), (F.col(f"{part_name}.last") - F.col(f"{part_name}.first")).cast("int"))
+    text = F.when(F.col(part_name).isNull(), F.col("text")).otherwise(F.regexp_replace(F.array_join(some, ""), r"^[\x20\x09-\x0D]+", ""))
+    out = parts.withColumn("text", text)
+    if "n_chars" in columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.col(part_name).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
+    return out.select(*[F.col(f"`{c}`") for c in columns])
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     return mix(docs, Scratch(spark, "mixing")).select("doc_id", "size", "source_size", "target", "taken")

@@ -28,11 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import Scratch
+from .scratch import Scratch, free_names
 from .skew import attach
 from .text import IS_SPACE, LOWER, Slice, mix, short_sequences, slices, windows
 
@@ -324,8 +324,6 @@ def similar(docs: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFram
         "gid", "members", "n", "rare", "common", F.array(*[f"e{i}" for i in lanes]).alias("every"), F.array(*[f"s{i}" for i in lanes]).alias("some")), "groups")
 
     # rare n-grams: those that two groups share; common ones: lists of known length, cut into blocks
-    from pyspark.sql import Window
-
     rare = groups.select("gid", F.explode("rare").alias("gram"))
     rare = rare.withColumn("_met", F.count(F.lit(1)).over(Window.partitionBy("gram"))).filter("_met > 1")
     often = groups.select("gid", F.explode("common").alias("gram"))
@@ -358,6 +356,19 @@ def similar(docs: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFram
     return with_set.select("doc_id", "n_shingles", "key", "component_id").unionByName(alone)
 
 
+def one_of_each(docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each class the row with the least id stays
+    (ids that repeat with other texts: the least hash of the text), with all its columns."""
+    key, text_key = free_names(docs.columns, "_id", "_text_hash")
+    identity = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
+    found = similar(docs.select(identity.alias("doc_id"), "text"), scratch, n, percent)
+    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stay = stay.select(F.col("doc_id.id").alias(key), F.col("doc_id.text").alias(text_key)).distinct()
+    marked = docs.withColumn(text_key, F.xxhash64("text"))
+    joined = marked.join(stay, marked["doc_id"].eqNullSafe(stay[key]) & (marked[text_key] == stay[text_key])).drop(marked[text_key])
+    return joined.dropDuplicates([key, text_key]).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return similar(docs, Scratch(spark, "ngram-join"), 3, 90).select("doc_id", "n_shingles", "component_id")

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, ngram_join, packing
+from . import exact_dedup, mixing, ngram_join, packing, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_toxicity_kneser_ney": toxicity.op2,
         "op3_pack_sequences": packing.op3,
         "op6_exact_dedup": exact_dedup.op6,
         "op8_ngram_jaccard_join": ngram_join.op8,

@@ -29,6 +29,17 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """``names``, each with as many underscores added as it takes not to clash (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def let_workers_import(spark: SparkSession) -> None:
     """Put this package's folder on the Python workers' path, as the driver found it.
 
