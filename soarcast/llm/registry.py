@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, ngram_join, packing, toxicity
+from . import exact_dedup, mixing, ngram_join, packing, quality_rules, quality_vectors, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_toxicity_kneser_ney": toxicity.op2,
         "op3_pack_sequences": packing.op3,
+        "op4_quality_rules": quality_rules.op4,
+        "op5_quality_vectors": quality_vectors.op5,
         "op6_exact_dedup": exact_dedup.op6,
         "op8_ngram_jaccard_join": ngram_join.op8,
         "op10_mix_sources": mixing.op10,
