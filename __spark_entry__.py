@@ -21,12 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from soarcast import oracle
-from soarcast.functions import danger_flag, dewpoint_magnus, normalize_time, stable_round, transform, xc_flag
+from soarcast.functions import danger_flag, dewpoint_magnus, normalize_time, safe_corr, stable_round, transform, xc_flag
 from soarcast.functions.live import alert_level
 from soarcast.operators import distinct_count, diurnal_slice, flying_hours, global_rank, hourly_baseline, in_months
 from soarcast.plans import marts
-from soarcast.session import ensure_utc
-from soarcast.sources import fixtures
+from soarcast.session import ensure_utc, scratch_folder
+from soarcast.sources import fixtures, read_transformed, write_transformed
 from soarcast.sources.events import parse_events, parse_payload
 from soarcast.streaming import views
 
@@ -107,9 +107,28 @@ def _distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _float32_wind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wind of a grid that is stored in single precision."""
+    raw = fixtures.grid_raw(spark, sf_dir)
+    stored = raw.withColumns({c: F.col(c).cast("float") for c in ("u10", "v10")})
+    return transform(stored).select("obs_id", "wind_speed")
+
+
+def _zone_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 over a transformed zone that is written to the shared folder and read back."""
+    path = f"{scratch_folder(spark, 'zone')}/transformed"
+    write_transformed(observations(spark, sf_dir).drop("obs_id"), path)
+    return marts.hourly_conditions(read_transformed(spark, path))
+
+
+def _sliding_counts(scored: DataFrame) -> DataFrame:
+    windows = scored.filter("event_time IS NOT NULL").groupBy(F.window("event_time", "10 minutes", "5 minutes"), "location")
+    return views.flatten_window(windows.agg(F.count(F.lit(1)).alias("n_events")))
+
+
 def _rank_blh(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs = observations(spark, sf_dir).select("obs_id", "blh")
-    return global_rank(obs, "blh", ascending=False, nulls_last=True, alias="blh_rank")
+    return global_rank(obs, "blh", ascending=False, nulls_last=True, alias="blh_rank", result_type="bigint")
 
 
 def _operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -119,6 +138,9 @@ def _operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "b1_calendar": _obs_cols("year", "month", "day", "hour"),
         "b2_celsius": _obs_cols("temp_c", "dewpoint_c"),
         "b3_wind_speed": _obs_cols("wind_speed"),
+        "b3_wind_speed_float32": _float32_wind,
+        "e8_corr": _mart(lambda o: o.groupBy("month").agg(stable_round(safe_corr("cape", "blh"), 6).alias("cape_blh_corr"))),
+        "i3_sliding": _live(_sliding_counts),
         "b4_wind_dir": _obs_cols(lambda: stable_round("wind_dir", 6).alias("wind_dir")),
         "b5_cloud_base_fog": _obs_cols("cloud_base_m", "fog_condition"),
         "b7_flying_category": _obs_cols("flying_category"),
@@ -169,7 +191,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "s2_wind_trend": _live(views.wind_trend),
         "s3_alerts": _live(views.point_alerts),
         "s4_vs_baseline": _vs_baseline,
-        "d1_cell_day_join": _mart(marts.cell_day_outlook),
+        "d1_cell_day_join": _mart(marts.joined_cell_days),
+        "q8_cell_day_outlook": _mart(marts.cell_day_outlook),
+        "a4_zone_round_trip": _zone_round_trip,
         **_operator_queries(),
         **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }

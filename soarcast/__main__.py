@@ -17,7 +17,7 @@ import json
 import sys
 
 from .schemas import RAW_VARIABLES
-from .session import build_session
+from .session import build_session, utc_session
 
 
 def _spark(args):
@@ -46,6 +46,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     t.add_argument("--raw", required=True)
     t.add_argument("--zone", required=True)
     t.add_argument("--years", type=int, nargs="*")
+    t.add_argument("--laid-out", action="store_true", help="the raw zone was written by 'ingest': no second shuffle")
 
     m = sub.add_parser("marts")
     m.add_argument("--zone", required=True)
@@ -57,6 +58,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     b.add_argument("--zone", required=True)
     b.add_argument("--marts-root", required=True)
     b.add_argument("--years", type=int, nargs="*")
+    b.add_argument("--laid-out", action="store_true", help="the raw zone was written by 'ingest': no second shuffle")
     b.add_argument("--jdbc-url")
     b.add_argument("--jdbc-properties", help="JSON object, e.g. user/password/driver")
 
@@ -85,25 +87,27 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from .sources import flatten_cube, replace_year
 
         cubes = spark.read.parquet(args.cubes)
-        variables = [v for v in args.variables if v in cubes.columns]
-        replace_year(flatten_cube(cubes, args.dims, variables), args.raw, args.year)
+        missing = [v for v in args.variables if v not in cubes.columns]
+        if missing:
+            raise ValueError(f"the cubes lack {', '.join(missing)}; they have {', '.join(cubes.columns)}")
+        with utc_session(spark):
+            replace_year(flatten_cube(cubes, args.dims, args.variables), args.raw, args.year)
     elif args.command == "transform":
-        from .functions import transform
-        from .sources import read_raw, write_transformed
+        from .plans import refresh_zone
 
-        raw = read_raw(spark, args.raw, args.years)
-        write_transformed(transform(raw), args.zone, replace="all" if not args.years else "partitions")
+        refresh_zone(spark, args.raw, args.zone, args.years or None, rebalance=not args.laid_out)
     elif args.command == "marts":
-        from .plans import MARTS
-        from .sources import read_transformed, write_mart
+        from .plans import build_marts
+        from .sources import read_transformed
 
-        obs = read_transformed(spark, args.zone)
-        for name in args.names or MARTS:
-            print(write_mart(MARTS[name](obs), args.marts_root, name))
+        with utc_session(spark):
+            for path in build_marts(spark, read_transformed(spark, args.zone), args.marts_root, args.names or None).values():
+                print(path)
     elif args.command == "batch":
         from .plans import run_batch
 
-        written = run_batch(spark, args.raw, args.zone, args.marts_root, years=args.years or None, export=_jdbc(args))
+        written = run_batch(spark, args.raw, args.zone, args.marts_root, years=args.years or None, export=_jdbc(args),
+                            rebalance=not args.laid_out)
         print(json.dumps(written, indent=2))
     elif args.command == "export":
         from .sources import export_marts
@@ -113,7 +117,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif args.command == "live":
         from .operators import hourly_baseline
         from .sources import read_mart
-        from .streaming import SINK_NAMES, jdbc_batch_writer, parquet_batch_writer, start_live
+        from .streaming import SINK_NAMES, jdbc_batch_writer, jdbc_statement, parquet_batch_writer, start_live
 
         source = json.loads(args.source) if args.source.lstrip().startswith("{") else args.source
         def baseline():  # re-read every micro-batch: follows the nightly mart rewrite
@@ -124,8 +128,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             sinks = {name: parquet_batch_writer(args.sink_root, name) for name in SINK_NAMES}
         if args.jdbc_url:
             jdbc = _jdbc(args)
-            for name in SINK_NAMES[:-1]:  # the five reference tables; rejected rows stay on storage
-                sinks[name] = jdbc_batch_writer(name, jdbc["url"], jdbc["properties"])
+            for name in SINK_NAMES[:-1]:  # the five live tables; rejected rows stay on storage
+                sinks[name] = jdbc_batch_writer(name, jdbc["url"], jdbc["properties"], run_statement=jdbc_statement(spark, jdbc["url"], jdbc["properties"]))
         trigger = {"availableNow": True} if args.trigger == "available-now" else {"processingTime": args.trigger}
         live = start_live(spark, source, baseline, sinks, checkpoint_dir=args.checkpoint_dir, trigger=trigger,
                           state_partitions=args.state_partitions)

@@ -15,12 +15,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from . import rules as R
 from .numeric import _col
 from .timecols import normalize_time
 
 RAW_CONSUMED = ("t2m", "d2m", "u10", "v10")
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
 
 def _chain(branches: list[tuple[Column, str]], otherwise: str) -> Column:
@@ -38,8 +40,21 @@ def _strict(expr: Column, inputs: list[Column], strict: bool) -> Column:
     return F.when(any_null, F.lit(None).cast("string")).otherwise(expr)
 
 
+def as_doubles(df: DataFrame) -> DataFrame:
+    """Every float column as double: grids are often stored in single precision, and all
+    derivations are defined on doubles."""
+    singles = [f.name for f in df.schema.fields if isinstance(f.dataType, FloatType)]
+    return df.withColumns({c: F.col(c).cast("double") for c in singles}) if singles else df
+
+
 def with_calendar(df: DataFrame, time_col: str = "time") -> DataFrame:
-    """``year, month, day, hour`` (int) of the observation time (session time zone)."""
+    """``year, month, day, hour`` (int) of the observation time in UTC.
+
+    Calendar parts follow the session's time zone, so a session in another zone is refused.
+    """
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        raise ValueError(f"calendar columns are defined in UTC, but the session's time zone is {zone} (see session.utc_session)")
     df = normalize_time(df, time_col)
     t = F.col(time_col)
     return df.withColumns(
@@ -58,7 +73,7 @@ def with_celsius(df: DataFrame) -> DataFrame:
 
 
 def wind_speed(u: Column | str = "u10", v: Column | str = "v10") -> Column:
-    u, v = _col(u), _col(v)
+    u, v = _col(u).cast("double"), _col(v).cast("double")
     return F.sqrt(u * u + v * v)
 
 
@@ -145,7 +160,7 @@ def transform(raw: DataFrame, strict_nulls: bool = False) -> DataFrame:
     flight category, thermal strength, time of day and season, then drops the raw
     Kelvin and wind-component columns. ``time`` is normalised to a timestamp.
     """
-    df = with_calendar(raw)
+    df = with_calendar(as_doubles(raw))
     df = with_celsius(df)
     df = with_wind(df)
     df = with_cloud_base(df)

@@ -21,9 +21,12 @@ def _col(c: Column | str) -> Column:
 def stable_round(c: Column | str, scale: int) -> Column:
     """HALF_UP rounding of a double through ``decimal(28,9)``; result is double.
 
-    NaN, +-inf and values beyond 1e19 become NULL instead of failing under ANSI.
+    Values that the decimal cannot hold (1e19 and beyond) are rounded as plain doubles;
+    NaN and +-inf stay what they are.
     """
-    return F.round(_col(c).try_cast(_ROUND_DECIMAL), scale).cast("double")
+    value = _col(c)
+    exact = F.round(value.try_cast(_ROUND_DECIMAL), scale).cast("double")
+    return F.coalesce(exact, F.round(value.cast("double"), scale))
 
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:

@@ -48,5 +48,5 @@ def afternoon_condition() -> Column:
 
 
 def diurnal_slice(df: DataFrame) -> DataFrame:
-    """Summer months, restricted to rows that can be a warm morning or an afternoon."""
-    return df.filter(month_range(*R.SUMMER_MONTHS) & (hour_range(*R.MORNING_HOURS) | afternoon_condition()))
+    """Summer months, restricted to warm morning hours and afternoon hours."""
+    return df.filter(month_range(*R.SUMMER_MONTHS) & (morning_condition() | afternoon_condition()))

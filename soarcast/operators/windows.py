@@ -52,7 +52,8 @@ def centred_mean(df: DataFrame, col: str, order: str, scale: int, alias: str, pa
 
 
 def global_rank(df: DataFrame, col: str, ascending: bool = True, nulls_last: bool = True,
-                alias: str = "rank", buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
+                alias: str = "rank", buckets: int | None = None, accuracy: int | None = None,
+                result_type: str = "int") -> DataFrame:
     """``rank() OVER (ORDER BY col)`` for a frame of any size, computed in parallel.
 
     1. Ties are collapsed first: one row per distinct value with its multiplicity, so
@@ -68,6 +69,10 @@ def global_rank(df: DataFrame, col: str, ascending: bool = True, nulls_last: boo
     5. The rank is joined back to the rows on the value (NULL-safe). A hot value is
        one row on the small side, so AQE's skew-join split covers the big side.
 
+    ``result_type="bigint"`` is for ranks of rows, which may pass 2^31; the default ``int``
+    suits ranks of grid cells. ``accuracy`` of the quantiles defaults to 20 per bucket, so the
+    sketches that meet in one task stay a small multiple of the bucket count.
+
     ``col`` must be numeric. Ties share a rank and leave gaps, as ``rank()``. NULLs go
     first or last as asked, and NaN sorts above every number, as in Spark's ordering.
     """
@@ -77,6 +82,7 @@ def global_rank(df: DataFrame, col: str, ascending: bool = True, nulls_last: boo
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(int(buckets), 1)
+    accuracy = accuracy or max(1000, 20 * buckets)
 
     value = F.col(col)
     # bucketing runs on an ascending key: the value, or its negation for DESC
@@ -107,8 +113,8 @@ def global_rank(df: DataFrame, col: str, ascending: bool = True, nulls_last: boo
     # NaN sorts above every number (last ascending, first descending); NULLs go to an end
     nan_bucket = F.lit(buckets if ascending else -1)
     null_bucket = F.lit(buckets + 1 if nulls_last else -2)
-    # one shuffle by bucket feeds both the bucket sizes and the per-bucket running sum,
-    # so the bucket search runs once per distinct value
+    # by bucket: the sizes (one row per bucket) and the running sum read the same shuffle,
+    # which therefore must keep the same columns on both sides
     bucketed = (
         values.withColumn(
             "_bucket", F.when(value.isNull(), null_bucket).when(is_nan, nan_bucket).otherwise(before)
@@ -117,22 +123,22 @@ def global_rank(df: DataFrame, col: str, ascending: bool = True, nulls_last: boo
         .repartition("_bucket")
     )
 
-    sizes = bucketed.groupBy("_bucket").agg(F.sum("_n").alias("_size"))
+    sizes = bucketed.groupBy("_bucket").agg(F.sum("_n").alias("_size"), F.max(value).alias("_last"))
     offsets = sizes.withColumn(
         "_offset",
         F.coalesce(
             F.sum("_size").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0),
         ),
-    ).select("_bucket", "_offset")
+    ).select(F.col("_bucket").alias("_of"), "_offset", "_last")
 
     in_bucket = Window.partitionBy("_bucket").orderBy(_order(col, ascending, nulls_last)).rowsBetween(
         Window.unboundedPreceding, -1
     )
     ranked = (
         bucketed.withColumn("_before", F.coalesce(F.sum("_n").over(in_bucket), F.lit(0)))
-        .join(F.broadcast(offsets), "_bucket")
-        .select(value.alias("_value"), (F.col("_offset") + F.col("_before") + 1).cast("int").alias(alias))
+        .join(F.broadcast(offsets), (F.col("_bucket") == F.col("_of")) & (value.isNull() | (value <= F.col("_last"))))
+        .select(value.alias("_value"), (F.col("_offset") + F.col("_before") + 1).cast(result_type).alias(alias))
     )
     out = df.join(ranked, df[col].eqNullSafe(ranked["_value"]), "left")
     return out.drop("_value")

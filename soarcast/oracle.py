@@ -5,15 +5,17 @@ the same projections as ``sources.fixtures`` and then states each query the plai
 way (e.g. Q8 as two aggregates and a join). Conventions that keep types and values
 comparable with Spark: double literals are written ``1e0`` style, ``rank()`` and
 calendar parts are cast to INTEGER, NULL ordering is spelled out, and every rounded
-value goes through the same ``decimal(28,9)`` rounding as ``stable_round``.
+value states its rule (``R``): half up on nine decimals, plain doubles beyond 1e19.
 """
 
 from __future__ import annotations
 
 
 def R(expr: str, scale: int) -> str:
-    """DuckDB twin of ``functions.stable_round``."""
-    return f"CAST(round(TRY_CAST(({expr}) AS DECIMAL(28,9)), {scale}) AS DOUBLE)"
+    """Rounding half up to ``scale`` digits: by decimals where they reach, else by doubles."""
+    x = f"CAST(({expr}) AS DOUBLE)"
+    return (f"CASE WHEN {x} IS NULL THEN NULL WHEN isnan({x}) OR isinf({x}) THEN {x} WHEN abs({x}) >= 1e19 THEN round({x}, {scale}) "
+            f"ELSE CAST(round(TRY_CAST({x} AS DECIMAL(28,9)), {scale}) AS DOUBLE) END")
 
 
 GRID_RAW = """
@@ -369,6 +371,8 @@ QUERIES = {
     "s3_alerts": S3,
     "s4_vs_baseline": S4,
     "d1_cell_day_join": D1,
+    "q8_cell_day_outlook": D1,
+    "a4_zone_round_trip": Q3,
 }
 
 
@@ -398,6 +402,8 @@ payload_fields AS (
     CASE WHEN event_id % 5 <> 0 THEN 10000e0 - (event_id % 10) * 500e0 END AS vis,
     CASE WHEN event_id % 7 <> 0 THEN event_type END AS weather_desc
   FROM events
+  WHERE event_id % 23 <> 0 AND event_id % 29 <> 0 AND event_id % 31 <> 0 AND event_id % 37 <> 0
+    AND event_id % 41 <> 0 AND event_id % 100 <> 0
 )"""
 
 B23 = _with(PAYLOAD_FIELDS) + f"""
@@ -419,6 +425,17 @@ OPERATOR_QUERIES = {
     "b1_calendar": _obs_select("obs_id, year, month, day, hour"),
     "b2_celsius": _obs_select("obs_id, temp_c, dewpoint_c"),
     "b3_wind_speed": _obs_select("obs_id, wind_speed"),
+    "b3_wind_speed_float32": _with(GRID_RAW) + """
+SELECT obs_id, sqrt(u * u + v * v) AS wind_speed
+FROM (SELECT obs_id, CAST(CAST(u10 AS FLOAT) AS DOUBLE) AS u, CAST(CAST(v10 AS FLOAT) AS DOUBLE) AS v FROM grid_raw)""",
+    "e8_corr": _with(*GRID) + f"SELECT month, {R(_corr('cape', 'blh'), 6)} AS cape_blh_corr FROM obs GROUP BY month",
+    "i3_sliding": _with(EVENTS) + """
+SELECT location, count(*) AS n_events, ws AS window_start, ws + INTERVAL 10 MINUTE AS window_end
+FROM (
+  SELECT location, time_bucket(INTERVAL 5 MINUTE, event_time) - k * INTERVAL 5 MINUTE AS ws
+  FROM scored, (VALUES (0), (1)) AS shift(k) WHERE event_time IS NOT NULL
+)
+GROUP BY location, ws""",
     "b4_wind_dir": _obs_select(f"obs_id, {R('wind_dir', 6)} AS wind_dir"),
     "b5_cloud_base_fog": _obs_select("obs_id, cloud_base_m, fog_condition"),
     "b7_flying_category": _obs_select("obs_id, flying_category"),
@@ -444,10 +461,10 @@ OPERATOR_QUERIES = {
     "c4_flyable_daylight": _obs_select(
         "obs_id", "month BETWEEN 4 AND 9 AND hour BETWEEN 6 AND 21 AND flying_category <> 'not_flyable'"),
     "c5_diurnal_slice": _obs_select(
-        "obs_id", "month BETWEEN 5 AND 8 AND (hour BETWEEN 6 AND 9 OR hour BETWEEN 12 AND 16)"),
+        "obs_id", "month BETWEEN 5 AND 8 AND ((hour BETWEEN 6 AND 9 AND temp_c > 10) OR hour BETWEEN 12 AND 16)"),
     "e9_distinct_counts": _with(*GRID) + f"SELECT {N_CELLS} AS n_cells, {N_YEARS} AS n_years",
     "f2_global_rank": _obs_select(
-        "obs_id, blh, CAST(rank() OVER (ORDER BY blh DESC NULLS LAST) AS INTEGER) AS blh_rank"),
+        "obs_id, blh, CAST(rank() OVER (ORDER BY blh DESC NULLS LAST) AS BIGINT) AS blh_rank"),
 }
 
 # Spark's to_json leaves out NULL fields; dewpoint_c and humidity are NULL in this input.

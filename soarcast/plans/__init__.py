@@ -6,18 +6,24 @@ from .marts import (
     cape_cloudbase_correlation,
     category_by_hour,
     category_hours_by_month,
+    CALENDAR_MARTS,
+    Rollup,
+    calendar_rollup,
+    cell_conditions,
     cell_day_outlook,
     cell_stability,
     grid_counts,
     climate_trend,
     danger_by_season,
     hourly_conditions,
+    joined_cell_days,
     morning_to_afternoon,
     preview,
+    rank_cells,
     top_stable_cells,
     top_unstable_cells,
     xc_months,
 )
-from .batch import run_batch
+from .batch import build_marts, refresh_zone, run_batch
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -4,12 +4,61 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.derive import transform
-from ..sources.grid import read_raw, read_transformed, write_transformed
+from ..session import utc_session
+from ..sources.grid import TILE_DEGREES, read_raw, read_transformed, replace_zone_year, write_transformed
 from ..sources.marts import EXPORTED_MARTS, export_marts, write_mart
-from .marts import GRID_COUNT_MARTS, MARTS, grid_counts
+from .marts import CALENDAR_MARTS, GRID_COUNT_MARTS, MARTS, ROLLUP_MARTS, Rollup, calendar_rollup, cell_conditions, grid_counts, rank_cells
+
+
+def refresh_zone(spark: SparkSession, raw_path: str, zone_path: str, years: Iterable[int] | None = None,
+                 tile_degrees: float = TILE_DEGREES, rebalance: bool = True) -> None:
+    """Transform the raw zone into the transformed zone, all of it or some ``years``.
+
+    A year is what the observation time says, not the raw folder's name, and rows may lie one
+    folder off (the last hour of a year, time zones). So for year Y the folders Y-1 to Y+1 are
+    read, the rows of Y kept, and the zone's whole folder of Y replaced: no other year is
+    touched, and a month that has no rows any more goes. ``rebalance=False`` is for a raw zone
+    that ``replace_year`` laid out already (see ``write_transformed``).
+    """
+    with utc_session(spark):
+        if years is None:
+            write_transformed(transform(read_raw(spark, raw_path)), zone_path, tile_degrees=tile_degrees, rebalance=rebalance)
+            return
+        for year in sorted({int(y) for y in years}):
+            near = transform(read_raw(spark, raw_path, (year - 1, year, year + 1)))
+            replace_zone_year(near.filter(F.col("year") == year), zone_path, year, tile_degrees=tile_degrees, rebalance=rebalance)
+
+
+def build_marts(spark: SparkSession, obs: DataFrame, mart_root: str, names: Iterable[str] | None = None) -> dict[str, str]:
+    """Build marts from the zone; returns mart name -> folder.
+
+    Marts that are sums over calendar keys come from one scan: ``calendar_rollup`` is written
+    once below the mart root (``_intermediate``) and read by each of them. The grid counts that Q1, Q4 and Q7
+    divide by are computed once, and Q2's cells are written once before they are ranked.
+    """
+    names = list(names or MARTS)
+    counts = {}
+    if any(n in GRID_COUNT_MARTS for n in names):
+        row = grid_counts(obs).first()
+        counts = {"n_cells": row["n_cells"], "n_years": row["n_years"]}
+    rollup = None
+    if any(n in ROLLUP_MARTS for n in names):
+        rollup = spark.read.parquet(write_mart(calendar_rollup(obs), f"{mart_root}/_intermediate", "calendar_rollup"))
+    written = {}
+    for name in names:
+        extra = {k: counts[k] for k in GRID_COUNT_MARTS.get(name, ())}
+        if name in ROLLUP_MARTS:
+            mart = MARTS[name](rollup, **extra, m=Rollup)
+        elif name == "q2_location_stability":
+            mart = rank_cells(spark.read.parquet(write_mart(cell_conditions(obs), f"{mart_root}/_intermediate", "cell_conditions")))
+        else:
+            mart = MARTS[name](obs, **extra)
+        written[name] = write_mart(mart, mart_root, name, one_file=name in CALENDAR_MARTS)
+    return written
 
 
 def run_batch(
@@ -20,32 +69,19 @@ def run_batch(
     years: Iterable[int] | None = None,
     marts: Iterable[str] | None = None,
     export: Mapping | None = None,
+    tile_degrees: float = TILE_DEGREES,
+    rebalance: bool = True,
 ) -> dict[str, str]:
     """Transform, then build every mart from the written zone, then export.
 
-    ``years`` re-processes only those raw ``year=`` folders and replaces only the
-    matching (year, month) folders of the zone; the marts are always rebuilt from the
-    whole zone. Each mart is one job that reads only the columns and months it needs;
-    the grid counts that Q1, Q4 and Q7 divide by are computed once and shared.
-    ``export`` = ``{"url": ..., "properties": {...}}`` copies the exported marts to a
-    database. Returns mart name -> folder.
+    ``years`` re-processes only those years of the zone (``refresh_zone``); the marts are
+    always rebuilt from the whole zone. ``export`` = ``{"url": ..., "properties": {...}}``
+    copies the exported marts to a database. Returns mart name -> folder.
     """
-    raw = read_raw(spark, raw_path, years)
-    write_transformed(transform(raw), zone_path, replace="all" if years is None else "partitions")
-
-    obs = read_transformed(spark, zone_path)
-    names = list(marts or MARTS)
-    counts = {}
-    if any(n in GRID_COUNT_MARTS for n in names):
-        # Q1, Q4 and Q7 share the grid counts: one scan of two columns instead of one per mart
-        row = grid_counts(obs).first()
-        counts = {"n_cells": row["n_cells"], "n_years": row["n_years"]}
-    written = {}
-    for name in names:
-        extra = {k: counts[k] for k in GRID_COUNT_MARTS.get(name, ())}
-        written[name] = write_mart(MARTS[name](obs, **extra), mart_root, name)
-
-    if export:
-        mapping = {k: v for k, v in EXPORTED_MARTS.items() if k in written}
-        export_marts(spark, mart_root, export["url"], export.get("properties", {}), mapping)
+    refresh_zone(spark, raw_path, zone_path, years, tile_degrees, rebalance)
+    with utc_session(spark):
+        written = build_marts(spark, read_transformed(spark, zone_path), mart_root, marts)
+        if export:
+            mapping = {k: v for k, v in EXPORTED_MARTS.items() if k in written}
+            export_marts(spark, mart_root, export["url"], export.get("properties", {}), mapping)
     return written

@@ -6,6 +6,9 @@ Every function takes the observation frame (``sources.read_transformed`` or
 only then apply windows; the windows run on calendar-sized frames (<= 12 months,
 24 hours, 4x24 season-hours, one row per year), except the per-cell rank of Q2,
 which uses the distributed ``global_rank``.
+
+Output column names, their order and the rounding digits are fixed values of the marts'
+contract; everything else here is this library's own.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.derive import danger_flag, sky_bucket, xc_flag
-from ..functions.numeric import count_where, percent_of_rows, percent_where, safe_corr, stable_round
+from ..functions.numeric import count_where, percent_where, ratio, safe_corr, stable_round
 from ..operators.aggregates import distinct_count, per_unit
 from ..operators.filters import (
     afternoon_condition,
@@ -24,7 +27,7 @@ from ..operators.filters import (
     in_months,
     morning_condition,
 )
-from ..operators.joins import CELL_DAY_KEYS
+from ..operators.joins import CELL_DAY_KEYS, join_on_cell_day
 from ..operators.windows import centred_mean, change_from_previous, global_rank, running_total, small_rank
 
 CATEGORIES = ("student", "beginner", "expert")
@@ -38,29 +41,78 @@ def _flyable():
     return F.col("flying_category") != R.FLYING_FALLBACK
 
 
-# Distinct values per rank bucket the per-cell rank aims at (one task sorts at most this many).
-RANK_VALUES_PER_BUCKET = 100_000
+class Rows:
+    """How a mart takes its measures from observation rows."""
+
+    @staticmethod
+    def mean(col: str):
+        return F.avg(col)
+
+    @staticmethod
+    def rows():
+        return F.count(F.lit(1))
+
+    @staticmethod
+    def rows_where(cond):
+        return count_where(cond)
+
+    @staticmethod
+    def dangerous():
+        return F.sum(danger_flag())
+
+    @staticmethod
+    def suits_xc():
+        return F.sum(xc_flag())
+
+
+class Rollup(Rows):
+    """The same measures from ``calendar_rollup``: sums and counts of its groups."""
 
+    @staticmethod
+    def mean(col: str):
+        return F.try_divide(F.sum(f"sum_{col}"), F.sum(f"n_{col}"))
 
-def _materialize(df: DataFrame) -> tuple[DataFrame, bool]:
-    """Write a small intermediate to the cluster's shared checkpoint folder and read it
-    back, so several later passes read it instead of recomputing it from the zone.
+    @staticmethod
+    def rows():
+        return F.sum("n_rows")
 
-    Without a checkpoint folder the frame is returned as is (the passes recompute it).
+    @staticmethod
+    def rows_where(cond):
+        return F.coalesce(F.sum(F.when(cond, F.col("n_rows"))), F.lit(0))
+
+    @staticmethod
+    def dangerous():
+        return F.sum("n_dangerous")
+
+    @staticmethod
+    def suits_xc():
+        return F.sum("n_xc")
+
+
+ROLLUP_KEYS = ("year", "month", "hour", "season", "time_of_day", "flying_category")
+ROLLUP_MEASURES = ("cape", "blh", "wind_speed", "cloud_base_m", "temp_c")
+
+
+def calendar_rollup(obs: DataFrame) -> DataFrame:
+    """One row per calendar hour of a month, year and category: row count, sum and number of
+    non-NULL values of each measure, dangerous and cross-country hours.
+
+    At most years x 12 x 24 x 4 rows (season and time of day follow from month and hour; NULL
+    keys add a few), from one scan with partial aggregation. Q1, Q3, Q4, Q6, Q7, Q9 and Q10
+    are sums over it.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None):
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
-        return df.checkpoint(eager=True), True
-    return df, False
+    return obs.groupBy(*ROLLUP_KEYS).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.sum(c).alias(f"sum_{c}") for c in ROLLUP_MEASURES],
+        *[F.count(c).alias(f"n_{c}") for c in ROLLUP_MEASURES],
+        F.sum(danger_flag()).alias("n_dangerous"),
+        F.sum(xc_flag()).alias("n_xc"),
+    )
 
 
-def _rank_buckets(cells: DataFrame) -> int:
-    """Bucket count for ranking a materialized frame: about RANK_VALUES_PER_BUCKET rows per
-    bucket, at most the shuffle partition count (counting a checkpoint is cheap)."""
-    limit = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(limit, -(-cells.count() // RANK_VALUES_PER_BUCKET)))
+def percent(count, m: type[Rows]):
+    """``100 * count / rows`` as double."""
+    return ratio(count * F.lit(100.0), m.rows())
 
 
 def _sorted_small(df: DataFrame, *cols) -> DataFrame:
@@ -69,24 +121,30 @@ def _sorted_small(df: DataFrame, *cols) -> DataFrame:
     return df.coalesce(1).sortWithinPartitions(*cols)
 
 
+def grid_keys(obs: DataFrame) -> DataFrame:
+    """Distinct (year, latitude, longitude): one plain aggregation, from which both grid
+    counts follow without copying the observations."""
+    return obs.select("year", "latitude", "longitude").distinct()
+
+
 def grid_counts(obs: DataFrame) -> DataFrame:
     """One row: ``n_cells`` (distinct latitude/longitude) and ``n_years`` (distinct years),
     NULL combinations included, as ``distinct().count()`` counts them."""
-    return obs.agg(
+    return grid_keys(obs).agg(
         F.count_distinct(F.struct("latitude", "longitude")).alias("n_cells"),
         F.count_distinct(F.struct("year")).alias("n_years"),
     )
 
 
 def _cells(obs: DataFrame, n_cells):
-    return distinct_count(obs, "latitude", "longitude") if n_cells is None else F.lit(n_cells)
+    return distinct_count(grid_keys(obs), "latitude", "longitude") if n_cells is None else F.lit(n_cells)
 
 
 def _years(obs: DataFrame, n_years):
-    return distinct_count(obs, "year") if n_years is None else F.lit(n_years)
+    return distinct_count(grid_keys(obs), "year") if n_years is None else F.lit(n_years)
 
 
-def category_hours_by_month(obs: DataFrame, n_cells: int | None = None) -> DataFrame:
+def category_hours_by_month(obs: DataFrame, n_cells: int | None = None, m: type[Rows] = Rows) -> DataFrame:
     """Q1: hours per grid cell in each flight category by month, with running totals.
 
     ``n_cells`` may be passed in when several marts share it (see ``run_batch``);
@@ -94,20 +152,16 @@ def category_hours_by_month(obs: DataFrame, n_cells: int | None = None) -> DataF
     """
     n_cells = _cells(obs, n_cells)
     out = obs.groupBy("month").agg(
-        *[stable_round(per_unit(count_where(_category(c)), n_cells), 1).alias(f"{c}_hours") for c in CATEGORIES]
+        *[stable_round(per_unit(m.rows_where(_category(c)), n_cells), 1).alias(f"{c}_hours") for c in CATEGORIES]
     )
     out = running_total(out, "student_hours", "month", 1, "cumulative_student")
     out = running_total(out, "expert_hours", "month", 1, "cumulative_expert")
     return _sorted_small(out, "month")
 
 
-def cell_stability(obs: DataFrame, buckets: int | None = None) -> DataFrame:
-    """Q2: variability of wind, CAPE and cloud base per grid cell in the flying hours
-    of the season, a weighted stability score and its rank (1 = most stable).
-
-    Cells whose score is NULL (a single hour, hence no standard deviation) rank last.
-    """
-    cells = flying_hours(obs, R.FLYING_SEASON_MONTHS, R.MIDDAY_HOURS).groupBy("latitude", "longitude").agg(
+def cell_conditions(obs: DataFrame) -> DataFrame:
+    """Per grid cell: spread and mean of wind, CAPE and cloud base in the flying hours of the season."""
+    return flying_hours(obs, R.FLYING_SEASON_MONTHS, R.MIDDAY_HOURS).groupBy("latitude", "longitude").agg(
         stable_round(F.stddev_samp("wind_speed"), 3).alias("wind_stddev"),
         stable_round(F.stddev_samp("cape"), 3).alias("cape_stddev"),
         stable_round(F.stddev_samp("cloud_base_m"), 3).alias("cloud_base_stddev"),
@@ -116,20 +170,28 @@ def cell_stability(obs: DataFrame, buckets: int | None = None) -> DataFrame:
         stable_round(F.avg("cloud_base_m"), 2).alias("avg_cloud_base"),
         F.count(F.lit(1)).alias("total_hours"),
     )
-    # one row per grid cell; the rank reads it twice (quantiles, then ranks), so it is
-    # checkpointed once instead of scanning the zone twice
-    cells, materialized = _materialize(cells)
-    if buckets is None and materialized:
-        buckets = _rank_buckets(cells)
+
+
+def rank_cells(cells: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Stability score and rank (1 = most stable) of ``cell_conditions``.
+
+    The rank reads the cells more than once, so a caller that builds from a large zone writes
+    them first, as ``run_batch`` does.
+    """
     w_wind, w_cape, w_base = R.STABILITY_WEIGHTS
-    cells = cells.withColumn(
-        "stability_score",
-        stable_round(
-            F.col("wind_stddev") * w_wind + F.col("cape_stddev") * w_cape + F.col("cloud_base_stddev") * w_base, 3
-        ),
-    )
-    return global_rank(cells, "stability_score", ascending=True, nulls_last=True, alias="stability_rank",
-                       buckets=buckets)
+    score = F.col("wind_stddev") * w_wind + F.col("cape_stddev") * w_cape + F.col("cloud_base_stddev") * w_base
+    return global_rank(cells.withColumn("stability_score", stable_round(score, 3)), "stability_score",
+                       ascending=True, nulls_last=True, alias="stability_rank", buckets=buckets)
+
+
+def cell_stability(obs: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Q2: variability of wind, CAPE and cloud base per grid cell in the flying hours
+    of the season, a weighted stability score and its rank (1 = most stable).
+
+    Cells whose score is NULL (a single hour, hence no standard deviation) rank last.
+    ``buckets`` spreads the rank over that many tasks (default: the shuffle partitions).
+    """
+    return rank_cells(cell_conditions(obs), buckets)
 
 
 def top_stable_cells(stability: DataFrame, n: int = 10) -> DataFrame:
@@ -147,22 +209,22 @@ def _position():
     return F.col("latitude").asc_nulls_last(), F.col("longitude").asc_nulls_last()
 
 
-def hourly_conditions(obs: DataFrame) -> DataFrame:
+def hourly_conditions(obs: DataFrame, m: type[Rows] = Rows) -> DataFrame:
     """Q3: mean conditions and flyable share per hour of day in the flying season,
     with centred 3-hour means of CAPE and boundary-layer height."""
     out = in_months(obs).groupBy("hour").agg(
-        stable_round(F.avg("cape"), 2).alias("avg_cape"),
-        stable_round(F.avg("blh"), 2).alias("avg_blh"),
-        stable_round(F.avg("wind_speed"), 2).alias("avg_wind"),
-        stable_round(F.avg("cloud_base_m"), 2).alias("avg_cloud_base"),
-        stable_round(percent_where(_flyable()), 1).alias("flyable_pct"),
+        stable_round(m.mean("cape"), 2).alias("avg_cape"),
+        stable_round(m.mean("blh"), 2).alias("avg_blh"),
+        stable_round(m.mean("wind_speed"), 2).alias("avg_wind"),
+        stable_round(m.mean("cloud_base_m"), 2).alias("avg_cloud_base"),
+        stable_round(percent(m.rows_where(_flyable()), m), 1).alias("flyable_pct"),
     )
     out = centred_mean(out, "avg_cape", "hour", 2, "cape_rolling_avg")
     out = centred_mean(out, "avg_blh", "hour", 2, "blh_rolling_avg")
     return _sorted_small(out, "hour")
 
 
-def category_by_hour(obs: DataFrame, n_cells: int | None = None, n_years: int | None = None) -> DataFrame:
+def category_by_hour(obs: DataFrame, n_cells: int | None = None, n_years: int | None = None, m: type[Rows] = Rows) -> DataFrame:
     """Q4: flyable hours per cell and year by hour of day and category (daylight hours
     of the season), mean conditions, the rank of expert hours and the CAPE change.
 
@@ -172,12 +234,12 @@ def category_by_hour(obs: DataFrame, n_cells: int | None = None, n_years: int |
     n_cells, n_years = _cells(obs, n_cells), _years(obs, n_years)
     sliced = flying_hours(obs, R.FLYING_SEASON_MONTHS, R.DAYLIGHT_HOURS, flyable_only=True)
     out = sliced.groupBy("hour").agg(
-        *[stable_round(per_unit(count_where(_category(c)), n_cells, n_years), 1).alias(f"{c}_days")
+        *[stable_round(per_unit(m.rows_where(_category(c)), n_cells, n_years), 1).alias(f"{c}_days")
           for c in CATEGORIES],
-        stable_round(F.avg("cape"), 1).alias("avg_cape"),
-        stable_round(F.avg("blh"), 1).alias("avg_blh"),
-        stable_round(F.avg("wind_speed"), 2).alias("avg_wind"),
-        stable_round(F.avg("cloud_base_m"), 0).alias("avg_cloud_base"),
+        stable_round(m.mean("cape"), 1).alias("avg_cape"),
+        stable_round(m.mean("blh"), 1).alias("avg_blh"),
+        stable_round(m.mean("wind_speed"), 2).alias("avg_wind"),
+        stable_round(m.mean("cloud_base_m"), 0).alias("avg_cloud_base"),
     )
     out = small_rank(out, "expert_days", ascending=False, alias="expert_rank")
     out = change_from_previous(out, "avg_cape", "hour", 1, "cape_change")
@@ -198,34 +260,50 @@ def cape_cloudbase_correlation(obs: DataFrame) -> DataFrame:
     return _sorted_small(out, "month")
 
 
-def danger_by_season(obs: DataFrame) -> DataFrame:
+def danger_by_season(obs: DataFrame, m: type[Rows] = Rows) -> DataFrame:
     """Q6: share of dangerous hours by season and time of day, ranked within season."""
     out = obs.groupBy("season", "time_of_day").agg(
-        stable_round(percent_of_rows(F.sum(danger_flag())), 1).alias("dangerous_pct"),
-        stable_round(F.avg("wind_speed"), 2).alias("avg_wind"),
-        stable_round(F.avg("cape"), 1).alias("avg_cape"),
-        F.count(F.lit(1)).alias("total_hours"),
+        stable_round(percent(m.dangerous(), m), 1).alias("dangerous_pct"),
+        stable_round(m.mean("wind_speed"), 2).alias("avg_wind"),
+        stable_round(m.mean("cape"), 1).alias("avg_cape"),
+        m.rows().alias("total_hours"),
     )
     out = small_rank(out, "dangerous_pct", ascending=False, partition_by=("season",), alias="danger_rank")
     return _sorted_small(out, "season", "time_of_day")
 
 
-def xc_months(obs: DataFrame, n_cells: int | None = None, n_years: int | None = None) -> DataFrame:
+def xc_months(obs: DataFrame, n_cells: int | None = None, n_years: int | None = None, m: type[Rows] = Rows) -> DataFrame:
     """Q7: cross-country-suitable hours per cell and year by month, ranked, with the
     change from the previous month (``xc_days`` keeps the reference's name; unit: hours)."""
     n_cells, n_years = _cells(obs, n_cells), _years(obs, n_years)
     out = obs.groupBy("month").agg(
-        stable_round(per_unit(F.sum(xc_flag()), n_cells, n_years), 1).alias("xc_days"),
-        stable_round(F.avg("cape"), 1).alias("avg_cape"),
-        stable_round(F.avg("blh"), 1).alias("avg_blh"),
-        stable_round(F.avg("cloud_base_m"), 0).alias("avg_cloud_base"),
-        stable_round(F.avg("wind_speed"), 2).alias("avg_wind"),
+        stable_round(per_unit(m.suits_xc(), n_cells, n_years), 1).alias("xc_days"),
+        stable_round(m.mean("cape"), 1).alias("avg_cape"),
+        stable_round(m.mean("blh"), 1).alias("avg_blh"),
+        stable_round(m.mean("cloud_base_m"), 0).alias("avg_cloud_base"),
+        stable_round(m.mean("wind_speed"), 2).alias("avg_wind"),
     )
     out = small_rank(out, "xc_days", ascending=False, alias="xc_rank")
     out = change_from_previous(out, "xc_days", "month", 1, "xc_days_change")
     return _sorted_small(out, "month")
 
 
+def cell_day_halves(obs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Per (cell, summer day): the warm-morning means, and the afternoon's best category and means."""
+    days = diurnal_slice(obs)
+    mean = lambda c, name: stable_round(F.avg(c), 2).alias(name)
+    mornings = days.filter(morning_condition()).groupBy(*CELL_DAY_KEYS).agg(
+        mean("temp_c", "morning_temp"), mean("wind_speed", "morning_wind"), mean("cape", "morning_cape"), mean("tcc", "morning_tcc"))
+    afternoons = days.filter(afternoon_condition()).groupBy(*CELL_DAY_KEYS).agg(
+        F.max("flying_category").alias("afternoon_category"), mean("cape", "afternoon_cape"), mean("blh", "afternoon_blh"))
+    return mornings, afternoons
+
+
+def joined_cell_days(obs: DataFrame) -> DataFrame:
+    """``cell_day_outlook`` by the general cell-day join of its two halves."""
+    return join_on_cell_day(*cell_day_halves(obs)).withColumn("morning_sky", sky_bucket("morning_tcc"))
+
+
 def cell_day_outlook(obs: DataFrame) -> DataFrame:
     """Per (cell, summer day): warm-morning means and the afternoon's best category.
 
@@ -274,31 +352,31 @@ def morning_to_afternoon(obs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_days"),
     )
     out = small_rank(out, "flyable_pct", ascending=False, alias="rank")
-    return _sorted_small(out, F.col("flyable_pct").desc_nulls_last())
+    return _sorted_small(out, F.col("flyable_pct").desc_nulls_last(), F.col("morning_sky").asc_nulls_last())
 
 
-def blh_through_day(obs: DataFrame) -> DataFrame:
+def blh_through_day(obs: DataFrame, m: type[Rows] = Rows) -> DataFrame:
     """Q9: boundary-layer development by season and daylight hour, ranked within the
     season, with a centred 3-hour mean."""
     out = flying_hours(obs, R.FLYING_SEASON_MONTHS, R.DAYLIGHT_HOURS).groupBy("season", "hour").agg(
-        stable_round(F.avg("blh"), 0).alias("avg_blh"),
-        stable_round(F.avg("cape"), 1).alias("avg_cape"),
-        stable_round(F.avg("cloud_base_m"), 0).alias("avg_cloud_base"),
-        stable_round(F.avg("temp_c"), 1).alias("avg_temp"),
+        stable_round(m.mean("blh"), 0).alias("avg_blh"),
+        stable_round(m.mean("cape"), 1).alias("avg_cape"),
+        stable_round(m.mean("cloud_base_m"), 0).alias("avg_cloud_base"),
+        stable_round(m.mean("temp_c"), 1).alias("avg_temp"),
     )
     out = small_rank(out, "avg_blh", ascending=False, partition_by=("season",), alias="blh_rank")
     out = centred_mean(out, "avg_blh", "hour", 0, "blh_rolling_avg", partition_by=("season",))
     return _sorted_small(out, "season", "hour")
 
 
-def climate_trend(obs: DataFrame) -> DataFrame:
+def climate_trend(obs: DataFrame, m: type[Rows] = Rows) -> DataFrame:
     """Q10: season means per year and their change from the previous year."""
     out = in_months(obs).groupBy("year").agg(
-        stable_round(F.avg("temp_c"), 2).alias("avg_temp"),
-        stable_round(F.avg("cape"), 2).alias("avg_cape"),
-        stable_round(F.avg("blh"), 2).alias("avg_blh"),
-        stable_round(F.avg("wind_speed"), 2).alias("avg_wind"),
-        stable_round(percent_where(_flyable()), 1).alias("flyable_pct"),
+        stable_round(m.mean("temp_c"), 2).alias("avg_temp"),
+        stable_round(m.mean("cape"), 2).alias("avg_cape"),
+        stable_round(m.mean("blh"), 2).alias("avg_blh"),
+        stable_round(m.mean("wind_speed"), 2).alias("avg_wind"),
+        stable_round(percent(m.rows_where(_flyable()), m), 1).alias("flyable_pct"),
     )
     out = change_from_previous(out, "avg_temp", "year", 2, "temp_trend")
     out = change_from_previous(out, "avg_cape", "year", 2, "cape_trend")
@@ -313,6 +391,12 @@ GRID_COUNT_MARTS = {
     "q7_xc_best_months": ("n_cells", "n_years"),
 }
 
+# Marts that follow from calendar_rollup, and those whose size the calendar bounds (all but Q2).
+ROLLUP_MARTS = frozenset({
+    "q1_flying_hours_by_month", "q3_hourly_conditions", "q4_hourly_by_category", "q6_dangerous_conditions",
+    "q7_xc_best_months", "q9_blh_development", "q10_climate_trend",
+})
+
 # Mart name -> builder; names match the reference's curated folders.
 MARTS = {
     "q1_flying_hours_by_month": category_hours_by_month,
@@ -328,6 +412,9 @@ MARTS = {
 }
 
 
+CALENDAR_MARTS = frozenset(MARTS) - {"q2_location_stability"}
+
+
 def preview(mart: DataFrame, n: int = 20) -> DataFrame:
     """The first ``n`` rows of a mart in its own order (what a console preview shows)."""
     return mart.limit(n)

@@ -1,4 +1,8 @@
-"""Explicit schemas of every zone and message (no inference at read time)."""
+"""Schemas of the transformed zone and of every message.
+
+Column names and types are fixed values of the data contract. The transformed zone, events and
+payloads are read with these schemas; raw grids and marts take theirs from the Parquet footer.
+"""
 
 from __future__ import annotations
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Settings every job needs: UTC calendar parts, adaptive execution (partition
@@ -12,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # nanosecond Parquet timestamps of raw grids are read as epoch-ns bigints
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
     # checkpoint files of intermediate frames (e.g. Q2's per-cell table) are removed once
     # the frame is garbage-collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -34,6 +40,15 @@ def build_session(master: str | None = None, app_name: str = "soarcast", shuffle
     return spark
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared checkpoint folder. Only a local session without one
+    gets a new folder under the machine's temp folder."""
+    context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir() and context.master.startswith("local["):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -42,6 +57,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]):
+    """Set session settings for a block and put back what was there before."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def utc_session(spark: SparkSession):
+    """A block in which calendar parts are UTC."""
+    return session_settings(spark, {"spark.sql.session.timeZone": "UTC"})
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Calendar parts (hour, month ...) follow the session zone; the marts are UTC."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

@@ -20,21 +20,31 @@ def read_events(spark: SparkSession, source, max_files_per_trigger: int | None =
     """
     if isinstance(source, dict):
         raw = spark.readStream.format("kafka").options(**source).load()
-        return raw.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+        return raw.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+                          "topic", "partition", "offset")
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.text(str(source))
 
 
-def parse_events(messages: DataFrame, value_col: str = "value") -> DataFrame:
+#: where a message came from; kept beside the parsed event for the dead letters
+MESSAGE_COLUMNS = ("key", "value", "topic", "partition", "offset")
+
+
+def parse_events(messages: DataFrame, value_col: str = "value", keep_message: bool = False) -> DataFrame:
     """JSON text -> typed event columns plus ``event_time`` (timestamp).
 
     Malformed JSON gives an all-NULL row and malformed time text a NULL
     ``event_time`` (never a failed query); ``split_valid`` separates such rows.
+    ``keep_message`` adds ``message``: a struct of the raw value and, as far as the source
+    has them, its key, topic, partition and offset.
     """
-    parsed = messages.select(F.from_json(F.col(value_col).cast("string"), EVENT_SCHEMA).alias("data"))
-    return parsed.select("data.*").withColumn("event_time", F.try_to_timestamp(F.col("timestamp")))
+    own = [F.col(value_col).cast("string").alias("value"), *[F.col(c) for c in MESSAGE_COLUMNS if c in messages.columns and c not in (value_col, "value")]]
+    extra = [F.struct(*own).alias("message")] if keep_message else []
+    parsed = messages.select(F.from_json(F.col(value_col).cast("string"), EVENT_SCHEMA).alias("data"), *extra)
+    kept = ["message"] if keep_message else []
+    return parsed.select("data.*", *kept).withColumn("event_time", F.try_to_timestamp(F.col("timestamp")))
 
 
 def split_valid(events: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -60,6 +70,8 @@ def write_topic(messages: DataFrame, options: dict) -> None:
 def parse_payload(df: DataFrame, json_col: str, location_col: str, observed_at_col: str) -> DataFrame:
     """Flatten a station weather payload (JSON text) into the event layout.
 
+    A payload that is no JSON or lacks the coordinates, the temperature, a positive humidity,
+    the wind speed or the cloud cover (error bodies do) gives no event: its row is left out.
     Missing wind direction, gust and visibility default to 0, cloud cover is scaled
     from percent to 0..1, the description is the first weather entry's, the dew point
     is the Magnus estimate and the cloud base follows from the spread. The timestamp
@@ -73,6 +85,11 @@ def parse_payload(df: DataFrame, json_col: str, location_col: str, observed_at_c
     )
     temp = F.col("p.main.temp")
     humidity = F.col("p.main.humidity")
+    needed = ("p.coord.lat", "p.coord.lon", "p.main.temp", "p.wind.speed", "p.clouds.all")
+    complete = humidity > 0  # the dew point's logarithm needs it
+    for c in needed:
+        complete = complete & F.col(c).isNotNull()
+    base = base.filter(complete)
     dew = dewpoint_magnus(temp, humidity)
     out = base.select(
         iso_text(F.col("_observed_at")).alias("timestamp"),

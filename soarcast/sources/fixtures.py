@@ -93,8 +93,8 @@ def station_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw station-service payloads (JSON text) with ``location`` and ``observed_at``.
 
     Some payloads omit the wind direction, the gust or the visibility, or carry an
-    empty weather list, and humidity runs 0..99, so every default and the undefined
-    dew point (humidity 0) occur.
+    empty weather list, so every default occurs. Others are no events at all: invalid JSON,
+    error bodies, payloads without wind, clouds or temperature, and humidity 0.
     """
     ev = table(spark, sf_dir, "events")
     eid = F.col("event_id")
@@ -103,16 +103,16 @@ def station_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.struct(
         F.struct(site["lat"].alias("lat"), site["lon"].alias("lon")).alias("coord"),
         F.struct(
-            (F.lit(10.0) + eid % 20).alias("temp"),
+            F.when(eid % 41 != 0, F.lit(10.0) + eid % 20).alias("temp"),
             (F.lit(1000.0) + eid % 30).alias("pressure"),
             (eid % 100).cast("double").alias("humidity"),
         ).alias("main"),
-        F.struct(
+        F.when(eid % 31 != 0, F.struct(
             speed.alias("speed"),
             F.when(eid % 3 != 0, ((eid * 37) % 360).cast("double")).alias("deg"),
             F.when(eid % 4 != 0, speed * 1.5).alias("gust"),
-        ).alias("wind"),
-        F.struct((eid % 101).cast("double").alias("all")).alias("clouds"),
+        )).alias("wind"),
+        F.when(eid % 37 != 0, F.struct((eid % 101).cast("double").alias("all"))).alias("clouds"),
         F.when(eid % 5 != 0, F.lit(10000.0) - (eid % 10) * 500.0).alias("visibility"),
         F.when(eid % 7 == 0, F.array().cast("array<struct<description:string>>"))
         .otherwise(F.array(F.struct(F.col("event_type").alias("description"))))
@@ -121,5 +121,6 @@ def station_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         site["location"].alias("location"),
         F.col("ts").alias("observed_at"),
-        F.to_json(payload).alias("payload"),
+        F.when(eid % 23 == 0, "{bad").when(eid % 29 == 0, '{"cod":401,"message":"Invalid key"}')
+        .otherwise(F.to_json(payload)).alias("payload"),
     )

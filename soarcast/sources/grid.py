@@ -8,49 +8,61 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.derive import as_doubles
+from ..functions.timecols import normalize_time
 from ..schemas import OBS_SCHEMA, RAW_AUXILIARY
 
 
 def read_raw(spark: SparkSession, path: str, years: Iterable[int] | None = None) -> DataFrame:
     """Scan the raw zone. ``years`` filters the ``year=`` partition folders *before*
     the transform recomputes ``year`` from the time, so only those folders are listed
-    and read. Nanosecond Parquet timestamps are read as epoch-ns bigints."""
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    and read. Column types come from the Parquet footer, since grids are stored in single or
+    double precision and with the time as timestamp or epoch nanoseconds (``build_session``
+    reads nanosecond timestamps as bigints); variables are doubles from here on."""
     df = spark.read.option("mergeSchema", "false").parquet(path)
-    df = df.drop(*[c for c in RAW_AUXILIARY if c in df.columns])
+    df = as_doubles(df.drop(*[c for c in RAW_AUXILIARY if c in df.columns]))
     if years is not None:
         df = df.filter(F.col("year").isin([int(y) for y in years]))
     return df
 
 
-def write_transformed(obs: DataFrame, path: str, replace: str = "all", max_records_per_file: int = 0,
+#: edge of a spatial tile in degrees; a tile-month should be a few files of advisory size
+TILE_DEGREES = 5.0
+
+
+def _laid_out(rows: DataFrame, keys: Sequence[str], tile_degrees: float, rebalance: bool) -> DataFrame:
+    """Rows of one tile in one task (AQE splits and joins tasks by size), sorted by cell and time.
+
+    A tile-month in one file holds its cells with all their hours, so aggregations by cell or
+    cell-day combine hundreds of rows to one before they shuffle. ``rebalance=False`` only sorts.
+    """
+    if not rebalance:
+        return rows.sortWithinPartitions(*keys, "latitude", "longitude", "time")
+    tile = {f"_tile_{c}": F.floor(F.col(c) / tile_degrees) for c in ("latitude", "longitude")}
+    spread = rows.withColumns(tile).hint("rebalance", *keys, *tile)
+    return spread.sortWithinPartitions(*keys, *tile, "latitude", "longitude", "time").drop(*tile)
+
+
+def write_transformed(obs: DataFrame, path: str, max_records_per_file: int = 0, tile_degrees: float = TILE_DEGREES,
                       rebalance: bool = True) -> None:
-    """Write observations partitioned by ``year, month``.
+    """Overwrite the zone, partitioned by ``year, month`` and laid out by spatial tile within them.
+
+    One shuffle on (year, month, tile) makes the files independent of how the input is split;
+    a month or tile that holds a third of all rows is split by size. ``rebalance=False`` skips
+    that shuffle: use it when every input task holds one month of few tiles, as in a raw zone
+    that ``replace_year`` wrote.
+    """
+    out = _laid_out(obs, ("year", "month"), tile_degrees, rebalance)
+    out.write.mode("overwrite").option("maxRecordsPerFile", int(max_records_per_file)).partitionBy("year", "month").parquet(path)
 
-    ``replace="all"`` overwrites the zone; ``"partitions"`` overwrites only the
-    (year, month) folders present in ``obs`` (incremental re-processing of a year).
 
-    File layout does not depend on how the input is split: a rebalance on
-    (year, month) sends each folder's rows to few tasks, AQE sizes those tasks to the
-    advisory partition size (so files are large) and splits an oversized month into
-    several tasks (so a month holding a third of all rows is not one task). Without
-    it every input task would write a file into every folder it touches, which for
-    an input mixing years and months means tasks x folders tiny files. Rows are sorted
-    by cell and time inside each file, which tightens Parquet min/max statistics.
+def replace_zone_year(obs: DataFrame, path: str, year: int, tile_degrees: float = TILE_DEGREES, rebalance: bool = True) -> None:
+    """Replace one year of the zone by the rows of ``obs``, which all are of that year.
 
-    ``rebalance=False`` skips that shuffle; use it only when every input task already
-    holds one contiguous time range (e.g. one large time-ordered file per year).
+    The year's folder is overwritten as a whole, so its months are exactly those of ``obs``.
     """
-    mode = {"all": "static", "partitions": "dynamic"}[replace]
-    out = obs.hint("rebalance", "year", "month") if rebalance else obs
-    out = out.sortWithinPartitions("year", "month", "latitude", "longitude", "time")
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
-        .option("maxRecordsPerFile", int(max_records_per_file))
-        .partitionBy("year", "month")
-        .parquet(path)
-    )
+    out = _laid_out(obs, ("year", "month"), tile_degrees, rebalance)
+    out.drop("year").write.mode("overwrite").partitionBy("month").parquet(f"{path.rstrip('/')}/year={int(year)}")
 
 
 def read_transformed(spark: SparkSession, path: str) -> DataFrame:
@@ -80,17 +92,16 @@ def flatten_cube(cube: DataFrame, dims: Sequence[str], variables: Sequence[str],
     return df.drop(*[c for c in RAW_AUXILIARY if c in df.columns])
 
 
-def replace_year(rows: DataFrame, path: str, year: int) -> None:
+def replace_year(rows: DataFrame, path: str, year: int, tile_degrees: float = TILE_DEGREES) -> None:
     """Replace one ``year=`` folder of the raw zone; other years are left untouched.
 
-    The rows are rebalanced so the folder gets advisory-size files, and sorted by time
-    so each later transform task reads a contiguous time range.
+    Files are laid out by month and tile like the transformed zone, so a later transform may
+    skip its own shuffle (``rebalance=False``).
     """
+    rows = normalize_time(rows.drop("year"), "time").withColumns({"year": F.lit(int(year)), "_month": F.month("time")})
     (
-        rows.drop("year")
-        .withColumn("year", F.lit(int(year)))
-        .hint("rebalance")
-        .sortWithinPartitions("time")
+        _laid_out(rows, ("_month",), tile_degrees, True)
+        .drop("_month")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year")

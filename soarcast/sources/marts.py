@@ -23,20 +23,14 @@ def mart_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-# Marts with one row per grid cell grow with the grid; all others are calendar-sized.
-CELL_MARTS = frozenset({"q2_location_stability"})
+def write_mart(df: DataFrame, root: str, name: str, one_file: bool = False) -> str:
+    """Overwrite one mart folder, by as many tasks as the mart's last stage has.
 
-
-def write_mart(df: DataFrame, root: str, name: str) -> str:
-    """Overwrite one mart folder.
-
-    Calendar-sized marts (<= a few hundred rows) are written as one file; their last
-    stage is already a single ordered partition, so ``coalesce(1)`` costs nothing.
-    Per-cell marts are written by as many tasks as their last stage has, because a
-    ``coalesce(1)`` there would pull the whole upstream stage into one task.
+    ``one_file`` is for marts whose size the calendar bounds (``plans.CALENDAR_MARTS``): their
+    last stage is a single ordered partition already, so one file costs nothing.
     """
     path = mart_path(root, name)
-    out = df if name in CELL_MARTS else df.coalesce(1)
+    out = df.coalesce(1) if one_file else df
     out.write.mode("overwrite").parquet(path)
     return path
 

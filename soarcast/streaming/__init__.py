@@ -9,6 +9,6 @@ from .views import (
     wind_trend,
 )
 from .runner import SINK_NAMES, LiveQueries, start_live
-from .sinks import fan_out, jdbc_batch_writer, parquet_batch_writer
+from .sinks import fan_out, jdbc_batch_writer, jdbc_statement, parquet_batch_writer, query_id
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, session_settings
 from ..sources.events import parse_events, read_events, split_valid
 from .sinks import BatchWriter, fan_out
 from .views import location_windows, point_alerts, score_events, versus_baseline, wind_trend
@@ -67,7 +67,7 @@ def _point_writer(baseline, sinks: Mapping[str, BatchWriter]) -> BatchWriter:
         batch_df.persist()
         try:
             valid, rejected = split_valid(batch_df)
-            scored = score_events(valid)
+            scored = score_events(valid.drop("message"))
             if alerts_w:
                 alerts_w(point_alerts(scored), batch_id)
             if compare_w:
@@ -75,7 +75,8 @@ def _point_writer(baseline, sinks: Mapping[str, BatchWriter]) -> BatchWriter:
                 base = baseline() if callable(baseline) else baseline
                 compare_w(versus_baseline(scored, base), batch_id)
             if rejected_w:
-                rejected_w(rejected, batch_id)
+                # the message as it came, not the columns that could not be read from it
+                rejected_w(rejected.select("message.*"), batch_id)
         finally:
             batch_df.unpersist()
 
@@ -109,12 +110,19 @@ def start_live(
     if "historical_comparison" in sinks and baseline is None:
         raise ValueError("the historical_comparison sink needs a baseline (see operators.hourly_baseline)")
     root = (checkpoint_dir or f"{checkpoint_root(spark)}/live").rstrip("/")
+    settings = {"spark.sql.session.timeZone": "UTC"}
     if state_store == "rocksdb" and not spark.conf.get(_STATE_PROVIDER_KEY, None):
         # window state lives off-heap and is checkpointed incrementally
-        spark.conf.set(_STATE_PROVIDER_KEY, _ROCKSDB_PROVIDER)
+        settings[_STATE_PROVIDER_KEY] = _ROCKSDB_PROVIDER
+    # a query keeps a copy of the session it was started in, so these can be put back after
+    with session_settings(spark, settings):
+        return _start(spark, source, baseline, sinks, root, trigger, max_files_per_trigger, state_partitions)
+
+
+def _start(spark, source, baseline, sinks, root, trigger, max_files_per_trigger, state_partitions) -> LiveQueries:
     trigger = trigger or {"processingTime": "2 minutes"}
-    events = parse_events(read_events(spark, source, max_files_per_trigger))
-    valid, _ = split_valid(events)
+    events = parse_events(read_events(spark, source, max_files_per_trigger), keep_message=True)
+    valid, _ = split_valid(events.drop("message"))
     scored = score_events(valid)
 
     plans = {

@@ -8,42 +8,73 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .views import flatten_window
 
 BatchWriter = Callable[[DataFrame, int], None]
+StatementRunner = Callable[[str, str], None]
 
 
-def jdbc_batch_writer(table: str, url: str, properties: Mapping[str, str], tag_batch: bool = False) -> BatchWriter:
+def jdbc_batch_writer(table: str, url: str, properties: Mapping[str, str], run_statement: StatementRunner | None = None) -> BatchWriter:
     """Append each micro-batch to a database table (same columns as the view, with
     ``window`` flattened to ``window_start``/``window_end``).
 
-    A database append is at-least-once: a batch retried after a failure is written
-    again. ``tag_batch=True`` adds a ``batch_id`` column to every row, so readers (or
-    a unique key on the table) can drop repeated rows; it needs that column in the table.
+    A database append alone is at-least-once. With ``run_statement`` (a function that runs one
+    SQL statement, see ``jdbc_statement``) every row carries ``batch_id`` and ``query_id``, and
+    a batch first deletes what an earlier attempt at it left: a retried batch is written once.
+    The table needs both columns; it is created with them when it does not exist yet.
     """
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         df = flatten_window(batch_df)
-        if tag_batch:
-            df = df.withColumn("batch_id", F.lit(int(batch_id)))
+        if run_statement:
+            query = query_id(batch_df)
+            run_statement(f"DELETE FROM {table} WHERE batch_id = {int(batch_id)} AND query_id = '{query}'", table)
+            df = df.withColumns({"batch_id": F.lit(int(batch_id)), "query_id": F.lit(query)})
         df.write.jdbc(url=url, table=table, mode="append", properties=dict(properties))
 
     return write
 
 
+def jdbc_statement(spark: SparkSession, url: str, properties: Mapping[str, str]) -> StatementRunner:
+    """A runner of single statements on the driver's JDBC connection; a table that does not
+    exist yet is left to the append."""
+
+    def run(statement: str, table: str) -> None:
+        jvm = spark.sparkContext._jvm
+        settings = jvm.java.util.Properties()
+        for k, v in properties.items():
+            settings.setProperty(k, v)
+        connection = jvm.java.sql.DriverManager.getConnection(url, settings)
+        try:
+            if connection.getMetaData().getTables(None, None, table, None).next():
+                connection.createStatement().executeUpdate(statement)
+        finally:
+            connection.close()
+
+    return run
+
+
+def query_id(batch_df: DataFrame) -> str:
+    """Id of the streaming query that runs this batch: the same after a restart from its
+    checkpoint, another one for a new checkpoint. ``batch`` outside a query."""
+    return batch_df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
 def parquet_batch_writer(root: str, table: str) -> BatchWriter:
-    """Write each micro-batch to ``root/table/batch_id=<id>``, replacing that folder.
+    """Write each micro-batch to ``root/table/query_id=<id>/batch_id=<n>``, replacing that folder.
 
     A retried batch overwrites its own folder, so the table holds every batch exactly
-    once (idempotent sink); reading ``root/table`` yields a ``batch_id`` column.
+    once (idempotent sink). Batch numbers restart with a new checkpoint, and so does the
+    query's id: an earlier run's results stay. Reading ``root/table`` yields both columns.
     """
     base = f"{root.rstrip('/')}/{table}"
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        flatten_window(batch_df).write.mode("overwrite").parquet(f"{base}/batch_id={int(batch_id)}")
+        folder = f"{base}/query_id={query_id(batch_df)}/batch_id={int(batch_id)}"
+        flatten_window(batch_df).write.mode("overwrite").parquet(folder)
 
     return write
 

@@ -33,11 +33,15 @@ def test_stream_sink_flattens_windows_and_appends(spark, recorded):
     df = spark.createDataFrame([("Vrsac", dt.datetime(2024, 1, 1, 0, 7), 3.0)], "location string, t timestamp, w double")
     batch = df.groupBy(F.window("t", "5 minutes"), "location").agg(F.avg("w").alias("avg_wind"))
     jdbc_batch_writer("weather_stream", "jdbc:x", {"user": "u"})(batch, 7)
-    jdbc_batch_writer("wind_trend", "jdbc:x", {"user": "u"}, tag_batch=True)(batch, 8)
-    first, second = recorded
+    statements = []
+    once = jdbc_batch_writer("wind_trend", "jdbc:x", {"user": "u"}, run_statement=lambda sql, table: statements.append((sql, table)))
+    once(batch, 8)
+    once(batch, 8)  # a retried batch deletes what its first attempt left
+    first, second, _ = recorded
+    assert statements == 2 * [("DELETE FROM wind_trend WHERE batch_id = 8 AND query_id = 'batch'", "wind_trend")]
     assert first["mode"] == "append" and first["table"] == "weather_stream"
     assert first["columns"] == ["location", "avg_wind", "window_start", "window_end"]
-    assert second["columns"][-1] == "batch_id" and second["rows"][0]["batch_id"] == 8
+    assert second["columns"][-2:] == ["batch_id", "query_id"] and second["rows"][0]["batch_id"] == 8
 
 
 def test_export_marts_writes_the_eight_tables_with_counts(spark, recorded, scratch):

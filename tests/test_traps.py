@@ -124,9 +124,11 @@ def test_t12_rounding_is_half_up_on_the_decimal_value(spark):
     # 1.0049999999999 is summation noise around the half (within 5e-10): it rounds as the half;
     # 1.00499999 is a real value below the half
     df = spark.createDataFrame(
-        [(1.005,), (0.285,), (-0.285,), (2.675,), (1.0049999999999,), (1.00499999,), (float("nan"),)], "x double")
+        [(1.005,), (0.285,), (-0.285,), (2.675,), (1.0049999999999,), (1.00499999,), (2e19,), (-3e25,), (float("inf"),), (None,),
+         (float("nan"),)], "x double")
     got = [r[0] for r in df.select(stable_round("x", 2)).collect()]
-    assert got == [1.01, 0.29, -0.29, 2.68, 1.01, 1.0, None]
+    assert got[:-1] == [1.01, 0.29, -0.29, 2.68, 1.01, 1.0, 2e19, -3e25, float("inf"), None]
+    assert got[-1] != got[-1]  # NaN stays NaN
 
 
 def test_t13_percent_rank_uses_rounded_values(spark):
