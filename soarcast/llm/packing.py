@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .scratch import Scratch
+from .text import slices
 from .tokens import END_ID, default_tokenizer, encoder
 
 SEQ_TOKENS = 1024
@@ -34,8 +35,6 @@ OPEN_WINDOWS = 64
 #: a gap below this many tokens is padded, not filled by cutting a document
 MIN_CUT = 16
 MERGE_PARTITIONS = 64
-#: texts encoded at a time
-CHUNK = 256
 _LOCAL_BITS = 33
 _MERGED = 1 << 61
 
@@ -93,11 +92,12 @@ def _pack_partition(schema: pa.Schema, tokenizer: str, capacity: int, limit: int
         windows, code = Windows(capacity, limit, part), encoder(tokenizer)
         held: dict[int, list[dict]] = {}  # pieces of windows that are still open
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for lo in range(0, len(ids), CHUNK):
+            for s in slices(batch.column(1)):
                 out: list[dict] = []
-                for doc_id, tokens in zip(ids[lo : lo + CHUNK], code.encode(texts[lo : lo + CHUNK].to_pylist())):
-                    tokens += end
+                ids, at = code.encode(s)
+                raw, at = ids.astype("<u4").tobytes(), (4 * at).tolist()
+                for i, doc_id in enumerate(batch.column(0).slice(s.first, s.n).to_pylist()):
+                    tokens = raw[at[i] : at[i + 1]] + end
                     n = len(tokens) // 4
                     whole = n - n % capacity
                     pieces = [(at, capacity, windows.new_id(), 0) for at in range(0, whole, capacity)]

@@ -1,24 +1,39 @@
-"""Token ids of whole texts with a public byte-level BPE vocabulary, word by word.
-
-The vocabulary's pre-tokenizer starts a new piece at every space that follows a
-non-space, so the ids of a text are the ids of its space-separated words joined, and a
-word that was seen before need not be encoded again. The one exception is a text with two
-or more spaces in a row, where the pre-tokenizer looks past the space: such a text is
-encoded whole. Each Python worker keeps a bounded cache of words.
+"""Token ids of whole texts with a public byte-level BPE vocabulary, piece by piece.
+
+A byte-level BPE encodes each pre-token by itself, so a text cut where its pre-tokenizer cuts
+for certain gives the same ids, and a piece that was seen before need not be encoded again.
+Certain cuts are: where white space follows a character that is not white space; between ASCII
+letters, digits and signs (the apostrophe of contractions aside); after a single newline
+between two such characters. Everything else stays in one piece with its neighbours. Pieces
+are found and hashed with numpy; a worker remembers the ids of about ``CACHE_PIECES`` pieces
+by their 64-bit hash.
 """
 
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 
-#: words that a worker remembers (about 150 bytes each)
-CACHE_WORDS = 400_000
+from .text import IS_DIGIT, Slice, Spans
+
+CACHE_PIECES = 1 << 20
 #: the id that ends every document
 END_ID = 0
 
+_BYTE = np.arange(256)
+_ASCII_SPACE = (_BYTE <= 0x20) | (_BYTE == 0x7F)
+# 0: none of these; 1: letter, 2: digit, 3: printable sign but the apostrophe
+_KIND = np.where(((_BYTE | 32) >= 97) & ((_BYTE | 32) <= 122) & (_BYTE < 128), 1, np.where(IS_DIGIT, 2, np.where((_BYTE > 0x20) & (_BYTE < 0x7F), 3, 0)))
+_KIND[ord("'")] = 0
+_KIND = _KIND.astype(np.uint8)
+_PRINTABLE = (_BYTE > 0x20) & (_BYTE < 0x7F)
+#: first bytes of two-byte characters from U+00C0: none of them is white space
+_LATIN = (_BYTE >= 0xC3) & (_BYTE <= 0xDF)
+
 
 def default_tokenizer() -> str:
     import public_tokenizers
@@ -26,8 +41,34 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def pieces(s: Slice) -> Spans:
+    """Cut the texts of a slice where the pre-tokenizer cuts for certain."""
+    data = s.data
+    n = len(data)
+    if not n:
+        return Spans(s, np.zeros(0, np.int64), np.zeros(0, np.int64))
+    cut = np.zeros(n + 1, bool)
+    starts = np.zeros(n, bool)
+    starts[s.offsets[:-1][s.offsets[:-1] < n]] = True
+    opens = _PRINTABLE[data] | _LATIN[data]  # a character begins here that is not white space
+    solid = _PRINTABLE[data]  # a character ends here that is not white space
+    solid[1:] |= _LATIN[data[:-1]]
+    kind = _KIND[data]
+    space = _ASCII_SPACE[data]
+    cut[1:n] |= space[1:] & solid[:-1]
+    cut[1:n] |= (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+    newline = data == 10
+    alone = newline & starts
+    alone[1:] |= newline[1:] & solid[:-1] & ~starts[1:]
+    cut[1:n] |= opens[1:] & alone[:-1]
+    cut[:n] |= starts
+    cut[n] = True
+    at = np.flatnonzero(cut)
+    return Spans(s, at[:-1], at[1:])
+
+
 class Encoder:
-    """Texts to ids, as little-endian unsigned 32-bit bytes."""
+    """Slices of texts to ids."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -35,44 +76,55 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # special strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        out = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in out]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text; a null text has none."""
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        words, whole, missing = [], {}, set()
-        for i, text in enumerate(texts):
-            if not text:
-                words.append(None)
-            elif "  " in text:
-                whole[i] = text
-                words.append(None)
-            else:
-                head, *rest = text.split(" ")
-                # a word after a space is kept with that space; the first word without
-                rest = [" " + w for w in rest]
-                rest.insert(0, head)
-                words.append(rest)
-                missing.update(rest)
-        missing -= known.keys()
-        if missing:
-            order = list(missing)
-            known.update(zip(order, self._encode(order)))
-        get = known.__getitem__
-        out = [b"" if w is None else b"".join(map(get, w)) for w in words]
-        if whole:
-            for i, ids in zip(whole, self._encode(list(whole.values()))):
-                out[i] = ids
-        return out
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}
+        self.start, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.used = 0
+
+    def _learn(self, hashes: list[int], texts: list[str]) -> None:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        flat, length = array("I"), []
+        for e in found:
+            ids = e.ids
+            length.append(len(ids))
+            flat.extend(ids)
+        length = np.array(length, np.int64)
+        base = len(self.known)
+        self.known.update(zip(hashes, range(base, base + len(hashes))))
+        self.start = np.concatenate([self.start, self.used + np.cumsum(length) - length])
+        self.length = np.concatenate([self.length, length])
+        if self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + 2 * len(flat), np.uint32)])
+        self.ids[self.used : self.used + len(flat)] = np.frombuffer(flat, np.uint32)
+        self.used += len(flat)
+
+    def encode(self, s: Slice) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the slice's texts, and where each text's ids begin (one more at the end)."""
+        cut = pieces(s)
+        if not len(cut):
+            return np.zeros(0, np.uint32), np.zeros(s.n + 1, np.int64)
+        kinds, first, inverse = np.unique(cut.hashes(), return_index=True, return_inverse=True)
+        if len(self.known) > CACHE_PIECES:
+            self._forget()
+        listed = kinds.tolist()
+        at = np.fromiter(map(self.known.get, listed, repeat(-1)), np.int64, len(listed))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            raw = s.data.tobytes()
+            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(cut.start[first[missing]].tolist(), cut.end[first[missing]].tolist())]
+            at[missing] = np.arange(len(self.known), len(self.known) + len(missing))
+            self._learn([listed[i] for i in missing], texts)
+        at = at[inverse]
+        length = self.length[at]
+        end = np.cumsum(length)
+        ids = self.ids[np.repeat(self.start[at] - (end - length), length) + np.arange(end[-1])]
+        per_text = np.bincount(cut.doc, length, s.n).astype(np.int64)
+        return ids, np.concatenate([[0], np.cumsum(per_text)])
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """The worker's encoder; worker processes are reused across tasks, and so is the cache."""
+    """The worker's encoder; worker processes are reused across tasks, and so is its memory."""
     return Encoder(path)
