@@ -43,7 +43,7 @@ MORE = {
     "ip": r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}",
     "phone": r"\([0-9]{3}\)\x20?[0-9]{3}[\x20.-][0-9]{4}|[0-9]{3}[\x20.-][0-9]{3}[\x20.-][0-9]{4}",
 }
-_OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+_OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _DOMAINS = r"(?i)[.\x20)\]}](com|org|net|edu|gov|info|io|de|fr|es|uk|eu)$"
 _NETWORKS = r"^(4|5[1-5]|2[2-7]|3[47]|6011|65)"
 _CALLING = r"^\+(1|7|2[07]|3[0-469]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
