@@ -6,9 +6,10 @@
    links; this one keeps passages that many documents share out of the prefixes.
 3. Similar sets share an n-gram of their prefixes (n - ceil(t n) + 1 first ones). Sets with
    equal prefix and size are collapsed into one group. A group carries two bitmaps: bits
-   that all its members have and bits that any has. Groups that meet at an n-gram are
-   compared by size and by the bits in which all members must differ, which never loses a
-   similar pair. What is left is kept as a forest of candidate links, never as all pairs.
+   that all its members have and bits that any has (long sets a wider one). Groups that meet
+   at an n-gram are compared by size and by the bits in which all members must differ, which
+   never loses a similar pair. What is left is kept as stars of candidate links, never as all
+   pairs.
 4. The connected groups are expanded into their members, whose texts are read again and
    verified by exact intersection, skipping pairs that are connected already. Clusters of
    more than ``BLOCK_NGRAMS`` n-grams are cut into blocks and verified block by block.
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,13 +38,16 @@ from .scratch import Scratch, free_names
 from .skew import attach
 from .text import IS_SPACE, LOWER, Slice, mix, short_sequences, slices, windows
 
-BITS = 1024
+#: bits of every set's bitmap; sets of more than WIDE_FROM n-grams have a second one of WIDE_BITS
+BITS, WIDE_BITS, WIDE_FROM = 512, 2048, 512
 #: documents of a chunk of the lossy count, and the n-grams it holds at most
 CHUNK_DOCS, CHUNK_NGRAMS = 8192, 1 << 22
 #: an n-gram counted this often is common; the most common COMMON_LIMIT are broadcast (2 MB)
 COMMON_FROM, COMMON_LIMIT = 64, 1 << 17
 POSTING_BLOCK = 4096
 BLOCK_NGRAMS = 1 << 21
+#: cells to which the ids of documents to be verified are hashed, to keep other texts out of the shuffle
+SIEVE_CELLS = 1 << 20
 
 
 def ngram_sets(s: Slice, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,27 +144,34 @@ def _prefixes(n: int, num: int, den: int, common: np.ndarray, weight: np.ndarray
                     offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                     lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(_signed(pre[part]))))
                 bits = pa.FixedSizeListArray.from_arrays(pa.array(_signed(bitmaps(grams, counts).reshape(-1))), BITS // 64)
+                long = counts > WIDE_FROM
+                wide = bitmaps(grams[np.repeat(long, counts)], counts[long], WIDE_BITS)
+                offsets = np.concatenate([[0], np.cumsum(long)]).astype(np.int32) * (WIDE_BITS // 64)
+                wide = pa.ListArray.from_arrays(pa.array(offsets), pa.array(_signed(wide.reshape(-1))))
                 empty = counts == 0
                 yield pa.record_batch(
                     [batch.column(0).slice(s.first, s.n), pa.array(_signed(key), mask=empty), pa.array(counts),
-                     pa.array(_signed(group), mask=empty), *lists, bits.cast(pa.list_(pa.int64()))],
-                    names=["doc_id", "key", "n", "gid", "rare", "common", "bits"])
+                     pa.array(_signed(group), mask=empty), *lists, bits.cast(pa.list_(pa.int64())), wide],
+                    names=["doc_id", "key", "n", "gid", "rare", "common", "bits", "wide"])
 
     return run
 
 
 class Forest:
-    """Union-find over ``n`` nodes that keeps the links that joined two trees."""
+    """Union-find over ``n`` nodes."""
 
     def __init__(self, n: int):
         self.root = np.arange(n)
-        self.links: list[tuple[int, int]] = []
 
     def join(self, a: int, b: int) -> None:
         ra, rb = self.root[a], self.root[b]
         if ra != rb:
-            self.root[self.root == rb] = ra
-            self.links.append((a, b))
+            self.root[self.root == max(ra, rb)] = min(ra, rb)
+
+    def stars(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each node that is not its tree's first, and that first node."""
+        leaf = np.flatnonzero(self.root != np.arange(len(self.root)))
+        return leaf, self.root[leaf]
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], key: list[str], limit: int) -> Iterator[pa.Table]:
@@ -200,15 +212,23 @@ def _candidates(num: int, den: int):
     key = ["gram", "i", "j"]
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
-    def matrix(col: pa.ChunkedArray) -> np.ndarray:
-        return col.combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, BITS // 64)
+    def matrix(col: pa.ChunkedArray, bits: int = BITS) -> np.ndarray:
+        return col.combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, bits // 64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _whole_groups(batches, key, 4 * POSTING_BLOCK):
             no, size, block = _group_no(t, key), t["n"].to_numpy(), t["block"].to_numpy()
             across = t["i"].to_numpy() != t["j"].to_numpy()
             gid, node = np.unique(t["gid"].to_numpy(), return_inverse=True)
-            every, some = matrix(t["every"]), matrix(t["some"])
+            every = matrix(t["every"])
+            some = every
+            several = t["some"].is_valid().to_numpy()
+            if several.any():  # groups of one have their bits in every alone
+                some = every.copy()
+                some[several] = matrix(t["some"].drop_null())
+            # long sets of groups of one: rows of the wide matrix, -1 without
+            long = pc.list_value_length(t["wide"]).fill_null(0).to_numpy() > 0
+            wide, row = matrix(t["wide"], WIDE_BITS), np.where(long, np.cumsum(long) - 1, -1)
             forest = Forest(len(gid))
             step = 1
             while step < len(no):
@@ -221,11 +241,15 @@ def _candidates(num: int, den: int):
                 room = most_different(size[a], size[b], num, den)
                 a, b, room = a[room >= 0], b[room >= 0], room[room >= 0]
                 differ = np.bitwise_count((every[a] & ~some[b]) | (every[b] & ~some[a])).sum(axis=1)
-                for x, y in zip(a[differ <= room], b[differ <= room]):
-                    forest.join(node[x], node[y])
+                a, b, room = a[differ <= room], b[differ <= room], room[differ <= room]
+                both = long[a] & long[b]
+                near = ~both
+                near[both] = np.bitwise_count(wide[row[a[both]]] ^ wide[row[b[both]]]).sum(axis=1) <= room[both]
+                for x, y in zip(node[a[near]], node[b[near]]):
+                    forest.join(x, y)
                 step += 1
-            if forest.links:
-                u, v = np.array(forest.links).T
+            u, v = forest.stars()
+            if len(u):
                 yield pa.record_batch([pa.array(gid[u]), pa.array(gid[v])], schema=schema)
 
     return run
@@ -258,7 +282,8 @@ def _verify(n: int, num: int, den: int):
                     both = len(np.intersect1d(sets[a], sets[c], assume_unique=True))
                     if den * both >= num * (size[a] + size[c] - both):
                         forest.join(a, c)
-        return [(int(keys[a]), int(keys[b])) for a, b in forest.links]
+        leaf, root = forest.stars()
+        return list(zip(keys[leaf].tolist(), keys[root].tolist()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _whole_groups(batches, key, 256):
@@ -309,19 +334,21 @@ def similar(docs: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFram
     grams = common["gram"].to_numpy().view(np.uint64)
     order = np.argsort(grams)
     run = _prefixes(n, num, den, grams[order], common["n"].to_numpy()[order])
-    schema = f"doc_id {id_type}, key bigint, n bigint, gid bigint, rare array<bigint>, common array<bigint>, bits array<bigint>"
+    schema = f"doc_id {id_type}, key bigint, n bigint, gid bigint, rare array<bigint>, common array<bigint>, bits array<bigint>, wide array<bigint>"
     sets = scratch.table(docs.select("doc_id", "text").mapInArrow(run, schema), "sets")
 
-    keys = sets.filter("key IS NOT NULL").groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
-        *[F.first(c).alias(c) for c in ("n", "gid", "rare", "common", "bits")])
+    sets_of = sets.filter("key IS NOT NULL")
+    keys = sets_of.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("gid").alias("gid"))
     keys = scratch.table(keys, "keys")
     lanes = range(BITS // 64)
-    groups = keys.groupBy("gid").agg(
-        F.count(F.lit(1)).alias("members"), *[F.first(c).alias(c) for c in ("n", "rare", "common")],
+    groups = sets_of.groupBy("gid").agg(
+        *[F.first(c).alias(c) for c in ("n", "rare", "common", "wide")],
         *[F.bit_and(F.col("bits")[i]).alias(f"e{i}") for i in lanes], *[F.bit_or(F.col("bits")[i]).alias(f"s{i}") for i in lanes])
+    groups = groups.join(keys.groupBy("gid").agg(F.count(F.lit(1)).alias("members")), "gid")
+    several = F.col("members") > 1
     groups = scratch.table(groups.select(
-        "gid", "members", "n", "rare", "common", F.array(*[f"e{i}" for i in lanes]).alias("every"), F.array(*[f"s{i}" for i in lanes]).alias("some")), "groups")
+        "gid", "members", "n", "rare", "common", F.array(*[f"e{i}" for i in lanes]).alias("every"),
+        F.when(several, F.array(*[f"s{i}" for i in lanes])).alias("some"), F.when(~several, F.col("wide")).alias("wide")), "groups")
 
     # rare n-grams: those that two groups share; common ones: lists of known length, cut into blocks
     rare = groups.select("gid", F.explode("rare").alias("gram"))
@@ -330,9 +357,9 @@ def similar(docs: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFram
     length = often.groupBy("gram").agg(F.count(F.lit(1)).alias("_met")).filter("_met > 1")  # at most COMMON_LIMIT rows
     often = often.join(F.broadcast(length), "gram")
     met = rare.unionByName(often).withColumn("blocks", F.ceil(F.col("_met") / POSTING_BLOCK)).drop("_met")
-    met = met.join(groups.select("gid", "n", "every", "some"), "gid")
+    met = met.join(groups.select("gid", "n", "every", "some", "wide"), "gid")
     met = _in_blocks(met, "gram", "blocks", "gid", parts)
-    edges = met.select("gram", "i", "j", "block", "gid", "n", "every", "some").mapInArrow(_candidates(num, den), "u bigint, v bigint")
+    edges = met.select("gram", "i", "j", "block", "gid", "n", "every", "some", "wide").mapInArrow(_candidates(num, den), "u bigint, v bigint")
     clusters = components(edges, scratch, "clusters")
 
     member = keys.join(groups.select("gid", "members"), "gid").select("key", "rep", "n", "gid", "members")
@@ -341,7 +368,11 @@ def similar(docs: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFram
     member = scratch.table(member, "members")
     weights = member.groupBy("cid").agg(F.ceil(F.sum("n") / BLOCK_NGRAMS).alias("blocks"))
     member = member.join(weights, "cid").select("key", "cid", "blocks", F.col("rep").alias("doc_id"))
-    texts = docs.select("doc_id", "text").join(member.withColumnRenamed("doc_id", "_rep"), F.col("doc_id").eqNullSafe(F.col("_rep")))
+    # first a sieve of bounded size, so that texts which need no verification are not shuffled
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE_CELLS)).cast("int").alias("cell")
+    needed = scratch.table(member.select(cell).distinct(), "sieve")
+    sieved = docs.select("doc_id", "text").withColumn("cell", cell).join(F.broadcast(needed), "cell", "left_semi")
+    texts = sieved.select("doc_id", "text").join(member.withColumnRenamed("doc_id", "_rep"), F.col("doc_id").eqNullSafe(F.col("_rep")))
     texts = _in_blocks(texts.select("cid", "blocks", "key", "text"), "cid", "blocks", "key", parts)
     links = texts.select("cid", "i", "j", "block", "key", "text").mapInArrow(_verify(n, num, den), "u bigint, v bigint")
     linked = components(links, scratch, "links")

@@ -34,7 +34,8 @@ KINDS = ("email", "ip", "card", "phone")
 BASE = {
     "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9](?:[\x20-]?[0-9])++",
+    # a run with fewer than 14 digits fails the test whatever it is: it need not match
+    "card": r"[0-9](?:[\x20-]?[0-9]){13,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 #: candidates beside the base patterns
@@ -57,6 +58,8 @@ _AGAINST = r"(?i)(isbn|version|order|serial|part no|id)[^A-Za-z]*$"
 LABELERS = 5
 #: code points on either side that labelers and classifier look at
 AROUND = 24
+#: matches of a chunk of the running sum of positions
+CHUNK = 256
 ROUNDS, SMOOTH = 25, 1.0
 CELLS, ACCEPT = 64, 0.9
 #: feature slots of a span: the votes, its shape, its length, and the bytes on either side
@@ -65,19 +68,35 @@ SLOTS = LABELERS + 4
 _SPAN = "struct<kind:string,start:bigint,end:bigint,value:string,left:string,right:string,base:boolean>"
 
 
-def _spans(kind: str, pattern: str) -> Column:
-    """All matches of ``pattern`` with their positions and surroundings."""
+def _with_spans(df: DataFrame, name: str, kind: str, pattern: str) -> DataFrame:
+    """Add ``name``: all matches of ``pattern`` in ``text`` with positions and surroundings.
+
+    A match ends where the pieces and matches up to it end. The running sum goes by chunks of
+    ``CHUNK`` matches, so its cost grows with the matches, not their square; what a lambda
+    looks into is always a column of its own, since its body is evaluated for every element.
+    """
     text = F.col("text")
-    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(0))
+    df = df.withColumn("_found", F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(0)))
     between = F.split(text, pattern, -1)
-    lengths = F.transform(found, lambda m, i: F.length(F.get(between, i)) + F.length(m))
-    # positions by a running sum: (end of the last match, spans so far)
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("ends"))
-    ends = F.aggregate(lengths, start, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.array_append(acc["ends"], acc["at"] + n).alias("ends")))["ends"]
-    rows = F.transform(F.arrays_zip(found.alias("value"), ends.alias("end")), lambda x, i: F.struct(
-        F.lit(kind).alias("kind"), (x["end"] - F.length(x["value"])).cast("bigint").alias("start"), x["end"].alias("end"), x["value"].alias("value"),
-        F.right(F.get(between, i), F.lit(AROUND)).alias("left"), F.left(F.get(between, i + 1), F.lit(AROUND)).alias("right"), F.lit(False).alias("base")))
-    return F.when(F.size(found) > 0, rows).otherwise(F.array()).cast(f"array<{_SPAN}>")
+    zipped = F.arrays_zip(F.col("_found").alias("value"), between.alias("gap"), F.slice(between, 2, 1 << 30).alias("next"))
+    piece = F.transform(F.filter(zipped, lambda x: x["value"].isNotNull()), lambda x: F.struct(
+        x["value"].alias("value"), F.right(x["gap"], F.lit(AROUND)).alias("left"), F.left(F.coalesce(x["next"], F.lit("")), F.lit(AROUND)).alias("right"),
+        (F.length(x["gap"]) + F.length(x["value"])).alias("n")))
+    none = F.array().cast("array<struct<value:string,left:string,right:string,n:int>>")
+    df = df.withColumn("_pieces", F.when(F.size("_found") > 0, piece).otherwise(none))
+    zero = F.lit(0).cast("bigint")
+    total = lambda begin, n: F.aggregate(F.slice("_pieces", begin, n), zero, lambda acc, x: acc + x["n"])
+    last = F.floor((F.size("_pieces") - 1) / CHUNK).cast("int")
+    sums = F.when(F.size("_pieces") > 0, F.transform(F.sequence(F.lit(0), last), lambda k: total(k * CHUNK + 1, F.lit(CHUNK))))
+    running = F.aggregate(sums, F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("starts")), lambda acc, n: F.struct(
+        (acc["at"] + n).alias("at"), F.array_append(acc["starts"], acc["at"]).alias("starts")))["starts"]
+    df = df.withColumn("_starts", running)
+    chunk = lambda i: F.floor(i / CHUNK).cast("int")
+    end = lambda i: F.get("_starts", chunk(i)) + total(chunk(i) * CHUNK + 1, (i - chunk(i) * CHUNK + 1).cast("int"))
+    spans = F.transform("_pieces", lambda x, i: F.struct(
+        F.lit(kind).alias("kind"), (end(i) - F.length(x["value"])).cast("bigint").alias("start"), end(i).alias("end"),
+        x["value"].alias("value"), x["left"].alias("left"), x["right"].alias("right"), F.lit(False).alias("base")))
+    return df.withColumn(name, F.when(F.size("_starts") > 0, spans).otherwise(F.array()).cast(f"array<{_SPAN}>")).drop("_found", "_pieces", "_starts")
 
 
 def _digits(value: Column) -> Column:
@@ -134,9 +153,10 @@ def candidates(docs: DataFrame) -> DataFrame:
     found = read
     tested = lambda kind: lambda x: x.withField("base", _valid(kind, x["value"]))
     for kind in KINDS:
-        found = found.withColumn(f"_{kind}", F.transform(_spans(kind, BASE[kind]), tested(kind)))
+        found = _with_spans(found, f"_{kind}", kind, BASE[kind])
+        found = found.withColumn(f"_{kind}", F.transform(f"_{kind}", tested(kind)))
     for kind in MORE:
-        found = found.withColumn(f"_more_{kind}", _spans(kind, MORE[kind]))
+        found = _with_spans(found, f"_more_{kind}", kind, MORE[kind])
     found = found.drop("text")
     base = F.flatten(F.array(*[F.filter(f"_{k}", lambda x: x["base"]) for k in KINDS]))
     # of failed matches only the long digit strings are worth a vote

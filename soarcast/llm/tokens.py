@@ -20,7 +20,7 @@ import numpy as np
 
 from .text import IS_DIGIT, Slice, Spans
 
-CACHE_PIECES = 1 << 20
+CACHE_PIECES = 1 << 19
 #: the id that ends every document
 END_ID = 0
 

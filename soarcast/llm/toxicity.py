@@ -31,30 +31,28 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .labels import CALIBRATION_FOLD, fold, sample
 from .logistic import Logistic, fit_logistic
 from .scratch import Scratch, free_names
+from .skew import sieve
 from .text import IS_LETTER, LOWER, Slice, Spans, mix, slices
 
 ORDER = 6
 DISCOUNT = 0.75
 TABLE_BITS = 19
 TOP_WORDS = 3
+#: bytes of text that a worker counts or scores at a time (its arrays take some 100 times as much)
+SLICE_BYTES = 1 << 20
 FIT_DOCS = 50_000
-#: labelled folds (crc32 of the id modulo 5): 0 is held out, this one fits the regression
-FIT_FOLD = 4
 FEATURES = 9
 #: bytes that stand for the start and the end of a word
 _START, _END = 1, 2
 
 
-def fold(doc_id: str = "doc_id") -> Column:
-    return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(5)).cast("int")
-
-
 def distinct_words(words: Spans) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First occurrence of each distinct (lower-cased) word, its hash, and each word's index."""
     _, first, inverse = np.unique(words.hashes(LOWER), return_index=True, return_inverse=True)
@@ -111,7 +109,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct words of each slice with their occurrences in toxic and ordinary documents."""
     for batch in batches:
         toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-        for s in slices(batch.column(0)):
+        for s in slices(batch.column(0), SLICE_BYTES):
             words = s.runs(IS_LETTER)
             if not len(words):
                 continue
@@ -255,7 +253,7 @@ def _tables(grams: DataFrame) -> Model:
 def _features(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in slices(batch.column(0)):
+            for s in slices(batch.column(0), SLICE_BYTES):
                 x = model.value.features(s)
                 flat = pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), FEATURES).cast(pa.list_(pa.float64()))
                 yield pa.record_batch([flat, batch.column(1).slice(s.first, s.n)], names=["x", "y"])
@@ -266,16 +264,17 @@ def _features(model):
 def train(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> Model:
     """Fit the two models and the regression on the labelled documents outside fold 0."""
     target = labels.filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    known = docs.select("doc_id", "text").join(target, "doc_id").withColumn("fold", fold()).filter("fold > 0")
-    known = scratch.table(known.select("doc_id", "text", "toxic", "fold"), "labelled")
-    words = known.filter(F.col("fold") != FIT_FOLD).select("text", "toxic").mapInArrow(_count_words, "word binary, n1 bigint, n0 bigint")
+    target = target.withColumn("fold", fold()).filter((F.col("fold") > 0) & (F.col("fold") != CALIBRATION_FOLD)).select("doc_id", "toxic")
+    # texts without a label in these folds are sieved out before the join shuffles them
+    known = sieve(docs.select("doc_id", "text"), target, scratch).join(target.hint("shuffle_merge"), "doc_id")
+    words = known.select("text", "toxic").mapInArrow(_count_words, "word binary, n1 bigint, n0 bigint")
     words = words.groupBy("word").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
     grams = words.mapInArrow(_count_grams, "k int, gram bigint, context bigint, suffix bigint, n1 bigint, n0 bigint")
     grams = grams.groupBy("k", "gram").agg(F.first("context").alias("context"), F.first("suffix").alias("suffix"), F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
     model = _tables(scratch.table(grams, "grams"))
-    sample = known.filter(F.col("fold") == FIT_FOLD).orderBy(F.xxhash64("doc_id")).limit(FIT_DOCS)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = sample.select("text", "toxic").mapInArrow(_features(shared), "x array<double>, y int").toArrow()
+    fit_on = sample(docs, labels, "toxic", 0, FIT_DOCS)
+    rows = fit_on.select("text", "y").mapInArrow(_features(shared), "x array<double>, y int").toArrow()
     x = np.array(rows["x"].to_pylist()).reshape(-1, FEATURES)
     model.logistic = fit_logistic(x, rows["y"].to_numpy())
     return model
@@ -288,7 +287,7 @@ def score(docs: DataFrame, model: Model, into: str = "toxicity") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in slices(batch.column(at)):
+            for s in slices(batch.column(at), SLICE_BYTES):
                 p = shared.value.score(s)
                 yield pa.RecordBatch.from_arrays([*batch.slice(s.first, s.n).columns, pa.array(p)], names=[*batch.schema.names, into])
 
