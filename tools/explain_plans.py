@@ -9,7 +9,6 @@ from __future__ import annotations
 import os
 import re
 import sys
-import tempfile
 from collections import Counter
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -18,7 +17,7 @@ sys.path.insert(0, ROOT)
 from soarcast.functions import transform  # noqa: E402
 from soarcast.operators import hourly_baseline  # noqa: E402
 from soarcast.plans import MARTS, marts  # noqa: E402
-from soarcast.session import build_session  # noqa: E402
+from soarcast.session import build_session, scratch_folder  # noqa: E402
 from soarcast.sources import fixtures, read_transformed, write_transformed  # noqa: E402
 from soarcast.sources.events import parse_events  # noqa: E402
 from soarcast.streaming import views  # noqa: E402
@@ -64,7 +63,7 @@ def _summary(plan: str) -> str:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.ui.showConsoleProgress": "false"})
-    work = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    work = scratch_folder(spark, "plans")
     write_transformed(transform(fixtures.grid_raw(spark, sf_dir).drop("obs_id")), f"{work}/zone")
     obs = read_transformed(spark, f"{work}/zone")
     messages = fixtures.event_messages(spark, sf_dir).select("value")
