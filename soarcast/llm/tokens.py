@@ -14,13 +14,12 @@ from __future__ import annotations
 import os
 from array import array
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 
 from .text import IS_DIGIT, Slice, Spans
 
-CACHE_PIECES = 1 << 19
+CACHE_PIECES = 2 << 20
 #: the id that ends every document
 END_ID = 0
 
@@ -79,46 +78,70 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.start, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        # sorted hashes with the number of each piece, in runs of falling size (merged like a log)
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
+        self.start, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32)
         self.used = 0
 
-    def _learn(self, hashes: list[int], texts: list[str]) -> None:
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of sorted ``hashes``; -1 for pieces that are not known."""
+        at = np.full(len(hashes), -1, np.int64)
+        for known, number in self.runs:
+            todo = np.flatnonzero(at < 0)
+            place = np.minimum(np.searchsorted(known, hashes[todo]), len(known) - 1)
+            hit = known[place] == hashes[todo]
+            at[todo[hit]] = number[place[hit]]
+        return at
+
+    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         flat, length = array("I"), []
         for e in found:
             ids = e.ids
             length.append(len(ids))
             flat.extend(ids)
-        length = np.array(length, np.int64)
-        base = len(self.known)
-        self.known.update(zip(hashes, range(base, base + len(hashes))))
-        self.start = np.concatenate([self.start, self.used + np.cumsum(length) - length])
+        length = np.array(length, np.int32)
+        self.runs.append((hashes, np.arange(len(self.start), len(self.start) + len(hashes), dtype=np.int32)))
+        while len(self.runs) > 1 and len(self.runs[-2][0]) < 2 * len(self.runs[-1][0]):
+            both = [np.concatenate(x) for x in zip(self.runs.pop(), self.runs.pop())]
+            order = np.argsort(both[0], kind="stable")
+            self.runs.append((both[0][order], both[1][order]))
+        self.start = np.concatenate([self.start, self.used + np.cumsum(length, dtype=np.int64) - length])
         self.length = np.concatenate([self.length, length])
         if self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + 2 * len(flat), np.uint32)])
         self.ids[self.used : self.used + len(flat)] = np.frombuffer(flat, np.uint32)
         self.used += len(flat)
 
-    def encode(self, s: Slice) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the slice's texts, and where each text's ids begin (one more at the end)."""
-        cut = pieces(s)
+    def count(self, s: Slice) -> int:
+        """Number of ids of the slice's texts."""
+        at = self._numbers(pieces(s))[0]
+        return int(self.length[at].sum(dtype=np.int64))
+
+    def _numbers(self, cut: Spans) -> tuple[np.ndarray, Spans]:
+        """Number of each piece, after those that were not known are encoded."""
+        s = cut.of
         if not len(cut):
-            return np.zeros(0, np.uint32), np.zeros(s.n + 1, np.int64)
+            return np.zeros(0, np.int64), cut
         kinds, first, inverse = np.unique(cut.hashes(), return_index=True, return_inverse=True)
-        if len(self.known) > CACHE_PIECES:
+        if len(self.start) > CACHE_PIECES:
             self._forget()
-        listed = kinds.tolist()
-        at = np.fromiter(map(self.known.get, listed, repeat(-1)), np.int64, len(listed))
+        at = self._find(kinds)
         missing = np.flatnonzero(at < 0)
         if len(missing):
             raw = s.data.tobytes()
             texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(cut.start[first[missing]].tolist(), cut.end[first[missing]].tolist())]
-            at[missing] = np.arange(len(self.known), len(self.known) + len(missing))
-            self._learn([listed[i] for i in missing], texts)
-        at = at[inverse]
+            at[missing] = np.arange(len(self.start), len(self.start) + len(missing))
+            self._learn(kinds[missing], texts)
+        return at[inverse], cut
+
+    def encode(self, s: Slice) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the slice's texts, and where each text's ids begin (one more at the end)."""
+        at, cut = self._numbers(pieces(s))
+        if not len(cut):
+            return np.zeros(0, np.uint32), np.zeros(s.n + 1, np.int64)
         length = self.length[at]
-        end = np.cumsum(length)
+        end = np.cumsum(length, dtype=np.int64)
         ids = self.ids[np.repeat(self.start[at] - (end - length), length) + np.arange(end[-1])]
         per_text = np.bincount(cut.doc, length, s.n).astype(np.int64)
         return ids, np.concatenate([[0], np.cumsum(per_text)])

@@ -115,7 +115,7 @@ def _count(tokenizer: str, seq_tokens: int):
         code, total = encoder(tokenizer), 0
         for batch in batches:
             for s in slices(batch.column(1)):
-                total += len(code.encode(s)[0]) + s.n
+                total += code.count(s) + s.n
         if total:
             yield pa.record_batch([pa.array([TaskContext.get().partitionId()]), pa.array([-(-total // seq_tokens)])], names=["part", "n"])
 
