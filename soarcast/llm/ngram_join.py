@@ -41,7 +41,7 @@ from .text import IS_SPACE, LOWER, Slice, mix, short_sequences, slices, windows
 #: bits of every set's bitmap; sets of more than WIDE_FROM n-grams have a second one of WIDE_BITS
 BITS, WIDE_BITS, WIDE_FROM = 512, 2048, 512
 #: documents of a chunk of the lossy count, and the n-grams it holds at most
-CHUNK_DOCS, CHUNK_NGRAMS = 8192, 1 << 22
+CHUNK_DOCS, CHUNK_NGRAMS = 8192, 1 << 21
 #: an n-gram counted this often is common; the most common COMMON_LIMIT are broadcast (2 MB)
 COMMON_FROM, COMMON_LIMIT = 64, 1 << 17
 POSTING_BLOCK = 4096
@@ -264,7 +264,7 @@ def _verify(n: int, num: int, den: int):
         order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), keys[i]))
         sets, keys, block = [sets[i] for i in order], keys[order], block[order]
         size = np.array([len(x) for x in sets])
-        width = max(BITS, min(1 << 16, 1 << int(4 * size.max() - 1).bit_length()))
+        width = max(BITS, min(1 << 13, 1 << int(4 * size.max() - 1).bit_length()))
         bits = bitmaps(np.concatenate(sets), size, width)
         forest = Forest(len(sets))
         for a in range(len(sets) - 1):

@@ -1,7 +1,7 @@
 """Words and hashes of whole texts, read straight from Arrow string buffers with numpy.
 
 An Arrow string column is one byte buffer plus offsets. The helpers here walk that buffer
-in slices of a few MB (a longer text is a slice of its own), so no Python string is made
+in slices of about one MB (a longer text is a slice of its own), so no Python string is made
 per word and memory stays bounded by the slice, not by the partition.
 """
 
@@ -14,7 +14,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 1 << 20
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
