@@ -13,7 +13,7 @@ documents that the models have not seen turns these into a probability.
 
 Counting covers every labelled training document and is distributed: distinct words by
 class, then distinct byte n-grams, then sums. What is broadcast has a fixed size: tables of
-``2**TABLE_BITS`` cells per order (36 MB in all). The regression is fitted on at most
+at most ``2**TABLE_BITS`` cells per order (23 MB in all), sent once. The regression is fitted on at most
 ``FIT_DOCS`` documents, the ones with the least hash.
 
 Defined results: null and empty texts, and texts without letters, have no evidence and get
@@ -31,6 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,7 +44,9 @@ from .text import IS_LETTER, LOWER, Slice, Spans, mix, slices
 
 ORDER = 6
 DISCOUNT = 0.75
+#: cells of the tables of the highest order, and of the shared tables of orders 1 to 5 (powers of two)
 TABLE_BITS = 19
+FOLLOW_BITS = (8, 14, 17, 18, 19)
 TOP_WORDS = 3
 #: bytes of text that a worker counts or scores at a time (its arrays take some 100 times as much)
 SLICE_BYTES = 1 << 20
@@ -146,6 +149,14 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["k", "gram", "context", "suffix", "n1", "n0"])
 
 
+def _lower_offset(k: int) -> int:
+    return sum(1 << b for b in FOLLOW_BITS[: k - 1])
+
+
+def _lower_cell(h: np.ndarray, k: int) -> np.ndarray:
+    return (h & np.uint64((1 << FOLLOW_BITS[k - 1]) - 1)).astype(np.int64) + _lower_offset(k)
+
+
 @dataclass
 class Model:
     """Count tables by cell: of the highest order for each class, of lower orders for both."""
@@ -153,10 +164,9 @@ class Model:
     count: np.ndarray  # [class, cell]
     context: np.ndarray  # [class, cell] occurrences after the context
     kinds: np.ndarray  # [class, cell] distinct bytes after the context
-    follow: np.ndarray  # [order, cell] distinct bytes before the n-gram
-    follow_context: np.ndarray  # [order, cell]
-    follow_kinds: np.ndarray  # [order, cell]
-    logistic: Logistic | None = None
+    follow: np.ndarray  # [cell of all lower orders] distinct bytes before the n-gram
+    follow_context: np.ndarray
+    follow_kinds: np.ndarray
 
     def evidence(self, text: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Per word: log-likelihood as toxic less log-likelihood as ordinary."""
@@ -175,9 +185,12 @@ class Model:
                     known = seen > 0
                     p.append(np.where(known, (own + rest * lower[top]) / np.maximum(seen, 1), lower[top]))
                 score[top] = np.log(np.maximum(p[0], 1e-12)) - np.log(np.maximum(p[1], 1e-12))
-            seen = self.follow_context[k, c]
-            own = np.maximum(self.follow[k, g] - DISCOUNT, 0)
-            p = (own + DISCOUNT * self.follow_kinds[k, c] * lower) / np.maximum(seen, 1)
+            if k == ORDER:
+                break
+            g, c = _lower_cell(gram, k), _lower_cell(context, k)
+            seen = self.follow_context[c]
+            own = np.maximum(self.follow[g] - DISCOUNT, 0)
+            p = (own + DISCOUNT * self.follow_kinds[c] * lower) / np.maximum(seen, 1)
             lower = np.where(inside & (seen > 0), p, lower)
         return np.add.reduceat(score, offsets[:-1]) if len(offsets) > 1 else np.zeros(0)
 
@@ -213,8 +226,13 @@ class Model:
         out[:, 8] = np.log(np.maximum(kinds, 1))
         return out
 
-    def score(self, s: Slice) -> np.ndarray:
-        return self.logistic.predict(self.features(s))
+
+@dataclass
+class Trained:
+    """The broadcast model, sent once, and the regression on its features."""
+
+    shared: Broadcast
+    logistic: Logistic
 
 
 def _tables(grams: DataFrame) -> Model:
@@ -229,24 +247,25 @@ def _tables(grams: DataFrame) -> Model:
     seen = grams.filter("k > 1").groupBy((F.col("k") - 1).alias("k"), F.col("suffix").alias("gram")).agg(F.count(F.lit(1)).alias("n"))
     lower = grams.select("k", "gram", "context").join(seen, ["k", "gram"], "left").withColumn("n", F.coalesce("n", F.lit(1)))
     lower = lower.filter(F.col("k") < ORDER)
-    follow = lower.groupBy("k", cell("gram").alias("cell")).agg(F.sum("n").alias("a"))
-    after = lower.groupBy("k", cell("context").alias("cell")).agg(F.sum("n").alias("a"), F.count(F.lit(1)).alias("b"))
+    of_order = lambda values: F.element_at(F.array(*[F.lit(v).cast("bigint") for v in values]), F.col("k"))
+    orders = range(1, ORDER)
+    place = lambda c: of_order([_lower_offset(k) for k in orders]) + F.col(c).bitwiseAND(of_order([(1 << b) - 1 for b in FOLLOW_BITS]))
+    follow = lower.groupBy(place("gram").alias("cell")).agg(F.sum("n").alias("a"))
+    after = lower.groupBy(place("context").alias("cell")).agg(F.sum("n").alias("a"), F.count(F.lit(1)).alias("b"))
 
-    def fill(df: DataFrame, columns: str, orders: int = 0) -> list[np.ndarray]:
+    def fill(df: DataFrame, columns: str, size: int = cells) -> list[np.ndarray]:
         t = df.toArrow()
-        shape = (orders, cells) if orders else cells
         out = []
         for c in columns:
-            x = np.zeros(shape, np.float32)
-            at = t["cell"].to_numpy()
-            x[(t["k"].to_numpy(), at) if orders else at] = t[c].to_numpy()
+            x = np.zeros(size, np.float32)
+            x[t["cell"].to_numpy()] = t[c].to_numpy()
             out.append(x)
         return out
 
     a, b = fill(own, "ab")
     ca, cb, ka, kb = fill(context, "abcd")
-    (f,) = fill(follow, "a", ORDER + 1)
-    fa, fb = fill(after, "ab", ORDER + 1)
+    (f,) = fill(follow, "a", _lower_offset(ORDER))
+    fa, fb = fill(after, "ab", _lower_offset(ORDER))
     return Model(np.stack([b, a]), np.stack([cb, ca]), np.stack([kb, ka]), f, fa, fb)
 
 
@@ -261,7 +280,7 @@ def _features(model):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> Model:
+def train(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> Trained:
     """Fit the two models and the regression on the labelled documents outside fold 0."""
     target = labels.filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     target = target.withColumn("fold", fold()).filter((F.col("fold") > 0) & (F.col("fold") != CALIBRATION_FOLD)).select("doc_id", "toxic")
@@ -276,19 +295,18 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> Model:
     fit_on = sample(docs, labels, "toxic", 0, FIT_DOCS)
     rows = fit_on.select("text", "y").mapInArrow(_features(shared), "x array<double>, y int").toArrow()
     x = np.array(rows["x"].to_pylist()).reshape(-1, FEATURES)
-    model.logistic = fit_logistic(x, rows["y"].to_numpy())
-    return model
+    return Trained(shared, fit_logistic(x, rows["y"].to_numpy()))
 
 
-def score(docs: DataFrame, model: Model, into: str = "toxicity") -> DataFrame:
+def score(docs: DataFrame, model: Trained, into: str = "toxicity") -> DataFrame:
     """All columns of ``docs`` and ``into``, the probability that the label is 1."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, logistic = model.shared, model.logistic
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in slices(batch.column(at), SLICE_BYTES):
-                p = shared.value.score(s)
+                p = logistic.predict(shared.value.features(s))
                 yield pa.RecordBatch.from_arrays([*batch.slice(s.first, s.n).columns, pa.array(p)], names=[*batch.schema.names, into])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(into, T.DoubleType())]))
