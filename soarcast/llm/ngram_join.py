@@ -46,7 +46,7 @@ CHUNK_DOCS, CHUNK_NGRAMS = 8192, 1 << 21
 COMMON_FROM, COMMON_LIMIT = 64, 1 << 17
 POSTING_BLOCK = 4096
 BLOCK_NGRAMS = 1 << 21
-#: cells to which the ids of documents to be verified are hashed, to keep other texts out of the shuffle
+#: cells to which the rows of documents to be verified are hashed, to keep other texts out of the shuffle
 SIEVE_CELLS = 1 << 20
 
 
@@ -150,9 +150,9 @@ def _prefixes(n: int, num: int, den: int, common: np.ndarray, weight: np.ndarray
                 wide = pa.ListArray.from_arrays(pa.array(offsets), pa.array(_signed(wide.reshape(-1))))
                 empty = counts == 0
                 yield pa.record_batch(
-                    [batch.column(0).slice(s.first, s.n), pa.array(_signed(key), mask=empty), pa.array(counts),
-                     pa.array(_signed(group), mask=empty), *lists, bits.cast(pa.list_(pa.int64())), wide],
-                    names=["doc_id", "key", "n", "gid", "rare", "common", "bits", "wide"])
+                    [batch.column(0).slice(s.first, s.n), batch.column(2).slice(s.first, s.n), pa.array(_signed(key), mask=empty),
+                     pa.array(counts), pa.array(_signed(group), mask=empty), *lists, bits.cast(pa.list_(pa.int64())), wide],
+                    names=["doc_id", "row", "key", "n", "gid", "rare", "common", "bits", "wide"])
 
     return run
 
@@ -296,8 +296,6 @@ def _verify(n: int, num: int, den: int):
             out: list[tuple[int, int]] = []
             for g in range(no[-1] + 1):
                 rows = np.flatnonzero(no == g) if no[-1] < 64 else np.arange(*np.searchsorted(no, [g, g + 1]))
-                _, first = np.unique(keys[rows], return_index=True)  # an id that repeats brings its row again
-                rows = rows[first]
                 if len(rows) > 1:
                     out += links(keys[rows], block[rows], bool(across[rows[0]]), [sets[r] for r in rows])
             if out:
@@ -334,11 +332,13 @@ def similar(docs: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFram
     grams = common["gram"].to_numpy().view(np.uint64)
     order = np.argsort(grams)
     run = _prefixes(n, num, den, grams[order], common["n"].to_numpy()[order])
-    schema = f"doc_id {id_type}, key bigint, n bigint, gid bigint, rare array<bigint>, common array<bigint>, bits array<bigint>, wide array<bigint>"
-    sets = scratch.table(docs.select("doc_id", "text").mapInArrow(run, schema), "sets")
+    schema = f"doc_id {id_type}, row bigint, key bigint, n bigint, gid bigint, rare array<bigint>, common array<bigint>, bits array<bigint>, wide array<bigint>"
+    # an id may repeat with other texts, or be null: a row is known by its id and its text
+    row = F.xxhash64("doc_id", "text").alias("row")
+    sets = scratch.table(docs.select("doc_id", "text", row).mapInArrow(run, schema), "sets")
 
     sets_of = sets.filter("key IS NOT NULL")
-    keys = sets_of.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("gid").alias("gid"))
+    keys = sets_of.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("gid").alias("gid"))
     keys = scratch.table(keys, "keys")
     lanes = range(BITS // 64)
     groups = sets_of.groupBy("gid").agg(
@@ -362,17 +362,17 @@ def similar(docs: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFram
     edges = met.select("gram", "i", "j", "block", "gid", "n", "every", "some", "wide").mapInArrow(_candidates(num, den), "u bigint, v bigint")
     clusters = components(edges, scratch, "clusters")
 
-    member = keys.join(groups.select("gid", "members"), "gid").select("key", "rep", "n", "gid", "members")
+    member = keys.join(groups.select("gid", "members"), "gid").select("key", "row", "n", "gid", "members")
     member = member.join(clusters.withColumnRenamed("node", "gid"), "gid", "left")
-    member = member.filter("root IS NOT NULL OR members > 1").select("key", "rep", "n", F.coalesce("root", "gid").alias("cid"))
+    member = member.filter("root IS NOT NULL OR members > 1").select("key", "row", "n", F.coalesce("root", "gid").alias("cid"))
     member = scratch.table(member, "members")
     weights = member.groupBy("cid").agg(F.ceil(F.sum("n") / BLOCK_NGRAMS).alias("blocks"))
-    member = member.join(weights, "cid").select("key", "cid", "blocks", F.col("rep").alias("doc_id"))
+    member = member.join(weights, "cid").select("key", "cid", "blocks", "row")
     # first a sieve of bounded size, so that texts which need no verification are not shuffled
-    cell = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE_CELLS)).cast("int").alias("cell")
+    cell = F.pmod("row", F.lit(SIEVE_CELLS)).cast("int").alias("cell")
     needed = scratch.table(member.select(cell).distinct(), "sieve")
-    sieved = docs.select("doc_id", "text").withColumn("cell", cell).join(F.broadcast(needed), "cell", "left_semi")
-    texts = sieved.select("doc_id", "text").join(member.withColumnRenamed("doc_id", "_rep"), F.col("doc_id").eqNullSafe(F.col("_rep")))
+    sieved = docs.select(row, "text").withColumn("cell", cell).join(F.broadcast(needed), "cell", "left_semi")
+    texts = sieved.groupBy("row").agg(F.first("text").alias("text")).join(member, "row")
     texts = _in_blocks(texts.select("cid", "blocks", "key", "text"), "cid", "blocks", "key", parts)
     links = texts.select("cid", "i", "j", "block", "key", "text").mapInArrow(_verify(n, num, den), "u bigint, v bigint")
     linked = components(links, scratch, "links")

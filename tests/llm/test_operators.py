@@ -193,6 +193,15 @@ def test_ngram_join_is_exact(spark, monkeypatch, n, percent, small):
         assert got[doc_id].component_id == min(rows[j][0] for j in groups[i])
 
 
+def test_ngram_join_with_null_and_repeated_ids(spark):
+    rows = [(None if i % 3 == 0 else i % 7 if i % 3 == 1 else 100 + i, t) for i, t in near_copies(11, 240)]
+    got = ngram_join.similar(spark.createDataFrame(rows + rows[:9], "doc_id bigint, text string").repartition(4), Scratch(spark, "t"), 3, 90).collect()
+    groups, sets = components(rows, 3, 90)
+    least = lambda i: min((rows[j][0] for j in groups[i] if rows[j][0] is not None), default=None)
+    want = [(d, len(sets[i]), least(i)) for i, (d, _) in enumerate(rows)]
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == Counter(want + want[:9])
+
+
 def test_one_of_each_near_duplicate(spark, edges):
     kept = ngram_join.one_of_each(edges, Scratch(spark, "t"))
     assert kept.columns == edges.columns
