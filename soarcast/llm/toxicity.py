@@ -12,9 +12,11 @@ toxic words in a long text are not averaged away. A logistic regression on label
 documents that the models have not seen turns these into a probability.
 
 Counting covers every labelled training document and is distributed: distinct words by
-class, then distinct byte n-grams, then sums. What is broadcast has a fixed size: tables of
-at most ``2**TABLE_BITS`` cells per order (23 MB in all), sent once. The regression is fitted on at most
-``FIT_DOCS`` documents, the ones with the least hash.
+class, then distinct byte n-grams, then sums. An n-gram is its own key (its bytes and length
+in 64 bits), so every distinct n-gram and context keeps its exact counts. The tables are
+broadcast, sent once: they hold one row per distinct n-gram, so they grow with the labelled
+text (about 30 bytes an n-gram, on the driver and in each worker). The regression is fitted
+on at most ``FIT_DOCS`` documents, the ones with the least hash.
 
 Defined results: null and empty texts, and texts without letters, have no evidence and get
 the score of a document without any; a null id counts as the empty text for the fold;
@@ -44,9 +46,8 @@ from .text import IS_LETTER, LOWER, Slice, Spans, mix, slices
 
 ORDER = 6
 DISCOUNT = 0.75
-#: cells of the tables of the highest order, and of the shared tables of orders 1 to 5 (powers of two)
-TABLE_BITS = 19
-FOLLOW_BITS = (8, 14, 17, 18, 19)
+#: an n-gram of up to 7 bytes is one integer: its bytes below, its length in the bits from here on
+LENGTH_AT = 56
 TOP_WORDS = 3
 #: bytes of text that a worker counts or scores at a time (its arrays take some 100 times as much)
 SLICE_BYTES = 1 << 20
@@ -78,33 +79,25 @@ def word_bytes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
     return out, offsets
 
 
-def gram_hashes(text: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the ``size`` bytes that end at each position, and whether they lie in the word."""
-    h = np.zeros(len(text), np.uint64)
-    for i in range(size):
-        h = h * np.uint64(0x100000001B3)
-        back = size - 1 - i
-        h[back:] += text[: max(len(text) - back, 0)].astype(np.uint64) + np.uint64(1)
-    place = np.arange(len(text)) - np.repeat(offsets[:-1], np.diff(offsets))
-    return mix(h + np.uint64(size << 40)), place >= size - 1
-
-
 def _grams(text: np.ndarray, offsets: np.ndarray) -> list[tuple]:
-    """For each predicted byte: its n-gram, that n-gram's context and its shorter suffix.
+    """For each predicted byte, by order: its n-gram and that n-gram's context.
 
     The top n-gram of a byte has ``ORDER`` bytes, or reaches back to the start of the word.
+    Integers of places that are not ``inside`` mean nothing.
     """
     place = np.arange(len(text)) - np.repeat(offsets[:-1], np.diff(offsets))
     out = []
-    hashes = [gram_hashes(text, offsets, k)[0] for k in range(1, ORDER + 1)]
+    body = np.zeros(len(text), np.int64)
+    context = np.zeros(len(text), np.int64)
     for k in range(1, ORDER + 1):
-        context = np.zeros(len(text), np.uint64)
-        if k > 1:
-            context[1:] = hashes[k - 2][:-1]
-        suffix = hashes[k - 2] if k > 1 else np.zeros(len(text), np.uint64)
+        back = k - 1
+        body[back:] += text[: max(len(text) - back, 0)].astype(np.int64) << (8 * back)
+        gram = body + (k << LENGTH_AT)
         inside = (place >= max(k - 1, 1))
         top = (place >= 1) & (np.minimum(place + 1, ORDER) == k)
-        out.append((k, hashes[k - 1], context, suffix, inside, top))
+        out.append((k, gram, context, inside, top))
+        context = np.zeros(len(text), np.int64)
+        context[1:] = gram[:-1]
     return out
 
 
@@ -137,61 +130,71 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text, offsets = word_bytes(data, end - lengths, end)
         word = np.repeat(np.arange(len(lengths)), np.diff(offsets))
         n1, n0 = (batch.column(i).to_numpy() for i in (1, 2))
-        for k, gram, context, suffix, inside, top in _grams(text, offsets):
+        for _, gram, _, inside, top in _grams(text, offsets):
             rows = np.flatnonzero(inside)
             if not len(rows):
                 continue
-            u, first, inverse = np.unique(gram[rows], return_index=True, return_inverse=True)
+            u, inverse = np.unique(gram[rows], return_inverse=True)
             weigh = lambda n: np.bincount(inverse, weights=(n[word] * top)[rows], minlength=len(u)).astype(np.int64)
-            yield pa.record_batch(
-                [pa.array(np.full(len(u), k, np.int32)), pa.array(u.view(np.int64)), pa.array(context[rows][first].view(np.int64)),
-                 pa.array(suffix[rows][first].view(np.int64)), pa.array(weigh(n1)), pa.array(weigh(n0))],
-                names=["k", "gram", "context", "suffix", "n1", "n0"])
-
-
-def _lower_offset(k: int) -> int:
-    return sum(1 << b for b in FOLLOW_BITS[: k - 1])
-
-
-def _lower_cell(h: np.ndarray, k: int) -> np.ndarray:
-    return (h & np.uint64((1 << FOLLOW_BITS[k - 1]) - 1)).astype(np.int64) + _lower_offset(k)
+            yield pa.record_batch([pa.array(u), pa.array(weigh(n1)), pa.array(weigh(n0))], names=["gram", "n1", "n0"])
+
+
+class Keyed:
+    """Rows of values by distinct integer keys: open addressing, at most half full."""
+
+    def __init__(self, key: np.ndarray, *values: np.ndarray):
+        self.key = np.append(key, -1)  # the last row is that of unknown keys: zeros
+        self.values = [np.append(v, 0).astype(np.float32) for v in values]
+        self.slot = np.full(1 << max(4, int(2 * len(key)).bit_length()), -1, np.int32)
+        row, at = np.arange(len(key), dtype=np.int32), self._first(key)
+        while len(row):
+            free = self.slot[at] < 0
+            self.slot[at[free]] = row[free]
+            left = self.slot[at] != row
+            row, at = row[left], (at[left] + 1) & (len(self.slot) - 1)
+
+    def _first(self, key: np.ndarray) -> np.ndarray:
+        return (mix(key.view(np.uint64)) & np.uint64(len(self.slot) - 1)).astype(np.int64)
+
+    def find(self, key: np.ndarray) -> list[np.ndarray]:
+        """The values of each key; zeros where it is unknown."""
+        at = self._first(key)
+        row = self.slot[at]
+        open_ = np.flatnonzero((row >= 0) & (self.key[row] != key))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & (len(self.slot) - 1)
+            row[open_] = self.slot[at[open_]]
+            open_ = open_[(row[open_] >= 0) & (self.key[row[open_]] != key[open_])]
+        return [v[row] for v in self.values]
 
 
 @dataclass
 class Model:
-    """Count tables by cell: of the highest order for each class, of lower orders for both."""
+    """Counts by n-gram: of the highest order for each class, of lower orders for both."""
 
-    count: np.ndarray  # [class, cell]
-    context: np.ndarray  # [class, cell] occurrences after the context
-    kinds: np.ndarray  # [class, cell] distinct bytes after the context
-    follow: np.ndarray  # [cell of all lower orders] distinct bytes before the n-gram
-    follow_context: np.ndarray
-    follow_kinds: np.ndarray
+    top: Keyed  # n-gram: occurrences in toxic, in ordinary documents
+    top_context: Keyed  # context: occurrences after it by class, distinct bytes after it by class
+    follow: Keyed  # lower n-gram: distinct bytes before it
+    follow_context: Keyed  # context: sum of those after it, distinct bytes after it
 
     def evidence(self, text: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Per word: log-likelihood as toxic less log-likelihood as ordinary."""
-        cell = lambda h: (h & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
-        grams = _grams(text, offsets)
         lower = np.full(len(text), 1 / 256)
         score = np.zeros(len(text))
-        for k, gram, context, _, inside, top in grams:
-            g, c = cell(gram), cell(context)
+        for k, gram, context, inside, top in _grams(text, offsets):
             if top.any():
                 p = []
-                for label in (1, 0):
-                    seen = self.context[label, c[top]]
-                    own = np.maximum(self.count[label, g[top]] - DISCOUNT, 0)
-                    rest = DISCOUNT * self.kinds[label, c[top]]
-                    known = seen > 0
-                    p.append(np.where(known, (own + rest * lower[top]) / np.maximum(seen, 1), lower[top]))
+                counts, after = self.top.find(gram[top]), self.top_context.find(context[top])
+                for label in (0, 1):  # toxic, ordinary
+                    seen, kinds = after[label], after[2 + label]
+                    own = np.maximum(counts[label] - DISCOUNT, 0)
+                    p.append(np.where(seen > 0, (own + DISCOUNT * kinds * lower[top]) / np.maximum(seen, 1), lower[top]))
                 score[top] = np.log(np.maximum(p[0], 1e-12)) - np.log(np.maximum(p[1], 1e-12))
             if k == ORDER:
                 break
-            g, c = _lower_cell(gram, k), _lower_cell(context, k)
-            seen = self.follow_context[c]
-            own = np.maximum(self.follow[g] - DISCOUNT, 0)
-            p = (own + DISCOUNT * self.follow_kinds[c] * lower) / np.maximum(seen, 1)
-            lower = np.where(inside & (seen > 0), p, lower)
+            (count,), (seen, kinds) = self.follow.find(gram[inside]), self.follow_context.find(context[inside])
+            p = (np.maximum(count - DISCOUNT, 0) + DISCOUNT * kinds * lower[inside]) / np.maximum(seen, 1)
+            lower[inside] = np.where(seen > 0, p, lower[inside])
         return np.add.reduceat(score, offsets[:-1]) if len(offsets) > 1 else np.zeros(0)
 
     def features(self, s: Slice) -> np.ndarray:
@@ -236,37 +239,24 @@ class Trained:
 
 
 def _tables(grams: DataFrame) -> Model:
-    """Sum the n-grams into the model's cells; at most 12 tables of 2**TABLE_BITS cells come back."""
-    cells = 1 << TABLE_BITS
-    cell = lambda c: F.col(c).bitwiseAND(cells - 1)
+    """The model's tables from the n-grams: one row per distinct n-gram or context comes back."""
+    k, body = f"shiftright(gram, {LENGTH_AT})", f"(gram & {(1 << LENGTH_AT) - 1})"
+    shorter = f"shiftleft({k} - 1, {LENGTH_AT})"
+    context = F.when(F.expr(f"{k} > 1"), F.expr(f"{shorter} | shiftright({body}, 8)")).otherwise(F.lit(0)).cast("bigint").alias("context")
+    suffix = F.expr(f"{shorter} | ({body} & (shiftleft(1L, CAST(8 * ({k} - 1) AS INT)) - 1))").alias("gram")
     top = grams.filter("n1 + n0 > 0")
-    own = top.groupBy(cell("gram").alias("cell")).agg(F.sum("n1").alias("a"), F.sum("n0").alias("b"))
-    context = top.groupBy(cell("context").alias("cell")).agg(
+    after_top = top.select(context, "n1", "n0").groupBy("context").agg(
         F.sum("n1").alias("a"), F.sum("n0").alias("b"), F.count_if(F.col("n1") > 0).alias("c"), F.count_if(F.col("n0") > 0).alias("d"))
     # continuation counts: an n-gram of order k + 1 is one byte that precedes its suffix
-    seen = grams.filter("k > 1").groupBy((F.col("k") - 1).alias("k"), F.col("suffix").alias("gram")).agg(F.count(F.lit(1)).alias("n"))
-    lower = grams.select("k", "gram", "context").join(seen, ["k", "gram"], "left").withColumn("n", F.coalesce("n", F.lit(1)))
-    lower = lower.filter(F.col("k") < ORDER)
-    of_order = lambda values: F.element_at(F.array(*[F.lit(v).cast("bigint") for v in values]), F.col("k"))
-    orders = range(1, ORDER)
-    place = lambda c: of_order([_lower_offset(k) for k in orders]) + F.col(c).bitwiseAND(of_order([(1 << b) - 1 for b in FOLLOW_BITS]))
-    follow = lower.groupBy(place("gram").alias("cell")).agg(F.sum("n").alias("a"))
-    after = lower.groupBy(place("context").alias("cell")).agg(F.sum("n").alias("a"), F.count(F.lit(1)).alias("b"))
-
-    def fill(df: DataFrame, columns: str, size: int = cells) -> list[np.ndarray]:
-        t = df.toArrow()
-        out = []
-        for c in columns:
-            x = np.zeros(size, np.float32)
-            x[t["cell"].to_numpy()] = t[c].to_numpy()
-            out.append(x)
-        return out
+    seen = grams.filter(F.expr(f"{k} > 1")).select(suffix).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    lower = grams.filter(F.expr(f"{k} < {ORDER}")).select("gram", context).join(seen, "gram", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    after = lower.groupBy("context").agg(F.sum("n").alias("a"), F.count(F.lit(1)).alias("b"))
+
+    def keyed(df: DataFrame, key: str, *values: str) -> Keyed:
+        t = df.select(key, *[F.col(c).cast("float") for c in values]).toArrow()
+        return Keyed(t[key].to_numpy(), *[t[c].to_numpy() for c in values])
 
-    a, b = fill(own, "ab")
-    ca, cb, ka, kb = fill(context, "abcd")
-    (f,) = fill(follow, "a", _lower_offset(ORDER))
-    fa, fb = fill(after, "ab", _lower_offset(ORDER))
-    return Model(np.stack([b, a]), np.stack([cb, ca]), np.stack([kb, ka]), f, fa, fb)
+    return Model(keyed(top, "gram", "n1", "n0"), keyed(after_top, "context", *"abcd"), keyed(lower, "gram", "n"), keyed(after, "context", *"ab"))
 
 
 def _features(model):
@@ -288,8 +278,8 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> Trained:
     known = sieve(docs.select("doc_id", "text"), target, scratch).join(target.hint("shuffle_merge"), "doc_id")
     words = known.select("text", "toxic").mapInArrow(_count_words, "word binary, n1 bigint, n0 bigint")
     words = words.groupBy("word").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-    grams = words.mapInArrow(_count_grams, "k int, gram bigint, context bigint, suffix bigint, n1 bigint, n0 bigint")
-    grams = grams.groupBy("k", "gram").agg(F.first("context").alias("context"), F.first("suffix").alias("suffix"), F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+    grams = words.mapInArrow(_count_grams, "gram bigint, n1 bigint, n0 bigint")
+    grams = grams.groupBy("gram").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
     model = _tables(scratch.table(grams, "grams"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     fit_on = sample(docs, labels, "toxic", 0, FIT_DOCS)

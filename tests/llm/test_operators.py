@@ -323,6 +323,58 @@ def test_a_toxic_stem_is_caught_with_endings_it_never_had(spark):
     assert scores[0] > 0.5 > scores[1]
 
 
+def plain_evidence(marked, words):
+    """Log-likelihood of each of ``words`` as toxic less as ordinary, from dicts of all n-grams."""
+    count, after = {0: Counter(), 1: Counter()}, {0: Counter(), 1: Counter()}
+    kinds, before = defaultdict(set), defaultdict(set)
+    grams = set()
+    for w, y in marked:  # words and whether their document is toxic
+        s = b"\1" + w.encode() + b"\2"
+        for i in range(1, len(s)):
+            top = s[max(i - 5, 0) : i + 1]
+            count[y][top] += 1
+            after[y][top[:-1]] += 1
+            kinds[y, top[:-1]].add(top)
+            grams |= {s[i - k + 1 : i + 1] for k in range(1, 7) if i >= k - 1}
+    for g in grams:
+        before[g[1:]].add(g)
+    follow = {g: max(len(before[g]), 1) for g in grams if len(g) < 6}
+    sums, different = Counter(), Counter()
+    for g, n in follow.items():
+        sums[g[:-1]] += n
+        different[g[:-1]] += 1
+    out = []
+    for word in words:
+        total, s = 0.0, b"\1" + word.encode() + b"\2"
+        for i in range(1, len(s)):
+            top, lower = s[max(i - 5, 0) : i + 1], 1 / 256
+            for k in range(1, 6):
+                g = s[i - k + 1 : i + 1]
+                if i >= k - 1 and len(g) == k and sums[g[:-1]]:
+                    own = max(follow.get(g, 0) - 0.75, 0) + 0.75 * different[g[:-1]] * lower
+                    # the top n-gram backs off to the orders below its own
+                    lower = own / sums[g[:-1]] if k < len(top) else lower
+            p = [(max(count[y][top] - 0.75, 0) + 0.75 * len(kinds[y, top[:-1]]) * lower) / after[y][top[:-1]] if after[y][top[:-1]] else lower for y in (1, 0)]
+            total += np.log(p[0]) - np.log(p[1])
+        out.append(total)
+    return out
+
+
+def test_toxicity_counts_every_ngram_by_itself(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzéü") for _ in range(rng.randint(1, 12)))
+    texts = [(i, " ".join(word() for _ in range(40)), i % 2) for i in range(600)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string, toxic int")
+    model = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"), Scratch(spark, "t"))
+    used = [(w, y) for i, t, y in texts if zlib.crc32(str(i).encode()) % 5 in (1, 2, 3) for w in t.split()]
+    words = [word() for _ in range(60)] + [w for w, _ in used[:60]]
+    spelled = [w.encode() for w in words]
+    end = np.cumsum([len(w) for w in spelled])
+    start = end - [len(w) for w in spelled]
+    got = model.shared.value.evidence(*toxicity.word_bytes(np.frombuffer(b"".join(spelled), np.uint8), start, end))
+    assert got == pytest.approx(plain_evidence(used, words), abs=1e-3)
+
+
 def test_quality_rule_base_counts(spark, edges):
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
     rows = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").union(edges.select("doc_id", "text"))
