@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, ngram_join, packing, pii, quality_rules, quality_vectors, secrets, toxicity, training_order
+from . import (
+    chat_format,
+    exact_dedup,
+    lexical_search,
+    mixing,
+    ngram_join,
+    packing,
+    periodic_runs,
+    pii,
+    quality_rules,
+    quality_vectors,
+    secrets,
+    toxicity,
+    training_order,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +35,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ngram_jaccard_join": ngram_join.op8,
         "op9_training_order": training_order.op9,
         "op10_mix_sources": mixing.op10,
+        "op11_ranked_search": lexical_search.op11,
+        "op12_chat_format": chat_format.op12,
+        "op13_periodic_runs": periodic_runs.op13,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": exact_dedup.SQL}
+    return {
+        "op6_exact_dedup": exact_dedup.SQL,
+        "op11_ranked_search": lexical_search.SQL,
+        "op12_chat_format": chat_format.SQL,
+    }
