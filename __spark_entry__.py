@@ -21,12 +21,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from soarcast import oracle
-from soarcast.functions import danger_flag, dewpoint_magnus, normalize_time, safe_corr, stable_round, transform, xc_flag
+from soarcast.functions import add_cell_id, danger_flag, dewpoint_magnus, normalize_time, safe_corr, stable_round, transform, xc_flag
 from soarcast.functions.live import alert_level
-from soarcast.operators import distinct_count, diurnal_slice, flying_hours, global_rank, hourly_baseline, in_months
-from soarcast.plans import marts
-from soarcast.session import ensure_utc, scratch_folder
-from soarcast.sources import fixtures, read_transformed, write_transformed
+from soarcast.operators import (
+    distinct_count,
+    distinct_sketch,
+    diurnal_slice,
+    flying_hours,
+    global_rank,
+    grid_positions,
+    hourly_baseline,
+    in_box,
+    in_months,
+    merged_count,
+    nearest_cells,
+    site_baseline,
+)
+from soarcast.plans import cell_moments, marts, merged_conditions, merged_correlation, month_moments
+from soarcast.session import ensure_utc, scratch_folder, session_settings
+from soarcast.sources import fixtures, read_raw, read_transformed, write_transformed
 from soarcast.sources.events import parse_events, parse_payload
 from soarcast.streaming import views
 
@@ -121,6 +134,55 @@ def _zone_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.hourly_conditions(read_transformed(spark, path))
 
 
+def _box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a box, read from a written zone by ranges of cell ids."""
+    path = f"{scratch_folder(spark, 'zone')}/transformed"
+    write_transformed(observations(spark, sf_dir).drop("obs_id"), path)
+    return in_box(read_transformed(spark, path), *oracle.BOX).groupBy((F.col("latitude") + 0.0).alias("latitude"), (F.col("longitude") + 0.0).alias("longitude")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("hour").alias("sum_hours"))
+
+
+def _approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cell-hours by year: sketches against exact counts, and all years from the merged sketches."""
+    obs = observations(spark, sf_dir)
+    keys = ("latitude", "longitude", "time")
+    by_year = obs.groupBy("year").agg(F.count_distinct(F.struct(*keys)).alias("n_cell_hours"), distinct_sketch(*keys).alias("sketch"))
+    total = by_year.agg(F.lit(-1).alias("year"), distinct_count(obs, *keys).alias("n_cell_hours"), merged_count("sketch").alias("estimate"))
+    each = by_year.select("year", "n_cell_hours", F.hll_sketch_estimate("sketch").alias("estimate"))
+    close = F.abs(F.col("estimate") - F.col("n_cell_hours")) <= 0.03 * F.col("n_cell_hours")
+    return each.unionByName(total).select("year", "n_cell_hours", close.alias("within_3_percent"))
+
+
+def _mixed_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw zone whose years differ in physical types: time as timestamp (INT64, INT96) or epoch
+    nanoseconds, coordinates in single or double precision."""
+    ensure_utc(spark)
+    path = f"{scratch_folder(spark, 'raw')}/raw"
+    raw = fixtures.grid_raw(spark, sf_dir).withColumn("year", F.year("time"))
+    single = raw.withColumns({c: F.col(c).cast("float") for c in ("latitude", "longitude")})
+    kinds = [(raw, "INT96"), (single, "TIMESTAMP_MICROS"), (raw.withColumn("time", F.unix_micros("time") * 1000), "TIMESTAMP_MICROS")]
+    for i, (rows, time_type) in enumerate(kinds):
+        with session_settings(spark, {"spark.sql.parquet.outputTimestampType": time_type}):
+            rows.filter(F.pmod("year", F.lit(3)) == i).write.mode("append").partitionBy("year").parquet(path)
+    return transform(read_raw(spark, path)).select(
+        "obs_id", "time", "latitude", "longitude", "year", "month", "hour", "temp_c", "wind_speed", "flying_category")
+
+
+def _nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sites = scored_events(spark, sf_dir).select("location", "lat", "lon").distinct()
+    return nearest_cells(sites, grid_positions(observations(spark, sf_dir)), within=oracle.SITE_REACH)
+
+
+def _nearest_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _nearest(spark, sf_dir).select(
+        "location", "lat", "lon", "cell_latitude", "cell_longitude", stable_round("cell_distance", 6).alias("cell_distance"))
+
+
+def _site_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    baseline = site_baseline(observations(spark, sf_dir), _nearest(spark, sf_dir))
+    return views.versus_baseline(scored_events(spark, sf_dir), baseline)
+
+
 def _sliding_counts(scored: DataFrame) -> DataFrame:
     windows = scored.filter("event_time IS NOT NULL").groupBy(F.window("event_time", "10 minutes", "5 minutes"), "location")
     return views.flatten_window(windows.agg(F.count(F.lit(1)).alias("n_events")))
@@ -164,6 +226,14 @@ def _operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "c5_diurnal_slice": _obs_rows(diurnal_slice),
         "e9_distinct_counts": _distinct_counts,
         "f2_global_rank": _rank_blh,
+        "d1_cell_ids": lambda spark, sf_dir: add_cell_id(observations(spark, sf_dir)).select("obs_id", "cell_id"),
+        "c7_box": _box,
+        "e9_approx_distinct": _approx_distinct,
+        "q2_from_year_moments": _mart(lambda o: marts.rank_cells(merged_conditions(cell_moments(o)))),
+        "q5_from_year_moments": _mart(lambda o: merged_correlation(month_moments(o))),
+        "a1_mixed_zone": _mixed_zone,
+        "s4_nearest_cells": _nearest_cells,
+        "s4_site_baseline": _site_baseline,
         "a11_encode_events": lambda spark, sf_dir: fixtures.event_messages(spark, sf_dir),
     }
 

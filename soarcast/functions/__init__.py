@@ -1,5 +1,6 @@
 """Column-level functions: derived measures, labels, rounding and ratios."""
 
+from .cells import add_cell_id, box_ranges, cell_id, with_cell_id
 from .derive import (
     cloud_base,
     danger_flag,

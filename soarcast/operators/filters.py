@@ -3,10 +3,13 @@ range prunes whole directories; hour ranges are pushed into the Parquet reader."
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..functions.cells import CELL, box_ranges
 
 
 def month_range(lo: int, hi: int) -> Column:
@@ -50,3 +53,16 @@ def afternoon_condition() -> Column:
 def diurnal_slice(df: DataFrame) -> DataFrame:
     """Summer months, restricted to warm morning hours and afternoon hours."""
     return df.filter(month_range(*R.SUMMER_MONTHS) & (morning_condition() | afternoon_condition()))
+
+
+def in_box(df: DataFrame, south: float, west: float, north: float, east: float, ranges: int = 32) -> DataFrame:
+    """Rows whose position lies in a box, its edges included.
+
+    Of rows that carry their cell id, at most ``ranges`` ranges of ids are read, so that files and
+    row groups of the zone, which are sorted by id, are skipped; the coordinates decide.
+    """
+    exact = F.col("latitude").between(south, north) & F.col("longitude").between(west, east)
+    if CELL not in df.columns:
+        return df.filter(exact)
+    near = reduce(lambda a, b: a | b, [F.col(CELL).between(lo, hi) for lo, hi in box_ranges(south, west, north, east, ranges)])
+    return df.filter(near).filter(exact)

@@ -5,18 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CELL_DAY_KEYS = ("year", "month", "day", "latitude", "longitude")
+from ..functions.cells import CELL, add_cell_id
+
+CELL_DAY_KEYS = ("year", "month", "day", CELL)
 
 
 def join_on_cell_day(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
-    """Equi-join two per-(cell, day) aggregates on ``year, month, day, latitude, longitude``.
+    """Equi-join two per-(cell, day) aggregates on ``year, month, day, cell_id``.
+
+    The id stands for the position (``functions.cells``), so the position's own columns are
+    taken from the left side only. A side without ids gets them from its position; rows without a
+    position match nothing, as in a join on coordinates.
 
     When both sides are aggregates grouped by these keys they are already hash
     partitioned on them, so the join adds no exchange. For two aggregates of the
     *same* source prefer one conditional aggregation (see ``plans.marts.morning_to_afternoon``),
     which shuffles the source once instead of twice.
     """
-    return left.join(right, list(CELL_DAY_KEYS), how)
+    joined = _with_key(left).join(_with_key(right).drop("latitude", "longitude"), list(CELL_DAY_KEYS), how)
+    return joined if CELL in left.columns or CELL in right.columns else joined.drop(CELL)
+
+
+def _with_key(df: DataFrame) -> DataFrame:
+    if CELL in df.columns:
+        return df
+    placed = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    return add_cell_id(df).withColumn(CELL, F.when(placed, F.col(CELL)))
 
 
 def hourly_baseline(mart: DataFrame, wind_col: str = "avg_wind", base_col: str = "avg_cloud_base") -> DataFrame:
@@ -34,12 +48,18 @@ def hourly_baseline(mart: DataFrame, wind_col: str = "avg_wind", base_col: str =
     )
 
 
-def compare_to_baseline(events: DataFrame, baseline: DataFrame, time_col: str = "event_time") -> DataFrame:
+def compare_to_baseline(events: DataFrame, baseline: DataFrame, time_col: str = "event_time", site_col: str = "location") -> DataFrame:
     """Left-join each event to the baseline row of its hour of day.
 
     ``baseline`` is the output of ``hourly_baseline`` (<= 24 rows), broadcast to every
-    task, so the event stream is never shuffled; works for batch and streaming events.
+    task, so the event stream is never shuffled; works for batch and streaming events. A baseline
+    by site (``nearest.site_baseline``, with ``hist_location``) is joined on site and hour; its size
+    follows the number of sites, so how it is joined is left to the optimizer.
     """
-    by_hour = F.broadcast(baseline.withColumnRenamed("hist_hour", "hour"))
-    columns = [*events.columns, "hour", *[c for c in baseline.columns if c != "hist_hour"]]
-    return events.withColumn("hour", F.hour(time_col)).join(by_hour, "hour", "left").select(*columns)
+    by_site = "hist_location" in baseline.columns
+    columns = [*events.columns, "hour", *[c for c in baseline.columns if c not in ("hist_hour", "hist_location")]]
+    right = baseline.withColumnRenamed("hist_hour", "hour")
+    keys = ["hour"]
+    if by_site:
+        right, keys = right.withColumnRenamed("hist_location", site_col), ["hour", site_col]
+    return events.withColumn("hour", F.hour(time_col)).join(right if by_site else F.broadcast(right), keys, "left").select(*columns)

@@ -476,4 +476,78 @@ FROM events_typed"""
 
 OPERATOR_QUERIES["a11_encode_events"] = A11
 
+
+# --- cell ids, state by year, mixed zones, sites -----------------------------------
+
+def _lattice(c: str, offset: int, limit: int) -> str:
+    return (f"CASE WHEN {c} IS NULL THEN 2147483647 WHEN isnan({c}) THEN 2147483646 WHEN {c} > {limit} THEN 2147483645 "
+            f"WHEN {c} < -{limit} THEN 2147483644 ELSE CAST(floor(({c} + {offset}) * 2097152e0 + 0.5e0) AS BIGINT) END")
+
+
+CELL_IDS = _with(*GRID) + f"""
+SELECT obs_id, list_sum(list_transform(range(31), lambda b : (((y >> b) & 1) << (2 * b + 1)) | (((x >> b) & 1) << (2 * b))))::BIGINT AS cell_id
+FROM (SELECT obs_id, CAST({_lattice('latitude', 256, 255)} AS BIGINT) AS y, CAST({_lattice('longitude', 512, 500)} AS BIGINT) AS x FROM obs)"""
+
+#: south, west, north, east of the box query
+BOX = (42.8, 19.6, 43.3, 20.0)
+
+IN_BOX = _with(*GRID) + f"""
+SELECT latitude + 0e0 AS latitude, longitude + 0e0 AS longitude, count(*) AS n_rows, sum(hour)::BIGINT AS sum_hours
+FROM obs WHERE latitude BETWEEN {BOX[0]}e0 AND {BOX[2]}e0 AND longitude BETWEEN {BOX[1]}e0 AND {BOX[3]}e0 GROUP BY ALL"""
+
+# the estimates themselves are no exact values: each must lie within three percent of the exact count
+APPROX_DISTINCT = _with(*GRID) + """
+SELECT year, count(*) AS n_cell_hours, TRUE AS within_3_percent
+FROM (SELECT DISTINCT year, latitude, longitude, time FROM obs) GROUP BY year
+UNION ALL
+SELECT -1, count(*), TRUE FROM (SELECT DISTINCT latitude, longitude, time FROM obs)"""
+
+MIXED_ZONE = _obs_select("obs_id, time, latitude, longitude, year, month, hour, temp_c, wind_speed, flying_category")
+
+#: largest distance in degrees of a site's cell
+SITE_REACH = 0.6
+
+NEAREST = f"""
+sites AS (SELECT DISTINCT location, lat, lon FROM events_typed),
+nearest AS (
+  SELECT location, lat, lon, latitude AS cell_latitude, longitude AS cell_longitude, d AS cell_distance
+  FROM (
+    SELECT s.*, c.latitude, c.longitude,
+      sqrt(pow(s.lat - c.latitude, 2) + pow(least((abs(s.lon - c.longitude)) % 360, 360 - (abs(s.lon - c.longitude)) % 360)
+        * cos(radians(s.lat)), 2)) AS d
+    FROM sites s, (SELECT DISTINCT latitude, longitude FROM obs WHERE latitude IS NOT NULL AND longitude IS NOT NULL) c)
+  WHERE d <= {SITE_REACH} QUALIFY row_number() OVER (PARTITION BY location ORDER BY d, latitude, longitude) = 1)"""
+
+NEAREST_CELLS = _with(*GRID, EVENTS, NEAREST) + f"""
+SELECT location, lat, lon, cell_latitude, cell_longitude, {R('cell_distance', 6)} AS cell_distance
+FROM sites LEFT JOIN nearest USING (location, lat, lon)"""
+
+SITE_BASELINE = _with(*GRID, EVENTS, NEAREST) + f""",
+baseline AS (
+  SELECT n.location, o.hour, {R('avg(o.wind_speed)', 2)} AS hist_wind, {R('avg(o.cloud_base_m)', 2)} AS hist_cloud_base
+  FROM nearest n JOIN obs o ON o.latitude = n.cell_latitude AND o.longitude = n.cell_longitude
+  WHERE o.month BETWEEN 4 AND 9 GROUP BY n.location, o.hour)
+SELECT timestamp, location, lat, lon, wind_speed, cloud_base_m, temp_c, hist_wind, hist_cloud_base, hour,
+  wind_vs_historical, cloud_base_vs_historical,
+  CASE WHEN wind_vs_historical > 3 THEN 'WORSE_THAN_AVG' WHEN wind_vs_historical < -3 THEN 'BETTER_THAN_AVG'
+    ELSE 'AVERAGE' END AS conditions_vs_avg
+FROM (
+  SELECT s.*, b.hist_wind, b.hist_cloud_base,
+    {R("s.wind_speed - b.hist_wind", 2)} AS wind_vs_historical,
+    {R("s.cloud_base_m - b.hist_cloud_base", 0)} AS cloud_base_vs_historical
+  FROM (SELECT *, CAST(hour(event_time) AS INTEGER) AS hour FROM scored) s
+  LEFT JOIN baseline b ON s.hour = b.hour AND s.location = b.location
+)"""
+
+OPERATOR_QUERIES |= {
+    "d1_cell_ids": CELL_IDS,
+    "c7_box": IN_BOX,
+    "e9_approx_distinct": APPROX_DISTINCT,
+    "q2_from_year_moments": Q2,
+    "q5_from_year_moments": Q5,
+    "a1_mixed_zone": MIXED_ZONE,
+    "s4_nearest_cells": NEAREST_CELLS,
+    "s4_site_baseline": SITE_BASELINE,
+}
+
 QUERIES.update(OPERATOR_QUERIES)

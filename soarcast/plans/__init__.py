@@ -25,5 +25,6 @@ from .marts import (
     xc_months,
 )
 from .batch import build_marts, refresh_zone, run_batch
+from .state import STATE, cell_moments, merged_conditions, merged_correlation, month_moments, refresh_state
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions.derive import transform
 from ..session import utc_session
-from ..sources.grid import TILE_DEGREES, read_raw, read_transformed, replace_zone_year, write_transformed
+from ..operators.aggregates import merged_count
+from ..sources.grid import TILE_DEGREES, observations, read_raw, replace_zone_years, write_transformed
 from ..sources.marts import EXPORTED_MARTS, export_marts, write_mart
-from .marts import CALENDAR_MARTS, GRID_COUNT_MARTS, MARTS, ROLLUP_MARTS, Rollup, calendar_rollup, cell_conditions, grid_counts, rank_cells
+from ..sources.publish import Published
+from .marts import CALENDAR_MARTS, GRID_COUNT_MARTS, MARTS, counts_of
+from .state import NEEDS, build_mart, refresh_state
 
 
 def refresh_zone(spark: SparkSession, raw_path: str, zone_path: str, years: Iterable[int] | None = None,
@@ -28,35 +31,34 @@ def refresh_zone(spark: SparkSession, raw_path: str, zone_path: str, years: Iter
         if years is None:
             write_transformed(transform(read_raw(spark, raw_path)), zone_path, tile_degrees=tile_degrees, rebalance=rebalance)
             return
-        for year in sorted({int(y) for y in years}):
-            near = transform(read_raw(spark, raw_path, (year - 1, year, year + 1)))
-            replace_zone_year(near.filter(F.col("year") == year), zone_path, year, tile_degrees=tile_degrees, rebalance=rebalance)
+        years = sorted({int(y) for y in years})
+        near = transform(read_raw(spark, raw_path, sorted({y + k for y in years for k in (-1, 0, 1)})))
+        replace_zone_years(near, zone_path, years, tile_degrees=tile_degrees, rebalance=rebalance)
 
 
-def build_marts(spark: SparkSession, obs: DataFrame, mart_root: str, names: Iterable[str] | None = None) -> dict[str, str]:
+def build_marts(spark: SparkSession, obs: DataFrame, mart_root: str, names: Iterable[str] | None = None,
+                source: dict[str, str] | None = None, approximate: bool = False) -> dict[str, str]:
     """Build marts from the zone; returns mart name -> folder.
 
-    Marts that are sums over calendar keys come from one scan: ``calendar_rollup`` is written
-    once below the mart root (``_intermediate``) and read by each of them. The grid counts that Q1, Q4 and Q7
-    divide by are computed once, and Q2's cells are written once before they are ranked.
+    Marts follow from state tables below the mart root (``plans.state``), one scan of the zone
+    for each table a mart needs. ``source`` tells which version of each year ``obs`` reads
+    (``Published.parts`` of the zone); only years that changed since the state was made are
+    scanned then. ``approximate`` takes the number of cells that Q1, Q4 and Q7 divide by from
+    merged sketches (relative error about one percent) and spares the table of distinct cells.
     """
     names = list(names or MARTS)
+    needed = dict.fromkeys(t for n in names for t in NEEDS[n])
+    if approximate and needed.pop("grid_cells", 0) is None:
+        needed["grid_sketches"] = None
+    state = refresh_state(obs, mart_root, needed, source)
     counts = {}
-    if any(n in GRID_COUNT_MARTS for n in names):
-        row = grid_counts(obs).first()
-        counts = {"n_cells": row["n_cells"], "n_years": row["n_years"]}
-    rollup = None
-    if any(n in ROLLUP_MARTS for n in names):
-        rollup = spark.read.parquet(write_mart(calendar_rollup(obs), f"{mart_root}/_intermediate", "calendar_rollup"))
+    if "grid_cells" in state:
+        counts = counts_of(state["grid_cells"]).first().asDict()
+    elif "grid_sketches" in state:
+        counts = state["grid_sketches"].agg(merged_count("cells").alias("n_cells"), F.count(F.lit(1)).alias("n_years")).first().asDict()
     written = {}
     for name in names:
-        extra = {k: counts[k] for k in GRID_COUNT_MARTS.get(name, ())}
-        if name in ROLLUP_MARTS:
-            mart = MARTS[name](rollup, **extra, m=Rollup)
-        elif name == "q2_location_stability":
-            mart = rank_cells(spark.read.parquet(write_mart(cell_conditions(obs), f"{mart_root}/_intermediate", "cell_conditions")))
-        else:
-            mart = MARTS[name](obs, **extra)
+        mart = build_mart(name, state, {k: counts[k] for k in GRID_COUNT_MARTS.get(name, ())})
         written[name] = write_mart(mart, mart_root, name, one_file=name in CALENDAR_MARTS)
     return written
 
@@ -71,16 +73,20 @@ def run_batch(
     export: Mapping | None = None,
     tile_degrees: float = TILE_DEGREES,
     rebalance: bool = True,
+    approximate: bool = False,
 ) -> dict[str, str]:
     """Transform, then build every mart from the written zone, then export.
 
-    ``years`` re-processes only those years of the zone (``refresh_zone``); the marts are
-    always rebuilt from the whole zone. ``export`` = ``{"url": ..., "properties": {...}}``
+    ``years`` re-processes only those years of the zone (``refresh_zone``); the marts follow from
+    state by year, and of the zone only years are read that changed since that state was made.
+    Rows without a time belong to no year: a run of some years leaves them as they are, a full
+    run writes them anew. ``approximate`` is passed to ``build_marts``. ``export`` = ``{"url": ..., "properties": {...}}``
     copies the exported marts to a database. Returns mart name -> folder.
     """
     refresh_zone(spark, raw_path, zone_path, years, tile_degrees, rebalance)
     with utc_session(spark):
-        written = build_marts(spark, read_transformed(spark, zone_path), mart_root, marts)
+        zone = Published(spark, zone_path)
+        written = build_marts(spark, observations(zone), mart_root, marts, zone.parts, approximate)
         if export:
             mapping = {k: v for k, v in EXPORTED_MARTS.items() if k in written}
             export_marts(spark, mart_root, export["url"], export.get("properties", {}), mapping)

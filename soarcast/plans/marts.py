@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..functions.cells import CELL, position, with_cell_id
 from ..functions.derive import danger_flag, sky_bucket, xc_flag
-from ..functions.numeric import count_where, percent_where, ratio, safe_corr, stable_round
+from ..functions.numeric import count_where, ratio, safe_corr, stable_round
 from ..operators.aggregates import distinct_count, per_unit
 from ..operators.filters import (
     afternoon_condition,
@@ -122,22 +123,27 @@ def _sorted_small(df: DataFrame, *cols) -> DataFrame:
 
 
 def grid_keys(obs: DataFrame) -> DataFrame:
-    """Distinct (year, latitude, longitude): one plain aggregation, from which both grid
-    counts follow without copying the observations."""
-    return obs.select("year", "latitude", "longitude").distinct()
+    """Distinct (year, cell): one plain aggregation, from which both grid counts follow without
+    copying the observations."""
+    return with_cell_id(obs).select("year", CELL).distinct()
 
 
 def grid_counts(obs: DataFrame) -> DataFrame:
     """One row: ``n_cells`` (distinct latitude/longitude) and ``n_years`` (distinct years),
     NULL combinations included, as ``distinct().count()`` counts them."""
-    return grid_keys(obs).agg(
-        F.count_distinct(F.struct("latitude", "longitude")).alias("n_cells"),
+    return counts_of(grid_keys(obs))
+
+
+def counts_of(keys: DataFrame) -> DataFrame:
+    """``grid_counts`` from ``grid_keys``."""
+    return keys.agg(
+        F.count_distinct(CELL).alias("n_cells"),
         F.count_distinct(F.struct("year")).alias("n_years"),
     )
 
 
 def _cells(obs: DataFrame, n_cells):
-    return distinct_count(grid_keys(obs), "latitude", "longitude") if n_cells is None else F.lit(n_cells)
+    return distinct_count(grid_keys(obs), CELL) if n_cells is None else F.lit(n_cells)
 
 
 def _years(obs: DataFrame, n_years):
@@ -161,15 +167,22 @@ def category_hours_by_month(obs: DataFrame, n_cells: int | None = None, m: type[
 
 def cell_conditions(obs: DataFrame) -> DataFrame:
     """Per grid cell: spread and mean of wind, CAPE and cloud base in the flying hours of the season."""
-    return flying_hours(obs, R.FLYING_SEASON_MONTHS, R.MIDDAY_HOURS).groupBy("latitude", "longitude").agg(
-        stable_round(F.stddev_samp("wind_speed"), 3).alias("wind_stddev"),
-        stable_round(F.stddev_samp("cape"), 3).alias("cape_stddev"),
-        stable_round(F.stddev_samp("cloud_base_m"), 3).alias("cloud_base_stddev"),
-        stable_round(F.avg("wind_speed"), 2).alias("avg_wind"),
-        stable_round(F.avg("cape"), 2).alias("avg_cape"),
-        stable_round(F.avg("cloud_base_m"), 2).alias("avg_cloud_base"),
-        F.count(F.lit(1)).alias("total_hours"),
-    )
+    by_cell = flying_hours(with_cell_id(obs), R.FLYING_SEASON_MONTHS, R.MIDDAY_HOURS).groupBy(CELL)
+    return conditions_of(by_cell, F.stddev_samp, F.avg, F.count(F.lit(1)))
+
+
+def conditions_of(by_cell, spread, mean, hours) -> DataFrame:
+    """``cell_conditions`` from rows grouped by cell; the functions say how measures are taken from them."""
+    return by_cell.agg(
+        position("latitude"), position("longitude"),
+        stable_round(spread("wind_speed"), 3).alias("wind_stddev"),
+        stable_round(spread("cape"), 3).alias("cape_stddev"),
+        stable_round(spread("cloud_base_m"), 3).alias("cloud_base_stddev"),
+        stable_round(mean("wind_speed"), 2).alias("avg_wind"),
+        stable_round(mean("cape"), 2).alias("avg_cape"),
+        stable_round(mean("cloud_base_m"), 2).alias("avg_cloud_base"),
+        hours.alias("total_hours"),
+    ).drop(CELL)
 
 
 def rank_cells(cells: DataFrame, buckets: int | None = None) -> DataFrame:
@@ -249,12 +262,18 @@ def category_by_hour(obs: DataFrame, n_cells: int | None = None, n_years: int |
 def cape_cloudbase_correlation(obs: DataFrame) -> DataFrame:
     """Q5: monthly correlation of CAPE with cloud base and with boundary-layer height
     in the flying hours, ranked by the first. A constant input gives NULL."""
-    out = flying_hours(obs, R.FLYING_SEASON_MONTHS, R.MIDDAY_HOURS).groupBy("month").agg(
-        stable_round(safe_corr("cape", "cloud_base_m"), 3).alias("cape_cloudbase_corr"),
-        stable_round(safe_corr("cape", "blh"), 3).alias("cape_blh_corr"),
-        stable_round(F.avg("cape"), 1).alias("avg_cape"),
-        stable_round(F.avg("cloud_base_m"), 0).alias("avg_cloud_base"),
-        stable_round(F.avg("blh"), 0).alias("avg_blh"),
+    by_month = flying_hours(obs, R.FLYING_SEASON_MONTHS, R.MIDDAY_HOURS).groupBy("month")
+    return correlation_mart(by_month, safe_corr, F.avg)
+
+
+def correlation_mart(by_month, corr, mean) -> DataFrame:
+    """Q5 from rows grouped by month; ``corr`` and ``mean`` say how measures are taken from them."""
+    out = by_month.agg(
+        stable_round(corr("cape", "cloud_base_m"), 3).alias("cape_cloudbase_corr"),
+        stable_round(corr("cape", "blh"), 3).alias("cape_blh_corr"),
+        stable_round(mean("cape"), 1).alias("avg_cape"),
+        stable_round(mean("cloud_base_m"), 0).alias("avg_cloud_base"),
+        stable_round(mean("blh"), 0).alias("avg_blh"),
     )
     out = small_rank(out, "cape_cloudbase_corr", ascending=False, alias="correlation_rank")
     return _sorted_small(out, "month")
@@ -290,10 +309,10 @@ def xc_months(obs: DataFrame, n_cells: int | None = None, n_years: int | None =
 
 def cell_day_halves(obs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Per (cell, summer day): the warm-morning means, and the afternoon's best category and means."""
-    days = diurnal_slice(obs)
+    days = with_cell_id(diurnal_slice(obs)).filter("latitude IS NOT NULL AND longitude IS NOT NULL")
     mean = lambda c, name: stable_round(F.avg(c), 2).alias(name)
     mornings = days.filter(morning_condition()).groupBy(*CELL_DAY_KEYS).agg(
-        mean("temp_c", "morning_temp"), mean("wind_speed", "morning_wind"), mean("cape", "morning_cape"), mean("tcc", "morning_tcc"))
+        position("latitude"), position("longitude"), mean("temp_c", "morning_temp"), mean("wind_speed", "morning_wind"), mean("cape", "morning_cape"), mean("tcc", "morning_tcc"))
     afternoons = days.filter(afternoon_condition()).groupBy(*CELL_DAY_KEYS).agg(
         F.max("flying_category").alias("afternoon_category"), mean("cape", "afternoon_cape"), mean("blh", "afternoon_blh"))
     return mornings, afternoons
@@ -301,14 +320,14 @@ def cell_day_halves(obs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def joined_cell_days(obs: DataFrame) -> DataFrame:
     """``cell_day_outlook`` by the general cell-day join of its two halves."""
-    return join_on_cell_day(*cell_day_halves(obs)).withColumn("morning_sky", sky_bucket("morning_tcc"))
+    return join_on_cell_day(*cell_day_halves(obs)).drop(CELL).withColumn("morning_sky", sky_bucket("morning_tcc"))
 
 
 def cell_day_outlook(obs: DataFrame) -> DataFrame:
     """Per (cell, summer day): warm-morning means and the afternoon's best category.
 
     Equivalent to aggregating the warm-morning rows and the afternoon rows separately
-    by (year, month, day, latitude, longitude) and inner-joining the two, but done as
+    by (year, month, day, position) and inner-joining the two, but done as
     ONE conditional aggregation: the source is shuffled once, and only cell-days that
     have both a warm-morning row and an afternoon row (and non-NULL keys, as an inner
     join requires) are kept. The afternoon category is the lexicographic maximum, so a
@@ -320,7 +339,8 @@ def cell_day_outlook(obs: DataFrame) -> DataFrame:
     def morning(c):
         return F.when(is_morning, F.col(c))
 
-    per_day = diurnal_slice(obs).groupBy(*CELL_DAY_KEYS).agg(
+    per_day = with_cell_id(diurnal_slice(obs)).groupBy(*CELL_DAY_KEYS).agg(
+        position("latitude"), position("longitude"),
         F.count_if(is_morning).alias("_morning_rows"),
         F.count_if(is_afternoon).alias("_afternoon_rows"),
         stable_round(F.avg(morning("temp_c")), 2).alias("morning_temp"),
@@ -331,30 +351,43 @@ def cell_day_outlook(obs: DataFrame) -> DataFrame:
         stable_round(F.avg(F.when(is_afternoon, F.col("cape"))), 2).alias("afternoon_cape"),
         stable_round(F.avg(F.when(is_afternoon, F.col("blh"))), 2).alias("afternoon_blh"),
     )
-    keys_present = [F.col(k).isNotNull() for k in CELL_DAY_KEYS]
+    keys_present = [F.col(k).isNotNull() for k in ("year", "month", "day", "latitude", "longitude")]
     cond = (F.col("_morning_rows") > 0) & (F.col("_afternoon_rows") > 0)
     for k in keys_present:
         cond = cond & k
     return (
         per_day.filter(cond)
-        .drop("_morning_rows", "_afternoon_rows")
+        .drop("_morning_rows", "_afternoon_rows", CELL)
         .withColumn("morning_sky", sky_bucket("morning_tcc"))
     )
 
 
-def morning_to_afternoon(obs: DataFrame) -> DataFrame:
-    """Q8: how often the afternoon is flyable given the morning sky, by sky class."""
-    days = cell_day_outlook(obs)
+def sky_days(obs: DataFrame) -> DataFrame:
+    """Cell-days of a year by morning sky: counts and sums, from which Q8 follows."""
+    return cell_day_outlook(obs).groupBy("year", "morning_sky").agg(
+        F.count(F.lit(1)).alias("n_days"),
+        F.count_if(F.col("afternoon_category") != R.FLYING_FALLBACK).alias("n_flyable"),
+        *[agg(c).alias(f"{name}_{c}") for c in ("morning_temp", "morning_wind") for name, agg in (("sum", F.sum), ("n", F.count))],
+    )
+
+
+def sky_outlook(days: DataFrame) -> DataFrame:
+    """Q8 from ``sky_days``."""
     out = days.groupBy("morning_sky").agg(
-        stable_round(percent_where(F.col("afternoon_category") != R.FLYING_FALLBACK), 1).alias("flyable_pct"),
-        stable_round(F.avg("morning_temp"), 1).alias("avg_morning_temp"),
-        stable_round(F.avg("morning_wind"), 2).alias("avg_morning_wind"),
-        F.count(F.lit(1)).alias("total_days"),
+        stable_round(ratio(F.sum("n_flyable") * F.lit(100.0), F.sum("n_days")), 1).alias("flyable_pct"),
+        stable_round(Rollup.mean("morning_temp"), 1).alias("avg_morning_temp"),
+        stable_round(Rollup.mean("morning_wind"), 2).alias("avg_morning_wind"),
+        F.sum("n_days").alias("total_days"),
     )
     out = small_rank(out, "flyable_pct", ascending=False, alias="rank")
     return _sorted_small(out, F.col("flyable_pct").desc_nulls_last(), F.col("morning_sky").asc_nulls_last())
 
 
+def morning_to_afternoon(obs: DataFrame) -> DataFrame:
+    """Q8: how often the afternoon is flyable given the morning sky, by sky class."""
+    return sky_outlook(sky_days(obs))
+
+
 def blh_through_day(obs: DataFrame, m: type[Rows] = Rows) -> DataFrame:
     """Q9: boundary-layer development by season and daylight hour, ranked within the
     season, with a centred 3-hour mean."""

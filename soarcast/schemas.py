@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     BooleanType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -27,7 +28,7 @@ def _doubles(*names: str) -> list[StructField]:
 RAW_VARIABLES = ("t2m", "cape", "blh", "u10", "v10", "d2m", "sp", "tcc")
 RAW_AUXILIARY = ("number", "step", "surface", "expver", "valid_time")
 
-# Transformed zone, partitioned by year and month.
+# Transformed zone, partitioned by year and month; ``cell_id`` is this library's own (``functions.cells``).
 OBS_SCHEMA = StructType(
     [
         StructField("time", TimestampType()),
@@ -37,6 +38,7 @@ OBS_SCHEMA = StructType(
         *_doubles("temp_c", "dewpoint_c", "wind_speed", "wind_dir", "cloud_base_m"),
         StructField("fog_condition", BooleanType()),
         *[StructField(n, StringType()) for n in ("flying_category", "thermal_strength", "time_of_day", "season")],
+        StructField("cell_id", LongType()),
         StructField("year", IntegerType()),
         StructField("month", IntegerType()),
     ]

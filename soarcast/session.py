@@ -8,6 +8,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# nanosecond Parquet timestamps of raw grids are read as epoch-ns bigints
+NANOS_AS_LONG = {"spark.sql.legacy.parquet.nanosAsLong": "true"}
+
 # Settings every job needs: UTC calendar parts, adaptive execution (partition
 # coalescing, skew-join splitting, runtime broadcast), no web UI.
 DEFAULTS = {
@@ -16,8 +19,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
-    # nanosecond Parquet timestamps of raw grids are read as epoch-ns bigints
-    "spark.sql.legacy.parquet.nanosAsLong": "true",
+    **NANOS_AS_LONG,
     # checkpoint files of intermediate frames (e.g. Q2's per-cell table) are removed once
     # the frame is garbage-collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -74,8 +76,8 @@ def session_settings(spark: SparkSession, settings: dict[str, str]):
 
 
 def utc_session(spark: SparkSession):
-    """A block in which calendar parts are UTC."""
-    return session_settings(spark, {"spark.sql.session.timeZone": "UTC"})
+    """A block in which calendar parts are UTC and nanosecond timestamps can be read."""
+    return session_settings(spark, {"spark.sql.session.timeZone": "UTC", **NANOS_AS_LONG})
 
 
 def ensure_utc(spark: SparkSession) -> None:

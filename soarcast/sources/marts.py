@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .publish import Published
+
 # Marts copied to the database and their table names (q2 and q8 stay on storage only).
 EXPORTED_MARTS = {
     "q1_flying_hours_by_month": "batch_q1",
@@ -24,19 +26,20 @@ def mart_path(root: str, name: str) -> str:
 
 
 def write_mart(df: DataFrame, root: str, name: str, one_file: bool = False) -> str:
-    """Overwrite one mart folder, by as many tasks as the mart's last stage has.
+    """Publish one mart, by as many tasks as the mart's last stage has; returns the folder of this version.
 
     ``one_file`` is for marts whose size the calendar bounds (``plans.CALENDAR_MARTS``): their
-    last stage is a single ordered partition already, so one file costs nothing.
+    last stage is a single ordered partition already, so one file costs nothing. Readers of the
+    mart (``read_mart``) see the version before until this one is committed.
     """
-    path = mart_path(root, name)
-    out = df.coalesce(1) if one_file else df
-    out.write.mode("overwrite").parquet(path)
-    return path
+    table = Published(df.sparkSession, mart_path(root, name))
+    table.replace_all(df.coalesce(1) if one_file else df)
+    return table.folder()
 
 
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(mart_path(root, name))
+    """The committed version of a mart."""
+    return Published(spark, mart_path(root, name)).read()
 
 
 def export_marts(

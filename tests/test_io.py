@@ -3,11 +3,13 @@
 import datetime as dt
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from soarcast.functions import transform
+from soarcast.functions import add_cell_id, transform
 from soarcast.functions.derive import wind_speed, with_calendar
 from soarcast.plans import MARTS, refresh_zone, run_batch
 from soarcast.plans import marts as M
@@ -37,11 +39,12 @@ def test_transformed_zone_round_trip(spark, scratch):
     obs = transform(fixtures.grid_raw(spark, SF_SMALL).drop("obs_id"))
     write_transformed(obs, f"{scratch}/zone")
     back = read_transformed(spark, f"{scratch}/zone")
-    assert sorted(back.columns) == sorted(obs.columns)
-    assert _canon(back) == _canon(obs.select(back.columns))
+    assert sorted(back.columns) == sorted([*obs.columns, "cell_id"])
+    assert _canon(back) == _canon(add_cell_id(obs).select(back.columns))
     years = sorted(d for d in os.listdir(f"{scratch}/zone") if d.startswith("year="))
     assert years == [f"year={y}" for y in range(1995, 2002)]
-    assert sorted(os.listdir(f"{scratch}/zone/year=1996"))[:2] == ["month=1", "month=10"]
+    (version,) = os.listdir(f"{scratch}/zone/year=1996")
+    assert sorted(os.listdir(f"{scratch}/zone/year=1996/{version}"))[:2] == ["month=1", "month=10"]
 
 
 def test_year_replace_drops_vanished_months_and_keeps_other_years(spark, scratch):
@@ -154,3 +157,37 @@ def test_run_batch_writes_every_mart(spark, scratch):
               marts=["q10_climate_trend"])
     q10 = read_mart(spark, f"{scratch}/marts", "q10_climate_trend")
     assert _canon(q10) == _canon(M.climate_trend(obs))
+
+
+def test_years_of_one_zone_may_differ_in_types(spark, scratch):
+    """INT96, INT64 and nanosecond timestamps, epoch nanoseconds, float and double: equal rows whatever footer comes first."""
+    times = [dt.datetime(2019, 5, 1, h, 30, 0, 123456) for h in range(3)]
+    kinds = [(pa.float32(), pa.timestamp("us", "UTC"), {}), (pa.float64(), pa.timestamp("ns", "UTC"), {}), (pa.float64(), pa.timestamp("ns"), {"use_deprecated_int96_timestamps": True}),
+             (pa.float32(), pa.int64(), {}), (pa.int32(), pa.timestamp("us", "UTC"), {})]
+    for order in (kinds, kinds[::-1]):
+        root = f"{scratch}/raw{kinds.index(order[0])}"
+        for i, (number, time, options) in enumerate(order):
+            at = [t.replace(year=2015 + i // 2) for t in times]  # two kinds in one folder
+            epoch = [int(t.replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000) * 1000 for t in at]
+            table = pa.table({"time": pa.array(epoch if time == pa.int64() else at, time), "latitude": pa.array([45] * 3, number), "longitude": pa.array([20, 21, 22], number),
+                              "t2m": pa.array([280] * 3, number), **({"number": pa.array([0] * 3)} if i else {})})
+            folder = f"{root}/year={2015 + i // 2}"
+            os.makedirs(folder, exist_ok=True)
+            pq.write_table(table, f"{folder}/{i}.parquet", **options)
+        df = read_raw(spark, root)
+        assert dict(df.dtypes) == {"time": "timestamp", "latitude": "double", "longitude": "double", "t2m": "double", "year": "int"}
+        got = sorted((r.time, r.latitude, r.longitude, r.t2m) for r in df.collect())
+        want = sorted((t.replace(year=2015 + i // 2), 45.0, 20.0 + k, 280.0) for i in range(5) for k, t in enumerate(times))
+        assert got == want
+        one = read_raw(spark, root, years=[2016])
+        assert one.count() == 6 and all("year=2016" in f for f in one.inputFiles())
+
+
+def test_nanosecond_zones_in_a_session_without_the_defaults(spark, scratch):
+    os.makedirs(f"{scratch}/raw/year=2020")
+    time = pa.array([dt.datetime(2020, 6, 1, 10)], pa.timestamp("ns", "UTC"))
+    row = {"latitude": 45.0, "longitude": 20.0, "t2m": 280.0, "d2m": 275.0, "u10": 1.0, "v10": 2.0, "cape": 100.0, "blh": 500.0, "sp": 95000.0, "tcc": 0.5}
+    pq.write_table(pa.table({"time": time, **{k: [v] for k, v in row.items()}}), f"{scratch}/raw/year=2020/a.parquet")
+    with session_settings(spark, {"spark.sql.legacy.parquet.nanosAsLong": "false"}):
+        refresh_zone(spark, f"{scratch}/raw", f"{scratch}/zone")
+        assert read_transformed(spark, f"{scratch}/zone").first().hour == 10

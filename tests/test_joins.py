@@ -15,7 +15,8 @@ def test_only_days_with_both_halves_pair_up(spark):
          (2020, 6, 3, None, 20.0, "expert"), (2021, 6, 4, 45.0, 20.0, "expert")],
         f"{KEYS}, afternoon_category string")
     joined = join_on_cell_day(left, right)
-    assert joined.columns == [*CELL_DAY_KEYS, "morning_temp", "afternoon_category"]
+    assert CELL_DAY_KEYS[:3] == ("year", "month", "day")
+    assert sorted(joined.columns) == sorted(["year", "month", "day", "latitude", "longitude", "morning_temp", "afternoon_category"])
     # a day that appears twice on one side pairs twice; a missing side or a NULL key pairs with nothing
     assert sorted(r.afternoon_category for r in joined.collect()) == ["expert", "student"]
     assert {(r.day, r.morning_temp) for r in joined.collect()} == {(1, 11.5)}

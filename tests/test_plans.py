@@ -10,6 +10,7 @@ from soarcast import oracle
 from soarcast.functions import transform
 from soarcast.operators import global_rank, hourly_baseline
 from soarcast.plans import build_marts, marts
+from soarcast.plans.state import state_table
 from soarcast.sources import fixtures, read_transformed, write_transformed
 from soarcast.streaming import views
 
@@ -83,11 +84,11 @@ def test_zone_file_count_is_bounded_for_mixed_input(spark, scratch):
 
     raw = fixtures.grid_raw(spark, SF_SMALL).drop("obs_id").repartition(16)  # every task mixes months
     write_transformed(transform(raw), f"{scratch}/zone")
-    folders = glob.glob(f"{scratch}/zone/year=*/month=*")
-    files = glob.glob(f"{scratch}/zone/year=*/month=*/*.parquet")
+    folders = glob.glob(f"{scratch}/zone/year=*/version=*/month=*")
+    files = glob.glob(f"{scratch}/zone/year=*/version=*/month=*/*.parquet")
     assert len(files) <= 2 * len(folders)
     write_transformed(transform(raw), f"{scratch}/zone_plain", rebalance=False)
-    plain = glob.glob(f"{scratch}/zone_plain/year=*/month=*/*.parquet")
+    plain = glob.glob(f"{scratch}/zone_plain/year=*/version=*/month=*/*.parquet")
     assert len(plain) > 4 * len(folders)  # what the rebalance prevents
 
 
@@ -99,7 +100,7 @@ def test_seven_marts_from_one_scan_equal_the_marts_themselves(spark, scratch):
         got, want = spark.read.parquet(path), marts.MARTS[name](obs)
         assert got.columns == want.columns
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
-    rollup = spark.read.parquet(f"{scratch}/marts/_intermediate/calendar_rollup")
+    rollup = state_table(spark, f"{scratch}/marts", "calendar_rollup").read()
     for name in marts.ROLLUP_MARTS:
         counts = {c: 1 for c in marts.GRID_COUNT_MARTS.get(name, ())}
         plan = _plan(marts.MARTS[name](rollup, **counts, m=marts.Rollup))
