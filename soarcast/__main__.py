@@ -75,6 +75,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     lv.add_argument("--source", required=True, help="JSON-lines folder, or a JSON object of Kafka options")
     lv.add_argument("--checkpoint-dir")
     lv.add_argument("--trigger", default="2 minutes", help="processing-time interval, or 'available-now'")
+    lv.add_argument("--strict-nulls", action="store_true", help="NULL labels and scores where an input is NULL")
+    lv.add_argument("--deduplicate", action="store_true", help="drop events that the producer sent again")
+    lv.add_argument("--log", help="folder for the progress table; failed queries are restarted with growing pauses")
     lv.add_argument("--state-partitions", type=int, help="state partitions of the windowed queries (first start)")
 
     args = p.parse_args(argv)
@@ -117,7 +120,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif args.command == "live":
         from .operators import hourly_baseline
         from .sources import read_mart
-        from .streaming import SINK_NAMES, jdbc_batch_writer, jdbc_statement, parquet_batch_writer, start_live
+        from .streaming import SINK_NAMES, ProgressLog, jdbc_batch_writer, jdbc_statement, parquet_batch_writer, start_live, supervise
 
         source = json.loads(args.source) if args.source.lstrip().startswith("{") else args.source
         def baseline():  # re-read every micro-batch: follows the nightly mart rewrite
@@ -131,13 +134,18 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             for name in SINK_NAMES[:-1]:  # the five live tables; rejected rows stay on storage
                 sinks[name] = jdbc_batch_writer(name, jdbc["url"], jdbc["properties"], run_statement=jdbc_statement(spark, jdbc["url"], jdbc["properties"]))
         trigger = {"availableNow": True} if args.trigger == "available-now" else {"processingTime": args.trigger}
-        live = start_live(spark, source, baseline, sinks, checkpoint_dir=args.checkpoint_dir, trigger=trigger,
-                          state_partitions=args.state_partitions)
-        if args.trigger == "available-now":
-            for q in live.queries.values():
+
+        def start():
+            return start_live(spark, source, baseline, sinks, checkpoint_dir=args.checkpoint_dir, trigger=trigger,
+                              state_partitions=args.state_partitions, strict_nulls=args.strict_nulls, deduplicate=args.deduplicate)
+
+        if args.log:
+            supervise(start, ProgressLog(spark, args.log))
+        elif args.trigger == "available-now":
+            for q in start().queries.values():
                 q.awaitTermination()
         else:
-            live.await_any()
+            start().await_any()
     if own_session:
         spark.stop()
     return 0

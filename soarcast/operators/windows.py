@@ -94,8 +94,10 @@ def global_rank(df: DataFrame, col: str, ascending: bool = True, nulls_last: boo
     if fractions:
         step = max(1, math.isqrt(len(fractions)))
         bounds = (
-            values.select(F.percentile_approx(F.when(~is_nan, key), fractions, accuracy).alias("b"))
+            # the row count keeps this subquery's shuffle equal to the one below, so both read one scan
+            values.select(F.percentile_approx(F.when(~is_nan, key), fractions, accuracy).alias("b"), F.sum("_n").alias("n"))
             .select(F.struct(
+                "n",
                 F.coalesce("b", F.array().cast("array<double>")).alias("fine"),
                 F.coalesce(F.filter("b", lambda x, i: (i + 1) % step == 0),
                            F.array().cast("array<double>")).alias("coarse"),
@@ -113,8 +115,9 @@ def global_rank(df: DataFrame, col: str, ascending: bool = True, nulls_last: boo
     # NaN sorts above every number (last ascending, first descending); NULLs go to an end
     nan_bucket = F.lit(buckets if ascending else -1)
     null_bucket = F.lit(buckets + 1 if nulls_last else -2)
-    # by bucket: the sizes (one row per bucket) and the running sum read the same shuffle,
-    # which therefore must keep the same columns on both sides
+    # by bucket: the sizes (one row per bucket) and the running sum read the same shuffle, which
+    # therefore must keep the same columns and filters on both sides (hence the outer join below:
+    # an inner one would filter NULL buckets, which do not occur, on one side)
     bucketed = (
         values.withColumn(
             "_bucket", F.when(value.isNull(), null_bucket).when(is_nan, nan_bucket).otherwise(before)
@@ -137,7 +140,7 @@ def global_rank(df: DataFrame, col: str, ascending: bool = True, nulls_last: boo
     )
     ranked = (
         bucketed.withColumn("_before", F.coalesce(F.sum("_n").over(in_bucket), F.lit(0)))
-        .join(F.broadcast(offsets), (F.col("_bucket") == F.col("_of")) & (value.isNull() | (value <= F.col("_last"))))
+        .join(F.broadcast(offsets), (F.col("_bucket") == F.col("_of")) & (value.isNull() | (value <= F.col("_last"))), "left")
         .select(value.alias("_value"), (F.col("_offset") + F.col("_before") + 1).cast(result_type).alias(alias))
     )
     out = df.join(ranked, df[col].eqNullSafe(ranked["_value"]), "left")

@@ -22,10 +22,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import rules as R
 from ..session import checkpoint_root, session_settings
 from ..sources.events import parse_events, read_events, split_valid
 from .sinks import BatchWriter, fan_out
-from .views import location_windows, point_alerts, score_events, versus_baseline, wind_trend
+from .views import drop_replays, location_windows, point_alerts, score_events, versus_baseline, wind_trend
 
 _STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -58,7 +59,7 @@ def _writer(sinks: Mapping[str, BatchWriter], *names: str) -> BatchWriter | None
     return fan_out(*chosen) if chosen else None
 
 
-def _point_writer(baseline, sinks: Mapping[str, BatchWriter]) -> BatchWriter:
+def _point_writer(baseline, sinks: Mapping[str, BatchWriter], strict_nulls: bool) -> BatchWriter:
     alerts_w = sinks.get("weather_alerts")
     compare_w = sinks.get("historical_comparison")
     rejected_w = sinks.get("rejected_events")
@@ -67,13 +68,13 @@ def _point_writer(baseline, sinks: Mapping[str, BatchWriter]) -> BatchWriter:
         batch_df.persist()
         try:
             valid, rejected = split_valid(batch_df)
-            scored = score_events(valid.drop("message"))
+            scored = score_events(valid.drop("message"), strict_nulls)
             if alerts_w:
-                alerts_w(point_alerts(scored), batch_id)
+                alerts_w(point_alerts(scored, strict_nulls), batch_id)
             if compare_w:
                 # a loader is called per micro-batch, so a rewritten mart is picked up
                 base = baseline() if callable(baseline) else baseline
-                compare_w(versus_baseline(scored, base), batch_id)
+                compare_w(versus_baseline(scored, base, strict_nulls), batch_id)
             if rejected_w:
                 # the message as it came, not the columns that could not be read from it
                 rejected_w(rejected.select("message.*"), batch_id)
@@ -93,6 +94,8 @@ def start_live(
     max_files_per_trigger: int | None = None,
     state_store: str = "rocksdb",
     state_partitions: int | None = None,
+    strict_nulls: bool = False,
+    deduplicate: bool = False,
 ) -> LiveQueries:
     """Start the live queries over ``source`` (Kafka options or a JSON-lines folder).
 
@@ -105,7 +108,10 @@ def start_live(
     already names one; the provider of an existing checkpoint cannot change.
     ``state_partitions`` sets the number of state partitions of the windowed queries
     at their first start (kept in the checkpoint afterwards); the session's
-    ``spark.sql.shuffle.partitions`` is used when it is not given.
+    ``spark.sql.shuffle.partitions`` is used when it is not given. ``strict_nulls`` gives NULL
+    labels and scores where an input is NULL. ``deduplicate`` drops events that a producer sent
+    again (``views.drop_replays``), within each query's watermark; it adds state to every query, so
+    it cannot be switched for an existing checkpoint.
     """
     if "historical_comparison" in sinks and baseline is None:
         raise ValueError("the historical_comparison sink needs a baseline (see operators.hourly_baseline)")
@@ -116,21 +122,25 @@ def start_live(
         settings[_STATE_PROVIDER_KEY] = _ROCKSDB_PROVIDER
     # a query keeps a copy of the session it was started in, so these can be put back after
     with session_settings(spark, settings):
-        return _start(spark, source, baseline, sinks, root, trigger, max_files_per_trigger, state_partitions)
+        return _start(spark, source, baseline, sinks, root, trigger, max_files_per_trigger, state_partitions, strict_nulls, deduplicate)
 
 
-def _start(spark, source, baseline, sinks, root, trigger, max_files_per_trigger, state_partitions) -> LiveQueries:
+def _start(spark, source, baseline, sinks, root, trigger, max_files_per_trigger, state_partitions, strict_nulls, deduplicate) -> LiveQueries:
     trigger = trigger or {"processingTime": "2 minutes"}
     events = parse_events(read_events(spark, source, max_files_per_trigger), keep_message=True)
     valid, _ = split_valid(events.drop("message"))
-    scored = score_events(valid)
+
+    def scored(delay: str) -> dict:
+        """Events with their score, and the watermark that their view still has to set."""
+        rows = drop_replays(valid, delay) if deduplicate else valid
+        return {"scored": score_events(rows, strict_nulls), "watermark": None if deduplicate else delay}
 
     plans = {
-        "windows": (location_windows(scored), _writer(sinks, "weather_stream", "location_comparison")),
-        "wind_trend": (wind_trend(scored), _writer(sinks, "wind_trend")),
+        "windows": (location_windows(**scored(R.TUMBLING_WATERMARK)), _writer(sinks, "weather_stream", "location_comparison")),
+        "wind_trend": (wind_trend(**scored(R.SLIDING_WATERMARK), strict_nulls=strict_nulls), _writer(sinks, "wind_trend")),
     }
     if any(n in sinks for n in ("weather_alerts", "historical_comparison", "rejected_events")):
-        plans["points"] = (events, _point_writer(baseline, sinks))
+        plans["points"] = (drop_replays(events) if deduplicate else events, _point_writer(baseline, sinks, strict_nulls))
 
     # forget queries that ended earlier in this session, so await_any waits on these
     spark.streams.resetTerminated()
@@ -140,7 +150,7 @@ def _start(spark, source, baseline, sinks, root, trigger, max_files_per_trigger,
         for name, (frame, writer) in plans.items():
             if writer is None:
                 continue
-            if state_partitions and name in ("windows", "wind_trend"):
+            if state_partitions and (deduplicate or name in ("windows", "wind_trend")):
                 spark.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
             live.queries[name] = (
                 frame.writeStream.queryName(f"live_{name}")

@@ -40,7 +40,7 @@ def jdbc_batch_writer(table: str, url: str, properties: Mapping[str, str], run_s
 
 def jdbc_statement(spark: SparkSession, url: str, properties: Mapping[str, str]) -> StatementRunner:
     """A runner of single statements on the driver's JDBC connection; a table that does not
-    exist yet is left to the append."""
+    exist yet is left to the append, and one without the retry columns is an error."""
 
     def run(statement: str, table: str) -> None:
         jvm = spark.sparkContext._jvm
@@ -49,7 +49,7 @@ def jdbc_statement(spark: SparkSession, url: str, properties: Mapping[str, str])
             settings.setProperty(k, v)
         connection = jvm.java.sql.DriverManager.getConnection(url, settings)
         try:
-            if connection.getMetaData().getTables(None, None, table, None).next():
+            if has_retry_columns(connection.getMetaData(), table):
                 connection.createStatement().executeUpdate(statement)
         finally:
             connection.close()
@@ -57,6 +57,32 @@ def jdbc_statement(spark: SparkSession, url: str, properties: Mapping[str, str])
     return run
 
 
+RETRY_COLUMNS = ("batch_id", "query_id")
+
+
+def has_retry_columns(meta, table: str) -> bool:
+    """Whether ``table`` exists, by a connection's ``DatabaseMetaData``; it must have the retry columns then.
+
+    Databases fold names that are not quoted to upper or to lower case, so the name is looked for
+    as it is given and in both foldings.
+    """
+    schema, _, name = table.rpartition(".")
+    for fold in (str, str.upper, str.lower):
+        found = meta.getTables(None, fold(schema) or None, fold(name), None)
+        while found.next():
+            real = found.getString("TABLE_NAME")
+            if real.lower() != name.lower():  # the name is a pattern, in which _ stands for any character
+                continue
+            columns, named = meta.getColumns(None, fold(schema) or None, real, None), set()
+            while columns.next():
+                named.add(columns.getString("COLUMN_NAME").lower())
+            missing = [c for c in RETRY_COLUMNS if c not in named]
+            if missing:
+                raise ValueError(f"table {table} exists without {' and '.join(missing)}, which exactly-once writes need; add them or drop run_statement")
+            return True
+    return False
+
+
 def query_id(batch_df: DataFrame) -> str:
     """Id of the streaming query that runs this batch: the same after a restart from its
     checkpoint, another one for a new checkpoint. ``batch`` outside a query."""

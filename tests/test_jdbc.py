@@ -14,7 +14,7 @@ from conftest import SF_SMALL
 from soarcast.plans import MARTS
 from soarcast.sources import EXPORTED_MARTS, export_marts, fixtures, write_mart
 from soarcast.functions import transform
-from soarcast.streaming import jdbc_batch_writer
+from soarcast.streaming import has_retry_columns, jdbc_batch_writer
 
 
 @pytest.fixture()
@@ -52,3 +52,40 @@ def test_export_marts_writes_the_eight_tables_with_counts(spark, recorded, scrat
     assert set(counts) == set(EXPORTED_MARTS.values()) and len(counts) == 8
     assert all(c["mode"] == "overwrite" for c in recorded)
     assert {c["table"]: len(c["rows"]) for c in recorded} == counts
+
+
+class _Rows:
+    def __init__(self, rows):
+        self.rows, self.at = rows, -1
+
+    def next(self):
+        self.at += 1
+        return self.at < len(self.rows)
+
+    def getString(self, name):  # noqa: N802
+        return self.rows[self.at][name]
+
+
+class _Meta:
+    """Database metadata that compares names with case and takes them as patterns, as drivers do."""
+
+    def __init__(self, tables):
+        self.tables, self.schemas = tables, []
+
+    def getTables(self, catalog, schema, name, kinds):  # noqa: N802
+        self.schemas.append(schema)
+        like = lambda t: len(t) == len(name) and all(p in ("_", c) for p, c in zip(name, t))
+        return _Rows([{"TABLE_NAME": t} for t in self.tables if like(t)])
+
+    def getColumns(self, catalog, schema, name, column):  # noqa: N802
+        return _Rows([{"COLUMN_NAME": c} for c in self.tables[name]])
+
+
+@pytest.mark.parametrize("stored", ["wind_trend", "WIND_TREND"])
+def test_tables_are_found_however_the_database_folds_names(stored):
+    meta = _Meta({stored: ["LOCATION", "BATCH_ID", "Query_id"], "windXtrend": []})
+    assert has_retry_columns(meta, "wind_trend") and has_retry_columns(meta, "Wind_Trend")
+    assert not has_retry_columns(meta, "weather_stream")
+    assert has_retry_columns(meta, "live.wind_trend") and meta.schemas[-1] in ("live", "LIVE")
+    with pytest.raises(ValueError, match="without batch_id and query_id"):
+        has_retry_columns(_Meta({stored: ["location"]}), "wind_trend")
