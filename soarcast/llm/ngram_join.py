@@ -350,9 +350,15 @@ def similar(docs: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFram
         "gid", "members", "n", "rare", "common", F.array(*[f"e{i}" for i in lanes]).alias("every"),
         F.when(several, F.array(*[f"s{i}" for i in lanes])).alias("some"), F.when(~several, F.col("wide")).alias("wide")), "groups")
 
-    # rare n-grams: those that two groups share; common ones: lists of known length, cut into blocks
-    rare = groups.select("gid", F.explode("rare").alias("gram"))
-    rare = rare.withColumn("_met", F.count(F.lit(1)).over(Window.partitionBy("gram"))).filter("_met > 1")
+    # rare n-grams: of the groups that share one, those with a neighbour in order of size that is not
+    # too much smaller or larger; if the nearest sizes do not fit, no other in the list does
+    # common ones: lists of known length, cut into blocks
+    rare = groups.select("gid", "n", F.explode("rare").alias("gram"))
+    by_size = Window.partitionBy("gram").orderBy("n")
+    fits = lambda other: F.col(other).isNotNull() & (F.least("n", other) * den >= F.greatest("n", other) * num)
+    rare = rare.withColumns({"_before": F.lag("n").over(by_size), "_after": F.lead("n").over(by_size)})
+    rare = rare.filter(fits("_before") | fits("_after")).drop("_before", "_after", "n")
+    rare = rare.withColumn("_met", F.count(F.lit(1)).over(Window.partitionBy("gram")))
     often = groups.select("gid", F.explode("common").alias("gram"))
     length = often.groupBy("gram").agg(F.count(F.lit(1)).alias("_met")).filter("_met > 1")  # at most COMMON_LIMIT rows
     often = often.join(F.broadcast(length), "gram")
