@@ -14,7 +14,10 @@ exactly one stays; an empty table gives an empty result; extra columns pass thro
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scratch import Scratch, free_names
@@ -31,43 +34,91 @@ def normalised(text: str = "text") -> Column:
 class DigestIndex:
     """Known texts: ``digest`` (32 bytes), ``keep_id``, ``keep_points`` (code points of the kept text).
 
-    ``path`` is the index's folder in shared storage and ``buckets`` its number of buckets,
-    fixed for the life of the index. Opening an existing folder continues it.
+    ``path`` is the index's folder in shared storage. Beside its files the folder holds a small
+    table of generations: folder, number of buckets and type of the ids. So an index is opened with
+    the buckets it was written with, whatever the session's settings are, and ids of another type
+    are refused. ``buckets`` counts for a new index (default: the shuffle partitions) and for
+    ``compact``. The catalog table ``name`` exists only between opening and ``close``.
     """
 
     def __init__(self, spark: SparkSession, path: str, name: str, id_type: str = "bigint", buckets: int | None = None):
-        self.spark, self.name, self.path = spark, name, path
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} (digest BINARY, keep_id {id_type}, keep_points BIGINT) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{path}'"
-        )
+        self.spark, self.path, self.id_type = spark, path.rstrip("/"), id_type
+        self.name = f"{name}_{uuid.uuid4().hex[:8]}"
+        known = self._generations()
+        if known is None:
+            self._describe(0, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+            known = self._generations()
+        last = known.orderBy(F.desc("generation")).first()
+        if last.id_type != id_type:
+            raise ValueError(f"the index at {path} holds ids of type {last.id_type}, not {id_type}")
+        self.generation, self.buckets = last.generation, last.buckets
+        self._open()
+
+    def _generations(self) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(f"{self.path}/generations")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def _describe(self, generation: int, buckets: int) -> None:
+        row = self.spark.range(1).select(
+            F.lit(generation).alias("generation"), F.lit(buckets).alias("buckets"), F.lit(self.id_type).alias("id_type"))
+        row.coalesce(1).write.mode("append").parquet(f"{self.path}/generations")
+
+    def _open(self) -> None:
+        self.spark.sql(
+            f"CREATE TABLE {self.name} (digest BINARY, keep_id {self.id_type}, keep_points BIGINT) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}/generation-{self.generation}'")
+
+    def _write(self, rows: DataFrame, name: str, generation: int, buckets: int) -> None:
+        columns = rows.select("digest", "keep_id", "keep_points").repartition(buckets, "digest")
+        columns.write.mode("append").format("parquet").bucketBy(buckets, "digest").sortBy("digest").option(
+            "path", f"{self.path}/generation-{generation}").saveAsTable(name)
 
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 
     def append(self, new: DataFrame) -> None:
         """Add rows whose digests the index does not hold; each task writes whole buckets."""
-        columns = new.select("digest", "keep_id", "keep_points").repartition(self.buckets, "digest")
-        columns.write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").option(
-            "path", self.path).saveAsTable(self.name)
+        self._write(new, self.name, self.generation, self.buckets)
         self.spark.catalog.refreshTable(self.name)
 
+    def compact(self, buckets: int | None = None) -> None:
+        """Rewrite the index with one sorted file a bucket (appends add one each), or other buckets.
+
+        The new generation counts once it is written whole; the old one's files stay for open readers.
+        """
+        buckets, made = buckets or self.buckets, f"{self.name}_new"
+        generation = self.generation + 1
+        self._write(self.table(), made, generation, buckets)
+        self._describe(generation, buckets)
+        self.close()
+        self.spark.sql(f"DROP TABLE IF EXISTS {made}")
+        self.generation, self.buckets = generation, buckets
+        self._open()
+
+    def close(self) -> None:
+        """Forget the catalog table; the files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
 
 def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(
         "doc_id",
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("row_key"),
         F.length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_points"),
         F.unhex(F.sha2(normalised().cast("binary"), 256)).alias("digest"),
+        # tells rows repeated with id and text alike apart; the rows are written once, so it stays
+        F.monotonically_increasing_id().alias("row_no"),
     )
 
 
 def _groups(rows: DataFrame) -> DataFrame:
     """One row per digest: the row that stays and the number of rows."""
-    best = F.min(F.struct(-F.col("n_points"), F.col("doc_id").isNull(), F.col("doc_id")))
+    best = F.min(F.struct(-F.col("n_points"), F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_no")))
     return rows.groupBy("digest").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size")).select(
-        "digest", "group_size", F.col("best.doc_id").alias("keep_id"), (-F.col("best.col1")).alias("keep_points"))
+        "digest", "group_size", F.col("best.doc_id").alias("keep_id"), (-F.col("best.col1")).alias("keep_points"), F.col("best.row_no").alias("keep_row"))
 
 
 def deduplicate(docs: DataFrame, index: DigestIndex, scratch: Scratch) -> DataFrame:
@@ -80,21 +131,25 @@ def deduplicate(docs: DataFrame, index: DigestIndex, scratch: Scratch) -> DataFr
     rows = scratch.table(_rows(docs), "rows")
     groups = scratch.table(_groups(rows), "groups")
     new = scratch.table(groups.join(index.table(), "digest", "left_anti"), "new")
+    known = index.table().select("digest", F.col("keep_id").alias("index_id"))
+    old = scratch.table(groups.join(known, "digest").select("digest", "group_size", F.col("index_id").alias("keep_id")), "old")
     index.append(new)
-    known = index.table().withColumnsRenamed({"keep_id": "index_id", "keep_points": "index_points"})
-    fresh = new.select("digest", F.lit(True).alias("is_new"))
-    decided = groups.join(known, "digest").join(fresh, "digest", "left").select(
-        "digest", "group_size", F.col("index_id").alias("keep_id"), F.col("index_points").alias("keep_points"),
-        F.coalesce("is_new", F.lit(False)).alias("is_new"))
-    # rows repeated with id and text alike: only the first counts as the kept one
-    repeat = F.row_number().over(Window.partitionBy("digest", "row_key", "n_points").orderBy("doc_id"))
-    numbered = rows.withColumn("repeat", repeat)
-    kept = (F.col("is_new") & F.col("doc_id").eqNullSafe(F.col("keep_id"))
-            & (F.col("n_points") == F.col("keep_points")) & (F.col("repeat") == 1))
-    return attach(numbered, decided, "digest", "group_size").select(
+    # of a known text no row stays
+    decided = new.select("digest", "group_size", "keep_id", "keep_row").unionByName(old.withColumn("keep_row", F.lit(None).cast("bigint")))
+    kept = F.col("row_no").eqNullSafe(F.col("keep_row"))
+    return attach(rows, decided, "digest", "group_size").select(
         "doc_id", "keep_id", "group_size", kept.alias("kept"), "digest", "n_points")
 
 
+def deduplicate_alone(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``deduplicate`` against a new index that is not kept."""
+    index = new_index(docs.sparkSession, scratch, docs.schema["doc_id"].dataType.simpleString())
+    try:
+        return deduplicate(docs, index, scratch)
+    finally:
+        index.close()
+
+
 def keep_first(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     on = free_names(docs.columns, "_digest", "_row_key", "_points")
@@ -116,8 +171,7 @@ def new_index(spark: SparkSession, scratch: Scratch, id_type: str = "bigint") ->
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    scratch = Scratch(spark, "exact-dedup")
-    decided = deduplicate(docs, new_index(spark, scratch, dict(docs.dtypes)["doc_id"]), scratch)
+    decided = deduplicate_alone(docs, Scratch(spark, "exact-dedup"))
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
