@@ -43,8 +43,27 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 _MIXED = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 _IDENTIFIER = re.compile(
     r"""(?:access_?key(?:_?id)?|client_?id|account(?:_?id)?|user(?:_?name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@+-]{3,})""", re.I | re.A)
-_ENDPOINT = re.compile(
-    r"""[a-z][a-z0-9+.-]{1,20}://[^\s"'<>]+|(?:host|endpoint|server|url)["']?\x20*[:=]\x20*["']?([A-Za-z0-9.-]+\.[a-z]{2,})|[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+:[0-9]{2,5}\b""", re.A)
+_URL = re.compile(
+    r"""[a-z][a-z0-9+.-]{1,20}://[^\s"'<>]+|(?:host|endpoint|server|url)["']?\x20*[:=]\x20*["']?([A-Za-z0-9.-]+\.[a-z]{2,})""", re.A)
+# every dotted name as a whole, so that no part of it is tried again; group 1 is its port
+_NAME = re.compile(r"[A-Za-z0-9-]++(?:(?:\.[A-Za-z0-9-]++)++(:[0-9]{2,5}\b)?)?", re.A)
+
+
+def _endpoints(text: str) -> list[tuple[int, int]]:
+    """URLs, values of host settings, and dotted names with a port: leftmost, without overlaps."""
+
+    def with_port(at: int) -> re.Match | None:
+        return next((m for m in _NAME.finditer(text, at) if m.group(1)), None)
+
+    out, url, name = [], _URL.search(text), with_port(0)
+    while url or name:
+        m = url if name is None or url and url.start() <= name.start() else name
+        out.append(m.span())
+        if url and url.start() < m.end():
+            url = _URL.search(text, m.end())
+        if name and name.start() < m.end():
+            name = with_port(m.end())
+    return out
 
 
 def _entropy(text: str) -> float:
@@ -88,7 +107,7 @@ def scan(text: str) -> list[tuple[str, int, int, bool]]:
         weak = {
             "identifier": free([m.span() for m in _IDENTIFIER.finditer(text)]),
             "secret": free(weak_secrets),
-            "endpoint": free([m.span() for m in _ENDPOINT.finditer(text)]),
+            "endpoint": free(_endpoints(text)),
         }
         secrets = _Places(weak["secret"] + [(s, e) for k, s, e, _ in base if k != "access"])
         identifiers = _Places(weak["identifier"] + [(s, e) for k, s, e, _ in base if k == "access"])

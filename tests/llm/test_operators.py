@@ -146,7 +146,7 @@ def test_exact_dedup(spark, edges):
     later = spark.createDataFrame([(90, "the same text"), (91, "new here"), (92, "newhere")], "doc_id bigint, text string")
     second = {r.doc_id: (r.kept, r.keep_id) for r in exact_dedup.deduplicate(later, index, Scratch(spark, "t")).collect()}
     assert second == {90: (False, 2), 91: (True, 91), 92: (False, 91)}
-    reopened = exact_dedup.DigestIndex(spark, index.path, index.name + "_again")
+    reopened = exact_dedup.DigestIndex(spark, index.path, "llm_again")
     assert reopened.table().count() == len(groups) + 1
     scratch = Scratch(spark, "t")
     assert exact_dedup.deduplicate(empty(edges), exact_dedup.new_index(spark, scratch), scratch).count() == 0
