@@ -2,7 +2,7 @@
 
 A byte-level BPE encodes each pre-token by itself, so a text cut where its pre-tokenizer cuts
 for certain gives the same ids, and a piece that was seen before need not be encoded again.
-Certain cuts are: where white space follows a character that is not white space; between ASCII
+Certain cuts are: around the vocabulary's added tokens; where white space follows a character that is not white space; between ASCII
 letters, digits and signs (the apostrophe of contractions aside); after a single newline
 between two such characters. Everything else stays in one piece with its neighbours. Pieces
 are found and hashed with numpy; a worker remembers the ids of about ``CACHE_PIECES`` pieces
@@ -12,6 +12,7 @@ by their 64-bit hash.
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from functools import lru_cache
 
@@ -40,8 +41,17 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def pieces(s: Slice) -> Spans:
-    """Cut the texts of a slice where the pre-tokenizer cuts for certain."""
+def added_tokens(tokenizer) -> re.Pattern | None:
+    """Bytes of the vocabulary's added tokens, which are cut out of a text before anything else."""
+    added = tokenizer.get_added_tokens_decoder().values()
+    if any(t.single_word or t.lstrip or t.rstrip for t in added):
+        raise ValueError("added tokens that look at their surroundings are not supported")
+    contents = sorted((t.content.encode() for t in added), key=len, reverse=True)
+    return re.compile(b"|".join(map(re.escape, contents))) if contents else None
+
+
+def pieces(s: Slice, added: re.Pattern | None = None) -> Spans:
+    """Cut the texts of a slice at added tokens, and where the pre-tokenizer cuts for certain."""
     data = s.data
     n = len(data)
     if not n:
@@ -60,6 +70,11 @@ def pieces(s: Slice) -> Spans:
     alone = newline & starts
     alone[1:] |= newline[1:] & solid[:-1] & ~starts[1:]
     cut[1:n] |= opens[1:] & alone[:-1]
+    if added:
+        for m in added.finditer(data.tobytes()):
+            if not starts[m.start() + 1 : m.end()].any():  # within one text
+                cut[m.start() + 1 : m.end()] = False
+                cut[[m.start(), m.end()]] = True
     cut[:n] |= starts
     cut[n] = True
     at = np.flatnonzero(cut)
@@ -74,7 +89,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # special strings in a text are ordinary text
+        self.added = added_tokens(self.tokenizer)
         self._forget()
 
     def _forget(self) -> None:
@@ -115,7 +130,7 @@ class Encoder:
 
     def count(self, s: Slice) -> int:
         """Number of ids of the slice's texts."""
-        at = self._numbers(pieces(s))[0]
+        at = self._numbers(pieces(s, self.added))[0]
         return int(self.length[at].sum(dtype=np.int64))
 
     def _numbers(self, cut: Spans) -> tuple[np.ndarray, Spans]:
@@ -137,7 +152,7 @@ class Encoder:
 
     def encode(self, s: Slice) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the slice's texts, and where each text's ids begin (one more at the end)."""
-        at, cut = self._numbers(pieces(s))
+        at, cut = self._numbers(pieces(s, self.added))
         if not len(cut):
             return np.zeros(0, np.uint32), np.zeros(s.n + 1, np.int64)
         length = self.length[at]

@@ -38,7 +38,6 @@ def tokenizer():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(default_tokenizer())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
