@@ -4,6 +4,11 @@ Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is wr
 Parquet and read again as the next stage's ``docs``. All but the last return the columns of
 ``documents``; the last returns one row per piece of a packed sequence. Each stage sees all
 rows that the one before it kept; what it decides takes effect at once.
+
+Defined results: null and empty texts go through (one of them stays after exact deduplication, and
+leaves when the mix takes none of its words); null and repeated ids stay rows of their own; equal
+texts and near copies keep the row their operator names; extra columns, whatever their names, pass to
+the last stage but one; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,9 +30,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text, white space aside."""
-    scratch = Scratch(spark, "stage-exact-dedup")
-    index = exact_dedup.new_index(spark, scratch, docs.schema["doc_id"].dataType.simpleString())
-    return exact_dedup.keep_first(docs, exact_dedup.deduplicate(docs, index, scratch))
+    return exact_dedup.keep_first(docs, exact_dedup.deduplicate_alone(docs, Scratch(spark, "stage-exact-dedup")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
