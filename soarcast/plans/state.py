@@ -96,10 +96,11 @@ def refresh_state(obs: DataFrame, mart_root: str, names: Iterable[str], source:
     for name in names:
         table = state_table(spark, mart_root, name)
         if not source or not table.exists or not table.notes:
-            table.replace_all(STATE[name](obs), ("year",), notes=source)
+            # few files: a year's rows in one task, a large year split by size
+            table.replace_all(STATE[name](obs).hint("rebalance", "year"), ("year",), notes=source)
         else:
             stale = [y for y in source if table.notes.get(y) != source[y]]
-            frames = {y: STATE[name](_of_year(obs, y)).drop("year") for y in stale}
+            frames = {y: STATE[name](_of_year(obs, y)).drop("year").hint("rebalance") for y in stale}
             gone = {y: None for y in table.parts if y not in source}
             if frames or gone:
                 table.replace_years({**frames, **gone}, notes=source)

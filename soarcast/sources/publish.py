@@ -1,7 +1,7 @@
 """Tables that are replaced as a whole: versioned folders and a manifest that is swapped last.
 
-A table is a folder. Each write goes to new folders ``version=<id>``, below the ``year=`` folder of
-a table that is kept by year, and touches nothing that readers use. When the write is done, the
+A table is a folder. Each write goes to a new folder ``version=<id>`` in it, with a ``year=`` folder
+for each year of a table that is kept by year, and touches nothing that readers use. When the write is done, the
 manifest ``_manifest.json`` is written beside the old one and renamed over it, which is one atomic
 step of the file system. Readers resolve the manifest once, when they build their query, so they
 see one committed version: the old one while a write runs or after one was killed half-way, the
@@ -100,21 +100,15 @@ class Published:
     def _new_years(self, version: str) -> dict[str, str]:
         """Years of which ``version`` has a folder."""
         fs, _ = _file_system(self.spark, self.path)
-        found = fs.globStatus(_child(self.spark, self.path, f"year=*/{VERSION}={version}")) or []
-        names = [status.getPath().getParent().getName() for status in found]
-        return {n.removeprefix("year="): f"{n}/{VERSION}={version}" for n in names}
+        found = fs.globStatus(_child(self.spark, self.path, f"{VERSION}={version}/year=*")) or []
+        names = [status.getPath().getName() for status in found]
+        return {n.removeprefix("year="): f"{VERSION}={version}/{n}" for n in names}
 
     def replace_all(self, df: DataFrame, by: Iterable[str] = (), notes: dict[str, str] | None = None, **options) -> None:
         """Write ``df`` as the whole table. With ``by`` = ("year", ...) it is kept by year."""
         version, by = uuid.uuid4().hex[:16], list(by)
-        writer = df.write.options(**options)
-        if not by:
-            writer.parquet(f"{self.path}/{VERSION}={version}")
-            self.commit({"": f"{VERSION}={version}"}, notes)
-            return
-        versioned = df.withColumn(VERSION, F.lit(version)).write.options(**options)
-        versioned.mode("append").partitionBy(by[0], VERSION, *by[1:]).parquet(self.path)
-        self.commit(self._new_years(version), notes)
+        df.write.options(**options).partitionBy(*by).parquet(f"{self.path}/{VERSION}={version}")
+        self.commit(self._new_years(version) if by else {"": f"{VERSION}={version}"}, notes)
 
     def replace_years(self, frames: dict[str, DataFrame | None], by: Iterable[str] = (), notes: dict[str, str] | None = None,
                       **options) -> None:
@@ -129,7 +123,7 @@ class Published:
         for year, df in frames.items():
             parts.pop(str(year), None)
             if df is not None:
-                folder = f"year={year}/{VERSION}={version}"
+                folder = f"{VERSION}={version}/year={year}"
                 df.write.options(**options).partitionBy(*by).parquet(f"{self.path}/{folder}")
                 parts[str(year)] = folder
         self.commit(parts, notes)

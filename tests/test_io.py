@@ -41,10 +41,10 @@ def test_transformed_zone_round_trip(spark, scratch):
     back = read_transformed(spark, f"{scratch}/zone")
     assert sorted(back.columns) == sorted([*obs.columns, "cell_id"])
     assert _canon(back) == _canon(add_cell_id(obs).select(back.columns))
-    years = sorted(d for d in os.listdir(f"{scratch}/zone") if d.startswith("year="))
+    (version,) = [d for d in os.listdir(f"{scratch}/zone") if d.startswith("version=")]
+    years = sorted(d for d in os.listdir(f"{scratch}/zone/{version}") if d.startswith("year="))
     assert years == [f"year={y}" for y in range(1995, 2002)]
-    (version,) = os.listdir(f"{scratch}/zone/year=1996")
-    assert sorted(os.listdir(f"{scratch}/zone/year=1996/{version}"))[:2] == ["month=1", "month=10"]
+    assert sorted(os.listdir(f"{scratch}/zone/{version}/year=1996"))[:2] == ["month=1", "month=10"]
 
 
 def test_year_replace_drops_vanished_months_and_keeps_other_years(spark, scratch):

@@ -82,11 +82,11 @@ def test_zone_file_count_is_bounded_for_mixed_input(spark, scratch):
 
     raw = fixtures.grid_raw(spark, SF_SMALL).drop("obs_id").repartition(16)  # every task mixes months
     write_transformed(transform(raw), f"{scratch}/zone")
-    folders = glob.glob(f"{scratch}/zone/year=*/version=*/month=*")
-    files = glob.glob(f"{scratch}/zone/year=*/version=*/month=*/*.parquet")
+    folders = glob.glob(f"{scratch}/zone/version=*/year=*/month=*")
+    files = glob.glob(f"{scratch}/zone/version=*/year=*/month=*/*.parquet")
     assert len(files) <= 2 * len(folders)
     write_transformed(transform(raw), f"{scratch}/zone_plain", rebalance=False)
-    plain = glob.glob(f"{scratch}/zone_plain/year=*/version=*/month=*/*.parquet")
+    plain = glob.glob(f"{scratch}/zone_plain/version=*/year=*/month=*/*.parquet")
     assert len(plain) > 4 * len(folders)  # what the rebalance prevents
 
 
