@@ -4,13 +4,14 @@ Sources share ``budget`` times the corpus's words by weight; a target stops at `
 times its source's words and the excess is reshared by weight. The documents of a source
 are dealt to shards by a seeded hash, put in seeded order within a shard, and their words
 cut into blocks of equal size. Sainte-Lague (highest quotients votes / (2 seats + 1))
-apportions blocks to sources and then to the shards of each source. A shard takes every
+apportions blocks to sources, to groups of shards of a source and to the shards of a group. A shard takes every
 block ``quota div blocks`` times and a seeded run of ``quota mod blocks`` blocks once more;
 since the order is seeded, a run is a random choice, and it cuts at most two documents.
 
 Only per-source and per-shard totals are compared with each other; documents need one
-shuffle by shard. A shard holds about ``SHARD_WORDS`` words, so a source that holds a third
-of all rows is spread over many tasks. Quotients are made only for the seats that are still
+shuffle by shard. A shard holds about ``SHARD_WORDS`` words at every size, so a source that holds
+a third of all rows is spread over many tasks. Documents are dealt by id and text, and rows that
+are alike in both in turn, so neither a null nor a repeated id fills a shard. Quotients are made only for the seats that are still
 open: every seat that the bound ``votes / (seats - n / 2)`` proves is given at once, which
 leaves about four rows per party, whatever the size of the corpus.
 
@@ -32,8 +33,8 @@ WEIGHTS = (5, 2, 1)
 BUDGET_PERCENT, REPEAT = 150, 2
 #: a block has at most BLOCK_WORDS words, and a source's target at least BLOCKS_PER_TARGET blocks
 BLOCK_WORDS, BLOCKS_PER_TARGET = 1024, 200
-#: words of a shard; a source has at most MAX_SHARDS shards, which then are larger
-SHARD_WORDS, MAX_SHARDS = 1 << 18, 4096
+#: words (and documents) of a shard, and shards of a source that are apportioned together
+SHARD_WORDS, GROUP_SHARDS = 1 << 18, 4096
 SEED = "mix-1"
 
 
@@ -76,7 +77,7 @@ def targets(sources: DataFrame) -> DataFrame:
     d = d.withColumn("_free", free)
     share = (F.col("weight") * F.col("_free._left")).cast("double") / (F.lit(100) * F.col("_free._w")).cast("double")
     target = F.when(F.col("_capped"), (F.lit(REPEAT) * F.col("source_size")).cast("double")).otherwise(share)
-    return d.select("source", "source_size", "weight", target.alias("target"))
+    return d.select(*sources.columns, "weight", target.alias("target"))
 
 
 def sainte_lague(parties: DataFrame, key: list[str], group: list[str]) -> DataFrame:
@@ -112,11 +113,14 @@ def mix(docs: DataFrame, scratch: Scratch, seed: str = SEED) -> DataFrame:
     times it is taken), ``cut`` (up to two word ranges ``[first, last)`` taken once more) and
     ``taken`` (words taken in all).
     """
-    rows = scratch.table(docs.select("doc_id", "source", word_count().alias("size")), "sizes")
-    sources = scratch.table(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"))), "sources")
+    # equal rows become one with their number, before and after the shuffle
+    rows = docs.select("doc_id", "source", word_count().alias("size"), F.xxhash64("text").alias("text_hash"))
+    rows = scratch.table(rows.groupBy("doc_id", "source", "size", "text_hash").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    sources = scratch.table(targets(rows.groupBy("source").agg(
+        F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("source_rows"))), "sources")
     sources = sources.withColumns({
         "sid": F.concat_ws("", F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.lit("0")), F.col("source")),
-        "shards": F.greatest(F.lit(1), F.least(F.lit(MAX_SHARDS), F.ceil(F.col("source_size") / SHARD_WORDS))).cast("bigint"),
+        "shards": F.ceil((F.col("source_size") + F.col("source_rows")) / SHARD_WORDS).cast("bigint"),
     })
     smallest = sources.filter("target > 0").agg(
         F.greatest(F.lit(1), F.least(F.lit(BLOCK_WORDS), F.floor(F.min("target") / BLOCKS_PER_TARGET))).cast("bigint")).scalar()
@@ -124,9 +128,14 @@ def mix(docs: DataFrame, scratch: Scratch, seed: str = SEED) -> DataFrame:
     sid = F.concat_ws("", F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.lit("0")), F.col("source"))
     by_source = sources.select("sid", "source_size", "target", "shards")
     dealt = rows.withColumn("sid", sid).join(by_source, "sid").withColumn(
-        "shard", F.pmod(_hash(F.lit(seed), F.col("doc_id")), F.col("shards")))
-
-    cells = dealt.groupBy("sid", "shard").agg(F.sum("size").alias("words"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
+        "first_shard", F.pmod(_hash(F.lit(seed), F.col("doc_id"), F.col("text_hash")), F.col("shards")))
+    # n equal rows go to the shards after the first one in turn; here is how many each gets
+    turn = F.explode(F.sequence(F.lit(0).cast("bigint"), F.least("n", "shards") - 1))
+    dealt = dealt.withColumn("turn", turn).withColumns({
+        "shard": F.pmod(F.col("first_shard") + F.col("turn"), F.col("shards")),
+        "n": F.ceil((F.col("n") - F.col("turn")) / F.col("shards")).cast("bigint")})
+
+    cells = dealt.groupBy("sid", "shard").agg(F.sum(F.col("size") * F.col("n")).alias("words"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
     cells = scratch.table(cells.withColumn("blocks", F.ceil(F.col("words") / smallest).cast("bigint")), "cells")
     per_source = cells.groupBy("sid").agg(F.sum("blocks").alias("blocks"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
     wanted = F.when(F.col("source_size") > 0, F.col("target") * F.col("blocks") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -134,10 +143,14 @@ def mix(docs: DataFrame, scratch: Scratch, seed: str = SEED) -> DataFrame:
     per_source = scratch.table(per_source, "votes")
     seats = per_source.agg(F.floor(F.sum(F.col("votes").cast("decimal(38,6)")) + F.lit(0.5)).cast("bigint")).scalar()
     quotas = sainte_lague(per_source.withColumns({"seats": seats, "all": F.lit(0)}), ["sid"], ["all"])
-    shard_quotas = cells.join(quotas.withColumnRenamed("won", "seats"), "sid").select(
-        "sid", "shard", "words", "blocks", F.col("blocks").cast("double").alias("votes"), "seats", (REPEAT * F.col("blocks")).alias("limit"))
-    shard_quotas = scratch.table(shard_quotas, "parties")
-    plan = shard_quotas.join(sainte_lague(shard_quotas, ["sid", "shard"], ["sid"]), ["sid", "shard"])
+    # a group has at most GROUP_SHARDS shards, so no window grows with its source's words
+    cells = cells.withColumn("part", F.floor(F.col("shard") / GROUP_SHARDS).cast("bigint"))
+    parties = lambda df, won: df.join(won.withColumnRenamed("won", "seats"), [c for c in won.columns if c != "won"]).withColumns(
+        {"votes": F.col("blocks").cast("double"), "limit": REPEAT * F.col("blocks")})
+    parts = scratch.table(parties(cells.groupBy("sid", "part").agg(F.sum("blocks").alias("blocks")), quotas), "parts")
+    part_quotas = sainte_lague(parts, ["sid", "part"], ["sid"])
+    shards = scratch.table(parties(cells.select("sid", "part", "shard", "words", "blocks"), part_quotas), "parties")
+    plan = shards.join(sainte_lague(shards, ["sid", "part", "shard"], ["sid", "part"]), ["sid", "part", "shard"])
     # the seeded run of extra blocks, as one or two ranges of the shard's words
     edge = lambda j: F.floor(j * F.col("words") / F.greatest("blocks", F.lit(1))).cast("bigint")
     blocks = F.greatest("blocks", F.lit(1))
@@ -149,8 +162,11 @@ def mix(docs: DataFrame, scratch: Scratch, seed: str = SEED) -> DataFrame:
         edge(first).alias("a0"), edge(F.least(last, blocks)).alias("a1"), edge(F.greatest(last - blocks, F.lit(0))).alias("b1")), "plan")
 
     in_order = Window.partitionBy("sid", "shard").orderBy(
-        _hash(F.lit(seed), F.lit("order"), F.col("doc_id")), "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = dealt.join(plan, ["sid", "shard"]).withColumn("end", F.sum("size").over(in_order)).withColumn("begin", F.col("end") - F.col("size"))
+        _hash(F.lit(seed), F.lit("order"), F.col("doc_id"), F.col("text_hash")), "doc_id", "text_hash", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # equal rows of a shard lie side by side; each gets its own place
+    placed = dealt.join(plan, ["sid", "shard"]).withColumn("behind", F.sum(F.col("size") * F.col("n")).over(in_order))
+    placed = placed.withColumn("place", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n")))).withColumn(
+        "end", F.col("behind") - (F.col("n") - F.col("place")) * F.col("size")).withColumn("begin", F.col("end") - F.col("size"))
     part = lambda lo, hi: F.struct(
         (F.least(F.greatest(lo, F.col("begin")), F.col("end")) - F.col("begin")).alias("first"),
         (F.least(F.greatest(hi, F.col("begin")), F.col("end")) - F.col("begin")).alias("last"))
