@@ -202,7 +202,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality") -> Networ
 
     rows = sample(docs, labels, column, TRAIN_DOCS, CALIBRATE_DOCS).select("text", "doc_id", "y", "calibrate")
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    t = rows.mapInArrow(run, f"x array<double>, doc_id {id_type}, y int, calibrate boolean").orderBy("doc_id").toArrow()
+    t = rows.mapInArrow(run, f"x array<double>, doc_id {id_type}, y int, calibrate boolean").toArrow().sort_by("doc_id")
     y, calibrate = t["y"].to_numpy().astype(np.int64), t["calibrate"].to_numpy()
     none = np.zeros(WIDTH)
     chosen = ~calibrate

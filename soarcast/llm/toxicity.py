@@ -21,8 +21,9 @@ on at most ``FIT_DOCS`` documents, the ones with the least hash.
 Defined results: null and empty texts, and texts without letters, have no evidence and get
 the score of a document without any; a null id counts as the empty text for the fold;
 documents without a label are scored only; contradicting labels of one id count as toxic;
-without a toxic or without an ordinary training document every score is the share of toxic
-ones (0 with no labels at all).
+the regression takes fold 4, or another split of folds 1 to 4 where fold 4 or the rest lacks a
+class (``labels.calibration_part``); with fewer than two ids of a class every score is the share
+of toxic ones (0 with no labels at all).
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .labels import CALIBRATION_FOLD, fold, sample
+from .labels import calibration_part, fold, labelled, sample
 from .logistic import Logistic, fit_logistic
 from .scratch import Scratch, free_names
 from .skew import sieve
@@ -140,11 +141,14 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Keyed:
-    """Rows of values by distinct integer keys: open addressing, at most half full."""
+    """Rows of counts by distinct integer keys: open addressing, at most half full.
+
+    Counts are kept in the narrowest integers that hold them, so they are exact at any size.
+    """
 
     def __init__(self, key: np.ndarray, *values: np.ndarray):
         self.key = np.append(key, -1)  # the last row is that of unknown keys: zeros
-        self.values = [np.append(v, 0).astype(np.float32) for v in values]
+        self.values = [np.append(v, 0).astype(np.min_scalar_type(int(v.max(initial=0)))) for v in values]
         self.slot = np.full(1 << max(4, int(2 * len(key)).bit_length()), -1, np.int32)
         row, at = np.arange(len(key), dtype=np.int32), self._first(key)
         while len(row):
@@ -253,7 +257,7 @@ def _tables(grams: DataFrame) -> Model:
     after = lower.groupBy("context").agg(F.sum("n").alias("a"), F.count(F.lit(1)).alias("b"))
 
     def keyed(df: DataFrame, key: str, *values: str) -> Keyed:
-        t = df.select(key, *[F.col(c).cast("float") for c in values]).toArrow()
+        t = df.select(key, *[F.col(c).cast("bigint") for c in values]).toArrow()
         return Keyed(t[key].to_numpy(), *[t[c].to_numpy() for c in values])
 
     return Model(keyed(top, "gram", "n1", "n0"), keyed(after_top, "context", *"abcd"), keyed(lower, "gram", "n"), keyed(after, "context", *"ab"))
@@ -265,15 +269,15 @@ def _features(model):
             for s in slices(batch.column(0), SLICE_BYTES):
                 x = model.value.features(s)
                 flat = pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), FEATURES).cast(pa.list_(pa.float64()))
-                yield pa.record_batch([flat, batch.column(1).slice(s.first, s.n)], names=["x", "y"])
+                yield pa.record_batch([flat, *[batch.column(i).slice(s.first, s.n) for i in (1, 2)]], names=["x", "y", "doc_id"])
 
     return run
 
 
 def train(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> Trained:
     """Fit the two models and the regression on the labelled documents outside fold 0."""
-    target = labels.filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    target = target.withColumn("fold", fold()).filter((F.col("fold") > 0) & (F.col("fold") != CALIBRATION_FOLD)).select("doc_id", "toxic")
+    target = labelled(labels, "toxic")
+    target = target.filter(~calibration_part(target)).select("doc_id", F.col("y").alias("toxic"))
     # texts without a label in these folds are sieved out before the join shuffles them
     known = sieve(docs.select("doc_id", "text"), target, scratch).join(target.hint("shuffle_merge"), "doc_id")
     words = known.select("text", "toxic").mapInArrow(_count_words, "word binary, n1 bigint, n0 bigint")
@@ -283,7 +287,8 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> Trained:
     model = _tables(scratch.table(grams, "grams"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     fit_on = sample(docs, labels, "toxic", 0, FIT_DOCS)
-    rows = fit_on.select("text", "y").mapInArrow(_features(shared), "x array<double>, y int").toArrow()
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    rows = fit_on.select("text", "y", "doc_id").mapInArrow(_features(shared), f"x array<double>, y int, doc_id {id_type}").toArrow().sort_by("doc_id")
     x = np.array(rows["x"].to_pylist()).reshape(-1, FEATURES)
     return Trained(shared, fit_logistic(x, rows["y"].to_numpy()))
 

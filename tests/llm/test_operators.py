@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
 from soarcast.llm import exact_dedup, mixing, ngram_join, packing, pii, quality_rules, quality_vectors, secrets, toxicity, training_order
+from soarcast.llm.labels import sample
 from soarcast.llm.scratch import Scratch
 from soarcast.llm.text import slices
 from soarcast.llm.tokens import default_tokenizer, encoder
@@ -244,6 +245,26 @@ def test_mixing_comes_near_its_targets(spark, docs):
     assert sorted((r.doc_id, r.taken) for r in again) == sorted((r.doc_id, r.taken) for r in rows)
 
 
+def test_null_and_repeated_ids_spread_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 2000)
+    monkeypatch.setattr(mixing, "GROUP_SHARDS", 3)
+    other = [(i if i % 3 else None, "a", f"t{i} " * 40) for i in range(900)]
+    same = [(7, "a", "again " * 40)] * 300 + [(None, "b", None)] * 5000 + [(i, "b", "x y") for i in range(50)]
+    df = spark.createDataFrame(other + same, "doc_id bigint, source string, text string")
+    scratch = Scratch(spark, "t")
+    rows = mixing.mix(df, scratch).collect()
+    assert Counter((r.doc_id, r.source, r.size) for r in rows) == Counter((i, s, len((t or "").split())) for i, s, t in other + same)
+    cells = {(r.sid, r.shard): r.words for r in spark.read.parquet(scratch.path("cells")).collect()}
+    assert len(cells) > 20 and max(cells.values()) < 3 * 2000
+    want, taken = want_targets(Counter({"a": 48_000, "b": 100})), Counter()
+    for r in rows:
+        assert 0 <= r.taken <= 2 * r.size
+        taken[r.source] += r.taken
+    assert taken["a"] == pytest.approx(want["a"], rel=0.01)
+    again = mixing.mix(df.repartition(3), Scratch(spark, "t")).collect()
+    assert Counter((r.doc_id, r.size, r.taken) for r in again) == Counter((r.doc_id, r.size, r.taken) for r in rows)
+
+
 def test_sainte_lague_gives_the_highest_quotients(spark):
     rng = random.Random(1)
     for parties, seats in ((1, 5), (7, 3), (9, 100), (40, 41)):
@@ -303,6 +324,43 @@ def test_classifiers_on_awkward_rows(spark, edges):
         assert toxicity.score(empty(edges), model, "tox").count() == 0
 
 
+@pytest.mark.parametrize("kept_folds", [(1, 2, 3), (4,), (2,)])
+def test_one_class_in_the_calibration_fold(spark, kept_folds):
+    """Labels of class 1 in some folds only: separable rows are still told apart."""
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5
+    rng, rows = random.Random(3), []
+    for i in range(400):
+        bad = i % 2 == 1
+        if fold(i) and bad and fold(i) not in kept_folds:
+            continue
+        rows.append((i, " ".join(rng.choice(["venom", "poison", "curse"] if bad else ["meadow", "garden", "river"]) for _ in range(20)), int(bad)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, y int").repartition(3)
+    labels = df.select("doc_id", F.col("y").alias("toxic"), F.col("y").alias("quality"))
+    docs = df.select("doc_id", "text")
+    truth = {i: y for i, _, y in rows if not fold(i)}
+    scored = [toxicity.score(docs, toxicity.train(docs, labels, Scratch(spark, "t"))).select("doc_id", "toxicity"),
+              quality_rules.judge(docs, quality_rules.train(docs, labels)).select("doc_id", "probability")]
+    for run in scored:
+        assert auc([(p, truth[i]) for i, p in map(tuple, run.collect()) if i in truth]) == 1
+
+
+def test_the_sample_is_bounded_in_rows(spark):
+    rows = [(i % 5 if i % 2 else None, f"text {i}") for i in range(3000)] + [(10 + i, "x") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(70)] + [(None, 1)], "doc_id bigint, toxic int")
+    got = sample(docs, labels, "toxic", 20, 6).collect()
+    assert len({r.doc_id for r in got}) == len(got) <= 26 and sum(r.calibrate for r in got) <= 6
+    every = {r.doc_id: r.text for r in sample(docs, labels, "toxic", 1000, 1000).collect()}
+    assert all(t == min(x for i, x in rows if i == d) for d, t in every.items())
+
+
+def test_counts_beyond_single_precision_stay_exact():
+    keys = np.array([5, 9, 1 << 60])
+    table = toxicity.Keyed(keys, np.array([(1 << 24) + 1, 3, (1 << 40) + 1]), np.array([1, 2, 3]))
+    (big, small) = table.find(np.array([1 << 60, 5, 77, 9]))
+    assert big.tolist() == [(1 << 40) + 1, (1 << 24) + 1, 0, 3] and small.tolist() == [3, 1, 0, 2]
+
+
 def test_a_toxic_stem_is_caught_with_endings_it_never_had(spark):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice(["ter", "an", "lo", "mi", "res", "do"]) for _ in range(rng.randint(1, 3)))
