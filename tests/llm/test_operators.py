@@ -1,6 +1,7 @@
 """Every dealt operator against a plain re-statement, on awkward rows and on the small tables."""
 
 import random
+import re
 import subprocess
 import sys
 import zlib
@@ -289,6 +290,69 @@ def test_the_mix_repeats_and_cuts_whole_words(spark, edges, docs):
 # --- classifiers ------------------------------------------------------------------------
 
 
+def network_scores(spark, docs, labels):
+    scratch = Scratch(spark, "t")
+    return quality_vectors.score(docs, quality_vectors.train(docs, labels, scratch), scratch)
+
+
+PLAIN_TOKEN = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^A-Za-z0-9\x80-\xff\x20\x09-\x0D]+")
+
+
+def plain_hash(word):
+    """Polynomial hash of a token's bytes, finalised."""
+    mask, base = (1 << 64) - 1, 0x9E3779B97F4A7C15
+
+    def final(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & mask
+        return x ^ (x >> 31)
+
+    return final((sum(final((b + 1) * base & mask) * pow(base, i, 1 << 64) for i, b in enumerate(word)) + len(word)) & mask)
+
+
+def plain_vectors(texts):
+    """token -> (number, signs) by dicts, from the contexts of every token."""
+    sums, n = defaultdict(lambda: [0] * 32), Counter()
+    for t in texts:
+        h = [plain_hash(w) for w in PLAIN_TOKEN.findall((t or "").encode())]
+        n.update(h)
+        for i, x in enumerate(h):
+            for j in (i - 2, i - 1, i + 1, i + 2):
+                if 0 <= j < len(h):
+                    for k in range(4):
+                        sums[x][h[j] >> 5 * k & 31] += 1 - 2 * (h[j] >> (40 + k) & 1)
+    return {x: (n[x], [1 if s > 0 or (s == 0 and x >> (32 + d) & 1) else -1 for d, s in enumerate(sums[x])]) for x in n}
+
+
+@pytest.mark.parametrize("hot,held", [(1 << 18, 1 << 18), (40, 64), (0, 1)])
+def test_word_vectors_and_pooling_equal_dicts(spark, monkeypatch, hot, held):
+    monkeypatch.setattr(quality_vectors, "HOT_WORDS", hot)
+    monkeypatch.setattr(quality_vectors, "HELD_WORDS", held)
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["the", "of", f"w{rng.randrange(400)}", "é日本", "...", "42"]) for _ in range(rng.randrange(60))) for _ in range(150)]
+    texts += [None, "", " \n", "alone", "a a", "the of " * 3000, texts[0]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(5)
+    scratch, want = Scratch(spark, "t"), plain_vectors(texts)
+    vectors = quality_vectors.word_vectors(docs, scratch)
+    assert len(vectors.hot.value[0]) <= hot
+    got = {r.token % 2**64: (r.n, [1 if r.bits >> d & 1 else -1 for d in range(32)]) for r in vectors.table.collect()}
+    assert got == want
+    for r in quality_vectors.pooled(docs, vectors, scratch, "x").collect():
+        h = [plain_hash(w) for w in PLAIN_TOKEN.findall((texts[r.doc_id] or "").encode())]
+        assert (r.n, r.kinds) == (len(h), len(set(h)))
+        assert [a + b for a, b in zip(r.sums, r.rest or [0] * 32)] == [sum(want[x][1][d] for x in h) for d in range(32)]
+
+
+def test_packed_contexts_round_trip():
+    rng = np.random.default_rng(1)
+    for most in (0, 1, 2, 7, 8, 127, 128, 1 << 40):
+        table = rng.integers(-most, most + 1, (50, quality_vectors.DIM))
+        back = np.zeros_like(table)
+        for rows, packed in quality_vectors.pack(table):
+            back[rows] = quality_vectors.unpack(packed)
+        assert (back == table).all()
+
+
 def auc(pairs):
     good, bad = [p for p, y in pairs if y], [p for p, y in pairs if not y]
     return sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
@@ -307,7 +371,7 @@ def test_no_label_of_the_held_out_fold_is_used(spark):
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
     turned = labels.withColumns({c: F.when(toxicity.fold() == 0, 1 - F.col(c)).otherwise(F.col(c)) for c in ("toxic", "quality")})
     for run in (lambda x: toxicity.score(docs, toxicity.train(docs, x, Scratch(spark, "t"))).select("doc_id", "toxicity"),
-                lambda x: quality_vectors.score(docs, quality_vectors.train(docs, x)),
+                lambda x: network_scores(spark, docs, x),
                 lambda x: quality_rules.judge(docs, quality_rules.train(docs, x)).select("doc_id", "probability")):
         assert sorted(map(tuple, run(labels).collect())) == sorted(map(tuple, run(turned).collect()))
 
@@ -315,7 +379,8 @@ def test_no_label_of_the_held_out_fold_is_used(spark):
 def test_classifiers_on_awkward_rows(spark, edges):
     labels = spark.createDataFrame([(1, 1, 0), (9, 1, 1), (9, 0, 0), (None, 1, None), (99, 1, 1)], "doc_id bigint, quality int, toxic int")
     for x in (labels, labels.limit(0)):
-        assert quality_vectors.score(edges, quality_vectors.train(edges, x)).count() == len(edge_rows())
+        assert network_scores(spark, edges, x).count() == len(edge_rows())
+        assert network_scores(spark, empty(edges), x).count() == 0
         assert quality_rules.judge(edges, quality_rules.train(edges, x)).count() == len(edge_rows())
         model = toxicity.train(edges, x, Scratch(spark, "t"))
         scored = toxicity.score(edges, model, "tox")
@@ -339,7 +404,7 @@ def test_one_class_in_the_calibration_fold(spark, kept_folds):
     docs = df.select("doc_id", "text")
     truth = {i: y for i, _, y in rows if not fold(i)}
     scored = [toxicity.score(docs, toxicity.train(docs, labels, Scratch(spark, "t"))).select("doc_id", "toxicity"),
-              quality_rules.judge(docs, quality_rules.train(docs, labels)).select("doc_id", "probability")]
+              quality_rules.judge(docs, quality_rules.train(docs, labels)).select("doc_id", "probability"), network_scores(spark, docs, labels)]
     for run in scored:
         assert auc([(p, truth[i]) for i, p in map(tuple, run.collect()) if i in truth]) == 1
 
