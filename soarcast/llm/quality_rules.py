@@ -115,7 +115,7 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch(
                 [pa.ListArray.from_arrays(offsets, pa.array(cell[order].astype(np.int32))),
                  pa.ListArray.from_arrays(offsets, pa.array(share[order].astype(np.float32))),
-                 *[batch.column(i).slice(s.first, s.n) for i in (1, 2, 3)]], names=["cells", "shares", "y", "calibrate", "doc_id"])
+                 batch.column(1).slice(s.first, s.n), batch.column(2).slice(s.first, s.n)], names=["cells", "shares", "y", "calibrate"])
 
 
 def fit_weights(doc: np.ndarray, cell: np.ndarray, share: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -136,9 +136,9 @@ def fit_weights(doc: np.ndarray, cell: np.ndarray, share: np.ndarray, y: np.ndar
 
 def train(docs: DataFrame, labels: DataFrame, column: str = "quality") -> Rules:
     """Fit on a bounded sample of labelled rows outside fold 0."""
-    rows = sample(docs, labels, column, TRAIN_DOCS, CALIBRATE_DOCS).select("text", "y", "calibrate", "doc_id")
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    t = rows.mapInArrow(_sparse, f"cells array<int>, shares array<float>, y int, calibrate boolean, doc_id {id_type}").toArrow().sort_by("doc_id")
+    # in order of ids, so that sums do not depend on the tasks; sorted before the driver holds the cells
+    rows = sample(docs, labels, column, TRAIN_DOCS, CALIBRATE_DOCS).orderBy("doc_id").select("text", "y", "calibrate")
+    t = rows.mapInArrow(_sparse, "cells array<int>, shares array<float>, y int, calibrate boolean").toArrow()
     y, calibrate = t["y"].to_numpy().astype(np.int64), t["calibrate"].to_numpy()
     if not len(y) or y[~calibrate].min(initial=1) == y[~calibrate].max(initial=0):
         return Rules(np.zeros(1 << BITS, np.float32), Logistic(np.zeros(1), np.ones(1), None, 0.0, float(y.mean()) if len(y) else 1.0))
