@@ -143,10 +143,11 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality") -> Rules:
     if not len(y) or y[~calibrate].min(initial=1) == y[~calibrate].max(initial=0):
         return Rules(np.zeros(1 << BITS, np.float32), Logistic(np.zeros(1), np.ones(1), None, 0.0, float(y.mean()) if len(y) else 1.0))
     cells, shares = t["cells"].combine_chunks(), t["shares"].combine_chunks()
+    del t  # these are copies
     doc = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(cells.offsets.to_numpy()))
     cell, share = cells.flatten().to_numpy(), shares.flatten().to_numpy()
     chosen = ~calibrate
-    number = np.cumsum(chosen) - 1
+    number = np.cumsum(chosen, dtype=np.int32) - 1
     mine = chosen[doc]
     w = fit_weights(number[doc[mine]], cell[mine], share[mine], y[chosen])
     evidence = np.bincount(doc, share * w[cell], len(y))
