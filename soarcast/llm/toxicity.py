@@ -52,6 +52,8 @@ LENGTH_AT = 56
 TOP_WORDS = 3
 #: bytes of text that a worker counts or scores at a time (its arrays take some 100 times as much)
 SLICE_BYTES = 1 << 20
+#: words whose evidence a worker remembers, each in the place that its hash gives (16 bytes a place)
+MEMO_PLACES = 1 << 17
 FIT_DOCS = 50_000
 FEATURES = 9
 #: bytes that stand for the start and the end of a word
@@ -60,8 +62,8 @@ _START, _END = 1, 2
 
 def distinct_words(words: Spans) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First occurrence of each distinct (lower-cased) word, its hash, and each word's index."""
-    _, first, inverse = np.unique(words.hashes(LOWER), return_index=True, return_inverse=True)
-    return first, words.hashes(LOWER)[first], inverse
+    hashes, first, inverse = np.unique(words.hashes(LOWER), return_index=True, return_inverse=True)
+    return first, hashes, inverse
 
 
 def word_bytes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,6 +182,7 @@ class Model:
     top_context: Keyed  # context: occurrences after it by class, distinct bytes after it by class
     follow: Keyed  # lower n-gram: distinct bytes before it
     follow_context: Keyed  # context: sum of those after it, distinct bytes after it
+    memo: tuple[np.ndarray, np.ndarray] | None = None  # hash and evidence of words met by this worker
 
     def evidence(self, text: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Per word: log-likelihood as toxic less log-likelihood as ordinary."""
@@ -201,16 +204,28 @@ class Model:
             lower[inside] = np.where(seen > 0, p, lower[inside])
         return np.add.reduceat(score, offsets[:-1]) if len(offsets) > 1 else np.zeros(0)
 
+    def evidence_of_words(self, data: np.ndarray, words: Spans, first: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Evidence of distinct words; those met in an earlier slice are not spelled out again."""
+        if self.memo is None:
+            self.memo = np.zeros(MEMO_PLACES, np.uint64), np.full(MEMO_PLACES, np.nan)
+        held, value = self.memo
+        at = (hashes & np.uint64(MEMO_PLACES - 1)).astype(np.int64)
+        each = np.where(held[at] == hashes, value[at], np.nan)
+        new = np.flatnonzero(np.isnan(each))
+        if len(new):
+            each[new] = self.evidence(*word_bytes(data, words.start[first[new]], words.end[first[new]]))
+            held[at[new]], value[at[new]] = hashes[new], each[new]
+        return each
+
     def features(self, s: Slice) -> np.ndarray:
         """Features of each text of a slice; zeros without letters."""
         out = np.zeros((s.n, FEATURES))
         words = s.runs(IS_LETTER)
         if not len(words):
             return out
-        first, _, inverse = distinct_words(words)
-        text, offsets = word_bytes(s.data, words.start[first], words.end[first])
+        first, hashes, inverse = distinct_words(words)
         size = (words.end - words.start + 1)[first].astype(float)
-        each = self.evidence(text, offsets)
+        each = self.evidence_of_words(s.data, words, first, hashes)
         doc, n = words.doc, s.n
         out[:, 0] = np.bincount(doc, each[inverse], n) / np.maximum(np.bincount(doc, size[inverse], n), 1)
         # a word counts once per document from here on

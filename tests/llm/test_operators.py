@@ -497,6 +497,23 @@ def test_toxicity_counts_every_ngram_by_itself(spark):
     assert got == pytest.approx(plain_evidence(used, words), abs=1e-3)
 
 
+def test_remembered_words_give_the_same_features(spark, monkeypatch):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 4)))
+    texts = [(i, " ".join(word() for _ in range(30)), i % 2) for i in range(200)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string, toxic int")
+    model = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"), Scratch(spark, "t")).shared.value
+    batches = [pa.array([t for _, t, _ in texts[i : i + 20]] + ["", None]) for i in range(0, 200, 20)]
+    for places in (1 << 17, 16):  # with 16 places most words push another one out
+        monkeypatch.setattr(toxicity, "MEMO_PLACES", places)
+        model.memo = None
+        together = [model.features(s) for b in batches for s in slices(b)]
+        for b, got in zip(batches, together):
+            model.memo = None
+            (alone,) = [model.features(s) for s in slices(b)]
+            assert np.array_equal(got, alone)
+
+
 def test_quality_rule_base_counts(spark, edges):
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
     rows = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").union(edges.select("doc_id", "text"))
