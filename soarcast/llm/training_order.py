@@ -5,8 +5,8 @@ each ended by the end token; only a partition's last sequence is padded. A first
 the sequences of every partition, so each sequence has an index below their total ``N``. A
 keyed Feistel network on the next even number of bits, walked along its cycle until the value
 is below ``N``, permutes the indexes: every sequence knows its slot without any shared state.
-One shuffle by slot range puts the records of a shard into one task, which writes them in
-order. A record has the same number of bytes everywhere, so slot ``s`` is in shard
+One shuffle by slot range puts the records of a shard into one task (of at most ``MAX_TASKS``, each
+with a range of neighbouring shards), which sorts them, spilling as it must, and writes them in order. A record has the same number of bytes everywhere, so slot ``s`` is in shard
 ``s div rows_per_shard`` at byte ``(s mod rows_per_shard) * stride``, and a reader that
 stopped can go on from any slot.
 
@@ -36,6 +36,8 @@ from .tokens import END_ID, default_tokenizer, encoder
 
 SEQ_TOKENS, PAD_ID = 1024, 0
 ROWS_PER_SHARD = 8192
+#: most tasks that write shards; with more shards (of 17 to 34 MB) than this a task writes several
+MAX_TASKS = 1 << 16
 ROUNDS, KEY = 6, 20240229
 
 
@@ -171,8 +173,12 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, seq_t
     layout = {"path": path, "total": total, "seq_tokens": seq_tokens, "rows_per_shard": rows_per_shard, "stride": dtype.itemsize + 1, "dtype": dtype}
     if total:
         records = docs.mapInArrow(_records(tokenizer, dtype, seq_tokens, bases, total, key), "slot bigint, record binary")
+        shards = -(-total // rows_per_shard)
+        tasks = min(shards, MAX_TASKS)
         placed = records.withColumn("shard", F.expr(f"cast(slot div {rows_per_shard} as int)"))
-        ranges = placed.repartitionById(-(-total // rows_per_shard), "shard").sortWithinPartitions("shard", "slot")
+        # neighbouring shards go to one task, which writes one after another
+        ranged = placed.withColumn("task", F.expr(f"cast(cast(shard as bigint) * {tasks} div {shards} as int)"))
+        ranges = ranged.repartitionById(tasks, "task").sortWithinPartitions("shard", "slot")
         ranges.select("shard", F.col("record").cast("string").alias("value")).write.mode("overwrite").partitionBy("shard").text(path)
     return layout
 

@@ -126,6 +126,18 @@ def test_training_order_round_trip(spark, edges, docs, tokenizer):
     assert training_order.read_shards(spark, none).count() == 0
 
 
+def test_few_tasks_write_many_shards(spark, docs, monkeypatch):
+    want = None
+    for most in (1 << 16, 5):
+        monkeypatch.setattr(training_order, "MAX_TASKS", most)
+        layout = training_order.write_shards(docs, Scratch(spark, "t").path("shards"), rows_per_shard=16)
+        assert -(-layout["total"] // 16) > 5
+        files = spark.read.format("binaryFile").load(layout["path"]).select("shard", F.sha2("content", 256)).collect()
+        assert len(files) == -(-layout["total"] // 16)  # one file a shard
+        want = want or sorted(files)
+        assert sorted(files) == want
+
+
 # --- exact and near duplicates ---------------------------------------------------------
 
 
