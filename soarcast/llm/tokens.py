@@ -21,6 +21,8 @@ import numpy as np
 from .text import IS_DIGIT, Slice, Spans
 
 CACHE_PIECES = 2 << 20
+#: pieces that go to the tokenizer as one string
+JOINED = 64
 #: the id that ends every document
 END_ID = 0
 
@@ -90,6 +92,11 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = added_tokens(self.tokenizer)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        # a byte-level token has one character for each of its bytes
+        self.bytes_of = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        self.bytes_of[list(vocabulary.values())] = [len(token) for token in vocabulary]
+        self.joins = not self.added or b" " not in self.added.pattern
         self._forget()
 
     def _forget(self) -> None:
@@ -108,24 +115,52 @@ class Encoder:
             at[todo[hit]] = number[place[hit]]
         return at
 
-    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _one_by_one(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces one after another, and how many each has."""
         flat, length = array("I"), []
-        for e in found:
+        for e in self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False):
             ids = e.ids
             length.append(len(ids))
             flat.extend(ids)
-        length = np.array(length, np.int32)
+        return np.frombuffer(flat, np.uint32), np.array(length, np.int64)
+
+    def _joined(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces that begin with a space and end in a printable ASCII character.
+
+        The pre-tokenizer cuts between two such pieces, so they are encoded as one string. The bytes
+        of its tokens tell where each piece ends; where they do not, it is one by one.
+        """
+        strings = [b"".join(texts[i : i + JOINED]).decode("utf-8", "replace") for i in range(0, len(texts), JOINED)]
+        flat = array("I")
+        for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False):
+            flat.extend(e.ids)
+        ids = np.frombuffer(flat, np.uint32)
+        end = np.cumsum(self.bytes_of[ids])
+        want = np.cumsum([len(t) for t in texts])
+        last = np.searchsorted(end, want)
+        if not len(ids) or end[-1] != want[-1] or (end[last] != want).any():
+            return self._one_by_one(texts)
+        return ids, np.diff(last + 1, prepend=0)
+
+    def _learn(self, hashes: np.ndarray, texts: list[bytes]) -> None:
+        spaced = np.array([self.joins and t[0] == 0x20 and 0x20 < t[-1] < 0x7F for t in texts], bool)
+        parts = [encode([texts[i] for i in rows.tolist()]) for encode, rows in
+                 ((self._joined, np.flatnonzero(spaced)), (self._one_by_one, np.flatnonzero(~spaced))) if len(rows)]
+        flat, length = (np.concatenate(x) for x in zip(*parts))
+        order = np.concatenate([np.flatnonzero(spaced), np.flatnonzero(~spaced)])
+        start = np.zeros(len(texts), np.int64)
+        start[order] = np.cumsum(length) - length
+        length[order] = length.copy()
         self.runs.append((hashes, np.arange(len(self.start), len(self.start) + len(hashes), dtype=np.int32)))
         while len(self.runs) > 1 and len(self.runs[-2][0]) < 2 * len(self.runs[-1][0]):
             both = [np.concatenate(x) for x in zip(self.runs.pop(), self.runs.pop())]
             order = np.argsort(both[0], kind="stable")
             self.runs.append((both[0][order], both[1][order]))
-        self.start = np.concatenate([self.start, self.used + np.cumsum(length, dtype=np.int64) - length])
-        self.length = np.concatenate([self.length, length])
+        self.start = np.concatenate([self.start, self.used + start])
+        self.length = np.concatenate([self.length, length.astype(np.int32)])
         if self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + 2 * len(flat), np.uint32)])
-        self.ids[self.used : self.used + len(flat)] = np.frombuffer(flat, np.uint32)
+        self.ids[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
 
     def count(self, s: Slice) -> int:
@@ -145,7 +180,7 @@ class Encoder:
         missing = np.flatnonzero(at < 0)
         if len(missing):
             raw = s.data.tobytes()
-            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(cut.start[first[missing]].tolist(), cut.end[first[missing]].tolist())]
+            texts = [raw[a:b] for a, b in zip(cut.start[first[missing]].tolist(), cut.end[first[missing]].tolist())]
             at[missing] = np.arange(len(self.start), len(self.start) + len(missing))
             self._learn(kinds[missing], texts)
         return at[inverse], cut

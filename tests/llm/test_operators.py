@@ -57,6 +57,19 @@ def test_pieces_give_the_tokenizers_ids(tokenizer):
             assert ids[at[i] : at[i + 1]].tolist() == tokenizer(texts[s.first + i]), texts[s.first + i][:60]
 
 
+def test_joined_pieces_are_the_same_as_single_ones(docs):
+    code = encoder(default_tokenizer())
+    words = sorted({w for r in docs.select("text").limit(50).collect() for w in (r.text or "").split(" ") if w and "!" <= w[-1] <= "~"})
+    texts = [f" {w}".encode() for w in [*words, "don't", "é1", "日a", "a\n\nb", " \tx"]]
+    for got, want in zip(code._joined(texts), code._one_by_one(texts)):
+        assert np.array_equal(got, want)
+    code.bytes_of = code.bytes_of + 1  # a vocabulary whose tokens do not tell their bytes
+    try:
+        assert np.array_equal(code._joined(texts)[0], want_ids := code._one_by_one(texts)[0]) and len(want_ids)
+    finally:
+        code.bytes_of = code.bytes_of - 1
+
+
 def check_pieces(rows, want, capacity):
     """Every token in exactly one piece, in order, and sequences without gaps."""
     by_doc, by_sequence = Counter(), defaultdict(list)
