@@ -38,7 +38,7 @@ from soarcast.operators import (
     site_baseline,
 )
 from soarcast.plans import cell_moments, marts, merged_conditions, merged_correlation, month_moments
-from soarcast.session import ensure_utc, scratch_folder, session_settings
+from soarcast.session import ensure_utc, scratch_folder, session_settings, stored
 from soarcast.sources import fixtures, read_raw, read_transformed, write_transformed
 from soarcast.sources.events import parse_events, parse_payload
 from soarcast.streaming import views
@@ -169,7 +169,8 @@ def _mixed_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sites = scored_events(spark, sf_dir).select("location", "lat", "lon").distinct()
+    # nearest_cells reads the sites twice; the events behind them are parsed once
+    sites = stored(scored_events(spark, sf_dir).select("location", "lat", "lon").distinct(), "sites")
     return nearest_cells(sites, grid_positions(observations(spark, sf_dir)), within=oracle.SITE_REACH)
 
 
@@ -179,7 +180,8 @@ def _nearest_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _site_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    baseline = site_baseline(observations(spark, sf_dir), _nearest(spark, sf_dir))
+    # stored, so that neither the observations nor the events are shuffled to meet a few sites
+    baseline = stored(site_baseline(observations(spark, sf_dir), stored(_nearest(spark, sf_dir), "nearest")), "baseline")
     return views.versus_baseline(scored_events(spark, sf_dir), baseline)
 
 

@@ -54,7 +54,8 @@ def compare_to_baseline(events: DataFrame, baseline: DataFrame, time_col: str =
     ``baseline`` is the output of ``hourly_baseline`` (<= 24 rows), broadcast to every
     task, so the event stream is never shuffled; works for batch and streaming events. A baseline
     by site (``nearest.site_baseline``, with ``hist_location``) is joined on site and hour; its size
-    follows the number of sites, so how it is joined is left to the optimizer.
+    follows the number of sites, so how it is joined is left to the optimizer, which broadcasts a
+    small one that is ``session.stored``.
     """
     by_site = "hist_location" in baseline.columns
     columns = [*events.columns, "hour", *[c for c in baseline.columns if c not in ("hist_hour", "hist_location")]]

@@ -15,7 +15,10 @@ TILE = 1.0
 
 def grid_positions(obs: DataFrame) -> DataFrame:
     """``cell_id, latitude, longitude`` of the distinct cells that have a position."""
-    cells = with_cell_id(obs).filter("latitude IS NOT NULL AND longitude IS NOT NULL").groupBy(CELL)
+    placed = obs.filter("latitude IS NOT NULL AND longitude IS NOT NULL")
+    if CELL not in obs.columns:  # an id for each position, not for each row
+        placed = placed.select("latitude", "longitude").distinct()
+    cells = with_cell_id(placed).groupBy(CELL)
     return cells.agg(position("latitude"), position("longitude"))
 
 
@@ -58,7 +61,9 @@ def site_baseline(obs: DataFrame, sites: DataFrame, site: str = "location", wind
     ``hist_location, hist_hour, hist_wind, hist_cloud_base``.
 
     ``sites`` has the cell of each site (``nearest_cells``); sites without one have no rows. Only
-    rows of those cells are aggregated, by cell, so sites that share a cell share its work.
+    rows of those cells are aggregated, by cell, so sites that share a cell share its work. ``sites`` is
+    read twice: give it ``session.stored``, and few cells are broadcast to the rows, which then
+    are aggregated where they were read; as a plan of unknown size it makes all rows move to their cells.
     """
     cells = sites.filter(F.col(CELL).isNotNull()).select(F.col(site).alias("hist_location"), CELL).distinct()
     rows = in_months(with_cell_id(obs)).join(cells.select(CELL).distinct(), CELL, "left_semi")

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # nanosecond Parquet timestamps of raw grids are read as epoch-ns bigints
 NANOS_AS_LONG = {"spark.sql.legacy.parquet.nanosAsLong": "true"}
@@ -51,6 +51,14 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a fresh scratch folder and read from there: what stands above reads it any
+    number of times without its work being done again, and its size decides how it is joined."""
+    path = f"{scratch_folder(df.sparkSession, name)}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -11,6 +11,7 @@ from conftest import SF_SMALL
 from soarcast.functions import add_cell_id, transform
 from soarcast.functions.cells import LATTICE, _encode, box_ranges
 from soarcast.operators import grid_positions, in_box, nearest_cells, site_baseline
+from soarcast.session import stored
 from soarcast.sources import fixtures, read_transformed, write_transformed
 
 NAN = float("nan")
@@ -133,3 +134,43 @@ def test_sites_join_cells_by_tiles(spark):
     # at this size some cells have no rows: the brute-force key s4_nearest_cells checks the rest
     near = {r.location for r in found.filter("cell_id IS NOT NULL").collect()}
     assert near and {r.hist_location for r in base.select("hist_location").distinct().collect()} == near
+
+
+def _site_grid(spark):
+    rows = [(a, o, 1 + k % 12, k % 24, None if k % 5 == 0 else k * 0.37, None if (a, k % 24) == (44.0, 3) else k * 11.3)
+            for k in range(700) for a, o in ((43.0, 20.0), (44.0, 20.5), (45.0, 21.0))]
+    rows += [(None, 20.0, 6, 3, 9.0, 9.0), (NAN, 20.0, 6, 3, 9.0, 9.0), (-0.0, 0.0, 6, 3, 1.0, 2.0), (0.0, -0.0, 6, 3, 4.0, 5.0)]
+    grid = spark.createDataFrame(rows, "latitude double, longitude double, month int, hour int, wind_speed double, cloud_base_m double")
+    return grid, rows
+
+
+def test_site_baseline_equals_plain_means(spark):
+    grid, rows = _site_grid(spark)
+    sites = spark.createDataFrame([("a", 43.1, 20.0), ("b", 42.9, 20.1), ("c", 44.0, 20.5), ("zero", 0.1, 0.1), ("far", -60.0, 0.0), (None, 45.0, 21.0)],
+                                  "location string, lat double, lon double")
+    cell = {"a": (43.0, 20.0), "b": (43.0, 20.0), "c": (44.0, 20.5), "zero": (0.0, 0.0), None: (45.0, 21.0)}
+    mean = lambda xs: sum(xs) / len(xs) if xs else None
+    want = {}
+    for name, at in cell.items():
+        for hour in range(24):
+            mine = [r for r in rows if r[:2] == at and r[3] == hour and 4 <= r[2] <= 9]
+            if mine:
+                want[name, hour] = [mean([r[i] for r in mine if r[i] is not None]) for i in (4, 5)]
+    for obs in (grid, add_cell_id(grid)):  # ids are made, or the rows have them
+        found = nearest_cells(sites, grid_positions(obs), 0.6)
+        got = {(r.hist_location, r.hist_hour): (r.hist_wind, r.hist_cloud_base) for r in site_baseline(obs, stored(found, "nearest")).collect()}
+        assert got.keys() == want.keys()
+        for k, pair in want.items():
+            assert all((x is None) == (y is None) and (x is None or abs(x - y) <= 0.0051) for x, y in zip(got[k], pair)), k
+
+
+def test_site_baseline_moves_neither_rows_nor_events(spark):
+    import __spark_entry__ as entry
+
+    grid, _ = _site_grid(spark)
+    near = stored(spark.createDataFrame([("a", 43.0, 20.0)], "location string, latitude double, longitude double").transform(add_cell_id).select("location", "cell_id"), "nearest")
+    for obs in (grid, add_cell_id(grid)):  # ids are made, or the rows have them
+        assert "SortMergeJoin" not in site_baseline(obs, near)._jdf.queryExecution().executedPlan().toString()
+    plan = entry.queries()["s4_site_baseline"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert plan.count("events.parquet") == 1 and "lineitem" not in plan
