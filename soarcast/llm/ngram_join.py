@@ -37,6 +37,7 @@ from .components import components
 from .scratch import Scratch, free_names
 from .skew import attach
 from .text import IS_SPACE, LOWER, Slice, mix, short_sequences, slices, windows
+from .workers import tidy
 
 #: bits of every set's bitmap; sets of more than WIDE_FROM n-grams have a second one of WIDE_BITS
 BITS, WIDE_BITS, WIDE_FROM = 512, 2048, 512
@@ -326,7 +327,7 @@ def similar(docs: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFram
     num, den = percent, 100
     id_type = docs.schema["doc_id"].dataType.simpleString()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    recurring = docs.select("text").mapInArrow(_recurring(n), "gram bigint, n bigint")
+    recurring = docs.select("text").mapInArrow(tidy(_recurring(n)), "gram bigint, n bigint")
     common = recurring.groupBy("gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON_FROM)
     common = common.orderBy(F.desc("n"), "gram").limit(COMMON_LIMIT).toArrow()
     grams = common["gram"].to_numpy().view(np.uint64)
@@ -335,7 +336,7 @@ def similar(docs: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFram
     schema = f"doc_id {id_type}, row bigint, key bigint, n bigint, gid bigint, rare array<bigint>, common array<bigint>, bits array<bigint>, wide array<bigint>"
     # an id may repeat with other texts, or be null: a row is known by its id and its text
     row = F.xxhash64("doc_id", "text").alias("row")
-    sets = scratch.table(docs.select("doc_id", "text", row).mapInArrow(run, schema), "sets")
+    sets = scratch.table(docs.select("doc_id", "text", row).mapInArrow(tidy(run), schema), "sets")
 
     sets_of = sets.filter("key IS NOT NULL")
     keys = sets_of.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("gid").alias("gid"))
@@ -365,7 +366,7 @@ def similar(docs: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFram
     met = rare.unionByName(often).withColumn("blocks", F.ceil(F.col("_met") / POSTING_BLOCK)).drop("_met")
     met = met.join(groups.select("gid", "n", "every", "some", "wide"), "gid")
     met = _in_blocks(met, "gram", "blocks", "gid", parts)
-    edges = met.select("gram", "i", "j", "block", "gid", "n", "every", "some", "wide").mapInArrow(_candidates(num, den), "u bigint, v bigint")
+    edges = met.select("gram", "i", "j", "block", "gid", "n", "every", "some", "wide").mapInArrow(tidy(_candidates(num, den)), "u bigint, v bigint")
     clusters = components(edges, scratch, "clusters")
 
     member = keys.join(groups.select("gid", "members"), "gid").select("key", "row", "n", "gid", "members")
@@ -380,7 +381,7 @@ def similar(docs: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFram
     sieved = docs.select(row, "text").withColumn("cell", cell).join(F.broadcast(needed), "cell", "left_semi")
     texts = sieved.groupBy("row").agg(F.first("text").alias("text")).join(member, "row")
     texts = _in_blocks(texts.select("cid", "blocks", "key", "text"), "cid", "blocks", "key", parts)
-    links = texts.select("cid", "i", "j", "block", "key", "text").mapInArrow(_verify(n, num, den), "u bigint, v bigint")
+    links = texts.select("cid", "i", "j", "block", "key", "text").mapInArrow(tidy(_verify(n, num, den)), "u bigint, v bigint")
     linked = components(links, scratch, "links")
 
     classes = keys.select("key", "rep", "copies").join(linked.withColumnRenamed("node", "key"), "key", "left")

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from .scratch import Scratch
 from .text import slices
 from .tokens import END_ID, default_tokenizer, encoder
+from .workers import tidy
 
 SEQ_TOKENS = 1024
 OPEN_WINDOWS = 64
@@ -162,7 +163,7 @@ def pack(docs: DataFrame, scratch: Scratch, tokenizer: str | None = None, seq_to
 
     schema = piece_schema(docs.schema["doc_id"].dataType, with_ids)
     run = _pack_partition(to_arrow_schema(schema), tokenizer or default_tokenizer(), seq_tokens, open_windows, with_ids)
-    pieces = scratch.table(docs.select("doc_id", "text").mapInArrow(run, schema), "pieces")
+    pieces = scratch.table(docs.select("doc_id", "text").mapInArrow(tidy(run), schema), "pieces")
     group = F.floor(F.col("part") / MERGE_PARTITIONS).cast("bigint")
     merged = pieces.filter("is_open").groupBy(group.alias("merge_group")).applyInArrow(_merge(seq_tokens), schema)
     return pieces.filter("NOT is_open").unionByName(merged).drop("part", "is_open")

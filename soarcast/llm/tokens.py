@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -23,6 +24,8 @@ from .text import IS_DIGIT, Slice, Spans
 CACHE_PIECES = 2 << 20
 #: pieces that go to the tokenizer as one string
 JOINED = 64
+#: strings that go to the tokenizer in one call; it holds some hundred bytes for each of their tokens
+AT_ONCE = 4096
 #: the id that ends every document
 END_ID = 0
 
@@ -115,11 +118,15 @@ class Encoder:
             at[todo[hit]] = number[place[hit]]
         return at
 
+    def _encoded(self, strings: list[bytes], at_once: int) -> Iterator[list[int]]:
+        for i in range(0, len(strings), at_once):
+            for e in self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in strings[i : i + at_once]], add_special_tokens=False):
+                yield e.ids
+
     def _one_by_one(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces one after another, and how many each has."""
         flat, length = array("I"), []
-        for e in self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False):
-            ids = e.ids
+        for ids in self._encoded(texts, AT_ONCE):
             length.append(len(ids))
             flat.extend(ids)
         return np.frombuffer(flat, np.uint32), np.array(length, np.int64)
@@ -130,10 +137,9 @@ class Encoder:
         The pre-tokenizer cuts between two such pieces, so they are encoded as one string. The bytes
         of its tokens tell where each piece ends; where they do not, it is one by one.
         """
-        strings = [b"".join(texts[i : i + JOINED]).decode("utf-8", "replace") for i in range(0, len(texts), JOINED)]
         flat = array("I")
-        for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False):
-            flat.extend(e.ids)
+        for ids in self._encoded([b"".join(texts[i : i + JOINED]) for i in range(0, len(texts), JOINED)], AT_ONCE // JOINED):
+            flat.extend(ids)
         ids = np.frombuffer(flat, np.uint32)
         end = np.cumsum(self.bytes_of[ids])
         want = np.cumsum([len(t) for t in texts])
@@ -159,7 +165,7 @@ class Encoder:
         self.start = np.concatenate([self.start, self.used + start])
         self.length = np.concatenate([self.length, length.astype(np.int32)])
         if self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + 2 * len(flat), np.uint32)])
+            self.ids = np.concatenate([self.ids[: self.used], np.empty(self.used // 4 + 2 * len(flat), np.uint32)])
         self.ids[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
 

@@ -44,6 +44,7 @@ from .logistic import Logistic, fit_logistic
 from .scratch import Scratch, free_names
 from .skew import sieve
 from .text import IS_LETTER, LOWER, Slice, Spans, mix, slices
+from .workers import tidy
 
 ORDER = 6
 DISCOUNT = 0.75
@@ -295,15 +296,15 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> Trained:
     target = target.filter(~calibration_part(target)).select("doc_id", F.col("y").alias("toxic"))
     # texts without a label in these folds are sieved out before the join shuffles them
     known = sieve(docs.select("doc_id", "text"), target, scratch).join(target.hint("shuffle_merge"), "doc_id")
-    words = known.select("text", "toxic").mapInArrow(_count_words, "word binary, n1 bigint, n0 bigint")
+    words = known.select("text", "toxic").mapInArrow(tidy(_count_words), "word binary, n1 bigint, n0 bigint")
     words = words.groupBy("word").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-    grams = words.mapInArrow(_count_grams, "gram bigint, n1 bigint, n0 bigint")
+    grams = words.mapInArrow(tidy(_count_grams), "gram bigint, n1 bigint, n0 bigint")
     grams = grams.groupBy("gram").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
     model = _tables(scratch.table(grams, "grams"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     fit_on = sample(docs, labels, "toxic", 0, FIT_DOCS)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = fit_on.select("text", "y", "doc_id").mapInArrow(_features(shared), f"x array<double>, y int, doc_id {id_type}").toArrow().sort_by("doc_id")
+    rows = fit_on.select("text", "y", "doc_id").mapInArrow(tidy(_features(shared)), f"x array<double>, y int, doc_id {id_type}").toArrow().sort_by("doc_id")
     x = np.array(rows["x"].to_pylist()).reshape(-1, FEATURES)
     return Trained(shared, fit_logistic(x, rows["y"].to_numpy()))
 
@@ -319,7 +320,7 @@ def score(docs: DataFrame, model: Trained, into: str = "toxicity") -> DataFrame:
                 p = logistic.predict(shared.value.features(s))
                 yield pa.RecordBatch.from_arrays([*batch.slice(s.first, s.n).columns, pa.array(p)], names=[*batch.schema.names, into])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(into, T.DoubleType())]))
+    return docs.mapInArrow(tidy(run), T.StructType([*docs.schema.fields, T.StructField(into, T.DoubleType())]))
 
 
 def accept(docs: DataFrame, labels: DataFrame, scratch: Scratch, threshold: float = 0.5) -> DataFrame:
