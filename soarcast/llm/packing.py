@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from .scratch import Scratch
 from .text import slices
-from .tokens import END_ID, default_tokenizer, encoder
+from .tokens import ENCODE_BYTES, END_ID, default_tokenizer, encoder
 from .workers import tidy
 
 SEQ_TOKENS = 1024
@@ -93,10 +93,10 @@ def _pack_partition(schema: pa.Schema, tokenizer: str, capacity: int, limit: int
         windows, code = Windows(capacity, limit, part), encoder(tokenizer)
         held: dict[int, list[dict]] = {}  # pieces of windows that are still open
         for batch in batches:
-            for s in slices(batch.column(1)):
+            for s in slices(batch.column(1), ENCODE_BYTES):
                 out: list[dict] = []
                 ids, at = code.encode(s)
-                raw, at = ids.astype("<u4").tobytes(), (4 * at).tolist()
+                raw, at = ids.astype("<u4", copy=False).tobytes(), (4 * at).tolist()
                 for i, doc_id in enumerate(batch.column(0).slice(s.first, s.n).to_pylist()):
                     tokens = raw[at[i] : at[i + 1]] + end
                     n = len(tokens) // 4

@@ -6,7 +6,7 @@ Certain cuts are: around the vocabulary's added tokens; where white space follow
 letters, digits and signs (the apostrophe of contractions aside); after a single newline
 between two such characters. Everything else stays in one piece with its neighbours. Pieces
 are found and hashed with numpy; a worker remembers the ids of about ``CACHE_PIECES`` pieces
-by their 64-bit hash.
+by their 64-bit hash, ``CACHE_IDS`` ids at most, and takes ``ENCODE_BYTES`` of text at a time.
 """
 
 from __future__ import annotations
@@ -22,6 +22,10 @@ import numpy as np
 from .text import IS_DIGIT, Slice, Spans
 
 CACHE_PIECES = 2 << 20
+#: ids of all remembered pieces; text without spaces gives pieces of many ids
+CACHE_IDS = 16 << 20
+#: slices of texts that go to the encoder: its arrays take some fifty bytes for each byte
+ENCODE_BYTES = 1 << 18
 #: pieces that go to the tokenizer as one string
 JOINED = 64
 #: strings that go to the tokenizer in one call; it holds some hundred bytes for each of their tokens
@@ -86,6 +90,15 @@ def pieces(s: Slice, added: re.Pattern | None = None) -> Spans:
     return Spans(s, at[:-1], at[1:])
 
 
+def _with_room(values: np.ndarray, used: int, more: int) -> np.ndarray:
+    """``values`` with room for ``more`` behind the first ``used``. Room that is not written yet costs no memory."""
+    if used + more <= len(values):
+        return values
+    grown = np.empty(used + max(used // 2, more), values.dtype)
+    grown[:used] = values[:used]
+    return grown
+
+
 class Encoder:
     """Slices of texts to ids."""
 
@@ -100,13 +113,15 @@ class Encoder:
         self.bytes_of = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         self.bytes_of[list(vocabulary.values())] = [len(token) for token in vocabulary]
         self.joins = not self.added or b" " not in self.added.pattern
+        self.id_type = np.uint16 if len(self.bytes_of) <= 1 << 16 else np.uint32
         self._forget()
 
     def _forget(self) -> None:
         # sorted hashes with the number of each piece, in runs of falling size (merged like a log)
         self.runs: list[tuple[np.ndarray, np.ndarray]] = []
-        self.start, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32)
-        self.used = 0
+        # ids of all pieces by number, and where each begins (one more at the end)
+        self.known, self.used = 0, 0
+        self.start, self.ids = np.zeros(1, np.uint32), np.zeros(0, self.id_type)
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """Numbers of sorted ``hashes``; -1 for pieces that are not known."""
@@ -148,31 +163,33 @@ class Encoder:
             return self._one_by_one(texts)
         return ids, np.diff(last + 1, prepend=0)
 
-    def _learn(self, hashes: np.ndarray, texts: list[bytes]) -> None:
+    def _learn(self, hashes: np.ndarray, texts: list[bytes]) -> np.ndarray:
+        """Remember pieces that are new, ``hashes`` sorted; their numbers."""
         spaced = np.array([self.joins and t[0] == 0x20 and 0x20 < t[-1] < 0x7F for t in texts], bool)
-        parts = [encode([texts[i] for i in rows.tolist()]) for encode, rows in
+        parts = [(rows, *encode([texts[i] for i in rows.tolist()])) for encode, rows in
                  ((self._joined, np.flatnonzero(spaced)), (self._one_by_one, np.flatnonzero(~spaced))) if len(rows)]
-        flat, length = (np.concatenate(x) for x in zip(*parts))
-        order = np.concatenate([np.flatnonzero(spaced), np.flatnonzero(~spaced)])
-        start = np.zeros(len(texts), np.int64)
-        start[order] = np.cumsum(length) - length
-        length[order] = length.copy()
-        self.runs.append((hashes, np.arange(len(self.start), len(self.start) + len(hashes), dtype=np.int32)))
+        order, flat, length = (np.concatenate(x) for x in zip(*parts))
+        number = np.empty(len(texts), np.int32)
+        number[order] = np.arange(self.known, self.known + len(texts))
+        self.runs.append((hashes, number))
         while len(self.runs) > 1 and len(self.runs[-2][0]) < 2 * len(self.runs[-1][0]):
             both = [np.concatenate(x) for x in zip(self.runs.pop(), self.runs.pop())]
             order = np.argsort(both[0], kind="stable")
             self.runs.append((both[0][order], both[1][order]))
-        self.start = np.concatenate([self.start, self.used + start])
-        self.length = np.concatenate([self.length, length.astype(np.int32)])
-        if self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids[: self.used], np.empty(self.used // 4 + 2 * len(flat), np.uint32)])
+        self.start = _with_room(self.start, self.known + 1, len(texts))
+        self.start[self.known + 1 : self.known + 1 + len(texts)] = self.used + np.cumsum(length)
+        self.ids = _with_room(self.ids, self.used, len(flat))
         self.ids[self.used : self.used + len(flat)] = flat
-        self.used += len(flat)
+        self.known, self.used = self.known + len(texts), self.used + len(flat)
+        return number
+
+    def _lengths(self, at: np.ndarray) -> np.ndarray:
+        return self.start[at + 1].astype(np.int64) - self.start[at]
 
     def count(self, s: Slice) -> int:
         """Number of ids of the slice's texts."""
         at = self._numbers(pieces(s, self.added))[0]
-        return int(self.length[at].sum(dtype=np.int64))
+        return int(self._lengths(at).sum())
 
     def _numbers(self, cut: Spans) -> tuple[np.ndarray, Spans]:
         """Number of each piece, after those that were not known are encoded."""
@@ -180,15 +197,14 @@ class Encoder:
         if not len(cut):
             return np.zeros(0, np.int64), cut
         kinds, first, inverse = np.unique(cut.hashes(), return_index=True, return_inverse=True)
-        if len(self.start) > CACHE_PIECES:
+        if self.known > CACHE_PIECES or self.used > CACHE_IDS:
             self._forget()
         at = self._find(kinds)
         missing = np.flatnonzero(at < 0)
         if len(missing):
             raw = s.data.tobytes()
             texts = [raw[a:b] for a, b in zip(cut.start[first[missing]].tolist(), cut.end[first[missing]].tolist())]
-            at[missing] = np.arange(len(self.start), len(self.start) + len(missing))
-            self._learn(kinds[missing], texts)
+            at[missing] = self._learn(kinds[missing], texts)
         return at[inverse], cut
 
     def encode(self, s: Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -196,9 +212,9 @@ class Encoder:
         at, cut = self._numbers(pieces(s, self.added))
         if not len(cut):
             return np.zeros(0, np.uint32), np.zeros(s.n + 1, np.int64)
-        length = self.length[at]
-        end = np.cumsum(length, dtype=np.int64)
-        ids = self.ids[np.repeat(self.start[at] - (end - length), length) + np.arange(end[-1])]
+        length = self._lengths(at)
+        end = np.cumsum(length)
+        ids = self.ids[np.repeat(self.start[at] - (end - length), length) + np.arange(end[-1])].astype(np.uint32)
         per_text = np.bincount(cut.doc, length, s.n).astype(np.int64)
         return ids, np.concatenate([[0], np.cumsum(per_text)])
 

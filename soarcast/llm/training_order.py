@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 from .text import mix, slices
-from .tokens import END_ID, default_tokenizer, encoder
+from .tokens import ENCODE_BYTES, END_ID, default_tokenizer, encoder
 
 SEQ_TOKENS, PAD_ID = 1024, 0
 ROWS_PER_SHARD = 8192
@@ -116,7 +116,7 @@ def _count(tokenizer: str, seq_tokens: int):
 
         code, total = encoder(tokenizer), 0
         for batch in batches:
-            for s in slices(batch.column(1)):
+            for s in slices(batch.column(1), ENCODE_BYTES):
                 total += code.count(s) + s.n
         if total:
             yield pa.record_batch([pa.array([TaskContext.get().partitionId()]), pa.array([-(-total // seq_tokens)])], names=["part", "n"])
@@ -143,7 +143,7 @@ def _records(tokenizer: str, dtype: np.dtype, seq_tokens: int, bases: dict[int,
             return pa.record_batch([pa.array(slot), data], names=["slot", "record"])
 
         for batch in batches:
-            for s in slices(batch.column(1)):
+            for s in slices(batch.column(1), ENCODE_BYTES):
                 ids, at = code.encode(s)
                 records = cutter.add(ids, at, _integers(batch.column(0).slice(s.first, s.n)))
                 if len(records):

@@ -39,3 +39,35 @@ def test_a_task_gives_back_when_it_ends(monkeypatch):
     assert calls == [1, 1]
     monkeypatch.undo()
     workers.give_back()
+
+
+def _plain(code, texts):
+    return [code.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_what_a_worker_remembers_is_narrow():
+    """A worker's memory of pieces stays with it from task to task: hash, number, start and 16-bit ids, no spare room that is written."""
+    code = tokens.Encoder(tokens.default_tokenizer())
+    texts = [" ".join("".join(chr(97 + (i * 64 + j) // 26**k % 26) for k in range(4)) + "é" for j in range(64)) for i in range(400)]
+    for lo in range(0, 400, 100):
+        for s in slices(pa.array(texts[lo : lo + 100])):
+            ids, at = code.encode(s)
+            assert ids.dtype == np.uint32
+            assert ids.tolist() == sum(_plain(code, texts[lo : lo + 100]), []) and np.diff(at).tolist() == list(map(len, _plain(code, texts[lo : lo + 100])))
+    held = sum(x.nbytes for run in code.runs for x in run) + code.start[: code.known + 1].nbytes + code.ids[: code.used].nbytes
+    assert code.known > 20000 and held <= 16 * code.known + 2 * code.used + 4
+    (s,) = slices(pa.array(texts))  # all known by now
+    known = code.known
+    assert code.encode(s)[0].tolist() == sum(_plain(code, texts), []) and code.known == known
+
+
+def test_long_pieces_do_not_grow_what_a_worker_remembers(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_IDS", 2000, raising=False)
+    code = tokens.Encoder(tokens.default_tokenizer())
+    texts = ["".join(chr(0x4E00 + (i * 997 + j * j) % 20000) for j in range(300)) for i in range(60)]  # no spaces: one piece each
+    most = 0
+    for t in texts:
+        (s,) = slices(pa.array([t]))
+        assert code.encode(s)[0].tolist() == _plain(code, [t])[0]
+        most = max(most, code.used)
+    assert most <= 2000 + max(len(x) for x in _plain(code, texts))
