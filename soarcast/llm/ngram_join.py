@@ -179,9 +179,7 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], key: list[str], limit: int)
     """Tables of whole groups from batches sorted by ``key``, about ``limit`` rows at a time."""
     held: list[pa.RecordBatch] = []
     rows = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in (b.slice(at, limit) for b in batches for at in range(0, b.num_rows, limit)):
         held.append(batch)
         rows += batch.num_rows
         if rows < limit:

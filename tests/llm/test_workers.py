@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
-from soarcast.llm import tokens, workers
+from soarcast.llm import ngram_join, tokens, workers
 from soarcast.llm.text import slices
 
 
@@ -71,3 +71,17 @@ def test_long_pieces_do_not_grow_what_a_worker_remembers(monkeypatch):
         assert code.encode(s)[0].tolist() == _plain(code, [t])[0]
         most = max(most, code.used)
     assert most <= 2000 + max(len(x) for x in _plain(code, texts))
+
+
+def test_whole_groups_come_in_tables_of_about_the_limit():
+    """However large the batches are, also when a group runs across several of them."""
+    for sizes in ([3] * 2000, [1, 700, 2, 2, 600, 1], [1000]):
+        keys = np.repeat(np.arange(len(sizes)), sizes)
+        t = pa.table({"cid": keys, "i": keys * 0, "row": np.arange(len(keys))})
+        for at_once in (len(keys), 97):
+            batches = [t.to_batches(max_chunksize=at_once)[0].slice(0, 0), *t.to_batches(max_chunksize=at_once)]
+            got = list(ngram_join._whole_groups(iter(batches), ["cid", "i"], 64))
+            assert pa.concat_tables(got).equals(t)
+            first = [x["cid"][0].as_py() for x in got]
+            assert len(set(first)) == len(got) and all(a["cid"][-1] != b["cid"][0] for a, b in zip(got, got[1:]))
+            assert max(x.num_rows for x in got) <= 2 * 64 + max(sizes)
